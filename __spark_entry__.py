@@ -7,7 +7,7 @@ nothing in common but the views over the generated tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +96,7 @@ TRACKER_TABLES = (
     "trackedentityprogramowner",
 )
 
+ACCESS_VIEWS = ("users", "usergroupmembers", "userroles", "userrolemembers")
 OPERATOR_USER = "Customer#000000007"
 TEMPLATE_USER = "Customer#000000010"
 NAMES = ["Customer#000000001", "Customer#000000008"]
@@ -130,30 +131,26 @@ def _on(*views: str) -> Callable[[Callable[..., DataFrame]], Query]:
     """Turn a function of the named views into a function of (spark, sf_dir)."""
 
     def decorate(build: Callable[..., DataFrame]) -> Query:
-        return lambda spark, sf_dir: build(*fixtures.load(spark, sf_dir, *views).values())
+        return lambda spark, sf_dir: build(*fixtures.Views(spark, sf_dir, views).values())
 
     return decorate
 
 
-def _database(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return fixtures.load(spark, sf_dir, *fixtures.DATABASE)
-
-
-def _pruned(table: str, plan: Callable[[dict[str, DataFrame]], PrunePlan]) -> Query:
-    return lambda spark, sf_dir: plan(_database(spark, sf_dir)).table(table)
+def _pruned(table: str, plan: Callable[[Mapping[str, DataFrame]], PrunePlan]) -> Query:
+    return lambda spark, sf_dir: plan(fixtures.Views(spark, sf_dir)).table(table)
 
 
-def _rule_plan(tables: dict[str, DataFrame]) -> PrunePlan:
+def _rule_plan(tables: Mapping[str, DataFrame]) -> PrunePlan:
     plan, _ = apply_rules(tables, read_departments(DEPARTMENTS), read_rules(RULES))
     return plan
 
 
-def _department_plan(tables: dict[str, DataFrame]) -> PrunePlan:
+def _department_plan(tables: Mapping[str, DataFrame]) -> PrunePlan:
     department = next(d for d in read_departments(DEPARTMENTS) if d.key == "DEP3")
     return prune.prune_department(tables, department)
 
 
-def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def _row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     counts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count"
@@ -167,9 +164,7 @@ def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _access_state(spark: SparkSession, sf_dir: str) -> AccessState:
-    users, members, roles, links = fixtures.load(
-        spark, sf_dir, "users", "usergroupmembers", "userroles", "userrolemembers"
-    ).values()
+    users, members, roles, links = fixtures.Views(spark, sf_dir, ACCESS_VIEWS).values()
     return AccessState(users, members, roles, links, {})
 
 
@@ -207,15 +202,15 @@ def queries() -> dict[str, Query]:
 
     # Table sets.
     def clone_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-        views = fixtures.load(spark, sf_dir, *CLONE_SOURCE.values())
+        views = fixtures.Views(spark, sf_dir, CLONE_SOURCE.values())
         return _row_counts(select_tables({n: views[v] for n, v in CLONE_SOURCE.items()}))
 
     result["clone_selected"] = clone_selected
     result["empty_data"] = lambda spark, sf_dir: _row_counts(
-        empty_tables(_database(spark, sf_dir))
+        empty_tables(fixtures.Views(spark, sf_dir))
     )
     result["clear_dependents"] = lambda spark, sf_dir: _row_counts(
-        clear_dependents(_database(spark, sf_dir))
+        clear_dependents(fixtures.Views(spark, sf_dir))
     )
     result["view_names"] = _on("sqlview")(derived_view_names)
 
@@ -306,10 +301,10 @@ def queries() -> dict[str, Query]:
     for table in PRUNED_TABLES:
         result[f"apply_rules_{table}"] = _pruned(table, _rule_plan)
     result["apply_rules_counts_datavalue"] = lambda spark, sf_dir: _rule_plan(
-        _database(spark, sf_dir)
+        fixtures.Views(spark, sf_dir)
     ).values.rule_counts()
     result["apply_rules_counts_programstageinstance"] = lambda spark, sf_dir: _rule_plan(
-        _database(spark, sf_dir)
+        fixtures.Views(spark, sf_dir)
     ).events.rule_counts()
 
     # Access.
@@ -472,9 +467,6 @@ def _matched_sql(table: str, rules: list[tuple[int, str, str]]) -> str:
     return with_views + "\n" + "\nUNION ALL ".join(parts)
 
 
-ACCESS_VIEWS = ("users", "usergroupmembers", "userroles", "userrolemembers")
-
-
 def _access(text: str, steps: str = "") -> str:
     with_views = fixtures.common_table_expressions(*ACCESS_VIEWS)
     return f"{with_views}{steps}\n{text}"

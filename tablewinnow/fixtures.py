@@ -7,6 +7,8 @@ kept apart by their remainder, so they do not collide at any scale.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -166,21 +168,31 @@ DATABASE = (
 )
 
 
-def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in BASE_TABLES}
+class Views(Mapping):
+    """The views over the generated tables of one folder, each built when it is
+    first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, names: Iterable[str] = DATABASE):
+        self._spark = spark
+        self._sf_dir = sf_dir
+        self._names = tuple(names)
+        self._frames: dict[str, DataFrame] = {}
 
-def load(spark: SparkSession, sf_dir: str, *wanted: str) -> dict[str, DataFrame]:
-    """The wanted views as DataFrames over the generated tables."""
-    frames = base_tables(spark, sf_dir)
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            if name in BASE_TABLES:
+                frame = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+            else:
+                text = VIEWS[name]
+                frame = self._spark.sql(text, **{n: self[n] for n in references(text)})
+            self._frames[name] = frame
+        return self._frames[name]
 
-    def resolve(name: str) -> DataFrame:
-        if name not in frames:
-            text = VIEWS[name]
-            frames[name] = spark.sql(text, **{n: resolve(n) for n in references(text)})
-        return frames[name]
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
 
-    return {name: resolve(name) for name in wanted}
+    def __len__(self) -> int:
+        return len(self._names)
 
 
 def references(text: str) -> list[str]:

@@ -7,8 +7,9 @@ Users, groups and roles are flat tables:
 * ``userroles``: id, name
 * ``userrolemembers``: user_id, role_id
 
-A selection is a one-column DataFrame ``user_id``. Names come from the rule file
-and are written into the plan; everything else is matched by measured joins.
+A selection is a ``KeySet`` of ``user_id``, or a DataFrame with that column.
+Names come from the rule file and are written into the plan; everything else is
+matched by measured joins.
 """
 
 from __future__ import annotations
@@ -19,15 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewinnow.operators.matching import (
-    attach,
+    KeySet,
     drop_matching,
-    fits_broadcast,
+    flag_matching,
     keep_matching,
+    key_set,
 )
 
 _SELECTED = "_tw_selected"
 _SHARD = "_tw_shard"
 
+Selection = KeySet | DataFrame
+
 
 def users_by_username(users: DataFrame, names: Iterable[str]) -> DataFrame:
     """Users with one of the names; nobody for an empty list."""
@@ -39,9 +43,22 @@ def users_by_group(users: DataFrame, members: DataFrame, groups: Iterable[str])
     return keep_matching(users, _members_of(members, groups), "id")
 
 
-def _members_of(members: DataFrame, groups: Iterable[str]) -> DataFrame:
+def _members_of(members: DataFrame, groups: Iterable[str]) -> KeySet:
     chosen = members.filter(F.col("group_name").isin(list(groups)))
-    return chosen.select(F.col("user_id").alias("id")).distinct()
+    return key_set(chosen.select(F.col("user_id").alias("id")), "id")
+
+
+def _found(
+    users: DataFrame, members: DataFrame, names: Iterable[str], groups: Iterable[str]
+) -> DataFrame:
+    """Users selected by name or by group, and whether it was by name. One pass
+    over ``users`` answers both, so nobody is found twice."""
+    groups = list(groups)
+    by_name = F.coalesce(F.col("username").isin(list(names)), F.lit(False))
+    if not groups:
+        return users.filter(by_name).withColumn(_SELECTED, by_name)
+    marked = flag_matching(users, _members_of(members, groups), "id", _SELECTED)
+    return marked.filter(by_name | F.col(_SELECTED)).withColumn(_SELECTED, by_name)
 
 
 def select_users(
@@ -50,22 +67,11 @@ def select_users(
     names: Iterable[str] = (),
     groups: Iterable[str] = (),
 ) -> DataFrame:
-    """Users selected by name or by group, unique by id.
-
-    One pass over ``users`` answers both conditions, so a user is found once
-    however many groups they are in. Should ids repeat in ``users``, rows found
-    by name come first.
-    """
-    names, groups = list(names), list(groups)
-    by_name = F.coalesce(F.col("username").isin(names), F.lit(False))
-    if groups:
-        in_group = _members_of(members, groups).withColumn(_SELECTED, F.lit(True))
-        found = attach(users, in_group, "id").filter(by_name | F.col(_SELECTED))
-        found = found.drop(_SELECTED)
-    else:
-        found = users.filter(by_name)
+    """Users selected by name or by group, unique by id. Should ids repeat in
+    ``users``, rows found by name come first."""
     row = F.struct(*users.columns)
-    first = found.groupBy("id").agg(F.min_by(row, F.struct(~by_name, row)).alias("user"))
+    found = _found(users, members, names, groups).groupBy("id")
+    first = found.agg(F.min_by(row, F.struct(~F.col(_SELECTED), row)).alias("user"))
     return first.select("user.*")
 
 
@@ -74,100 +80,109 @@ def selected_ids(
     members: DataFrame,
     names: Iterable[str] = (),
     groups: Iterable[str] = (),
-) -> DataFrame:
-    """Ids of the selected users."""
-    by_name = users_by_username(users, names).select("id")
-    by_group = keep_matching(users, _members_of(members, groups), "id").select("id")
-    return by_name.unionByName(by_group).select(F.col("id").alias("user_id")).distinct()
+) -> KeySet:
+    """Ids of the selected users, computed once for all that is done to them."""
+    found = _found(users, members, names, groups)
+    return key_set(found.select(F.col("id").alias("user_id")), "user_id")
+
+
+def _ids(selected: Selection) -> KeySet:
+    return selected if isinstance(selected, KeySet) else key_set(selected, "user_id")
 
 
-def activate(users: DataFrame, selected: DataFrame) -> DataFrame:
+def activate(users: DataFrame, selected: Selection) -> DataFrame:
     """All users, the selected ones not disabled."""
-    marks = selected.select(F.col("user_id").alias("id")).distinct()
-    marked = attach(users, marks.withColumn(_SELECTED, F.lit(True)), "id")
+    marked = flag_matching(users, _ids(selected).renamed("user_id", "id"), "id", _SELECTED)
     enabled = F.when(F.col(_SELECTED), F.lit(False)).otherwise(F.col("disabled"))
-    return marked.withColumn("disabled", enabled).select(*users.columns)
+    return marked.withColumn("disabled", enabled).drop(_SELECTED)
 
 
-def _with_kept(users: DataFrame, selected: DataFrame, operator_user: str) -> DataFrame:
+def _split_by_kept(users: DataFrame, selected: KeySet, operator_user: str) -> DataFrame:
     """Users flagged by whether their username is selected or the operator's."""
-    chosen = keep_matching(users, selected.select(F.col("user_id").alias("id")), "id")
-    usernames = chosen.select("username").dropna().distinct()
-    marked = attach(users, usernames.withColumn(_SELECTED, F.lit(True)), "username")
-    kept = (
-        F.col(_SELECTED).isNotNull()
-        | F.col("username").isNull()
-        | (F.col("username") == operator_user)
-    )
+    chosen = keep_matching(users, selected.renamed("user_id", "id"), "id")
+    marked = flag_matching(users, key_set(chosen, "username"), "username", _SELECTED)
+    name = F.col("username")
+    kept = F.col(_SELECTED) | name.isNull() | (name == operator_user)
     return marked.withColumn(_SELECTED, kept)
 
 
-def keep_only(users: DataFrame, selected: DataFrame, operator_user: str) -> DataFrame:
+def keep_only(users: DataFrame, selected: Selection, operator_user: str) -> DataFrame:
     """Only the selected users and the operator's own account. Nobody is removed
     when the selection is empty; a user without a username is never removed."""
-    if selected.isEmpty():
+    selected = _ids(selected)
+    if selected.empty:
         return users
-    return _with_kept(users, selected, operator_user).filter(_SELECTED).drop(_SELECTED)
+    return _split_by_kept(users, selected, operator_user).filter(_SELECTED).drop(_SELECTED)
 
 
 def removed_by_keep_only(
-    users: DataFrame, selected: DataFrame, operator_user: str
+    users: DataFrame, selected: Selection, operator_user: str
 ) -> DataFrame:
     """The users ``keep_only`` removes."""
-    if selected.isEmpty():
+    selected = _ids(selected)
+    if selected.empty:
         return users.filter(F.lit(False))
-    return _with_kept(users, selected, operator_user).filter(~F.col(_SELECTED)).drop(_SELECTED)
+    marked = _split_by_kept(users, selected, operator_user)
+    return marked.filter(~F.col(_SELECTED)).drop(_SELECTED)
 
 
 def roles_named(roles: DataFrame, names: Iterable[str]) -> DataFrame:
     return roles.filter(F.col("name").isin(list(names)))
 
 
-def _every_pair(selected: DataFrame, roles: DataFrame) -> DataFrame:
+def _every_pair(selected: KeySet, roles: KeySet) -> DataFrame:
     """(user_id, role_id) for every selected user and every role, as an equi-join.
 
     Roles are dealt over shards and each user meets each shard once. Roles that
     were measured to be few are broadcast; otherwise there are as many shards as
     shuffle partitions, so that no task holds all pairs.
     """
-    roles = roles.select(F.col("id").alias("role_id")).dropna().distinct()
-    users = selected.select("user_id").distinct()
-    few = fits_broadcast(roles)
-    shards = 4 if few else int(roles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    roles = roles.withColumn(_SHARD, F.pmod(F.xxhash64("role_id"), F.lit(shards)).cast("int"))
-    users = users.withColumn(_SHARD, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = users.join(F.broadcast(roles) if few else roles, _SHARD)
+    spark = roles.frame.sparkSession
+    shards = 4 if roles.small else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = roles.frame.withColumn(
+        _SHARD, F.pmod(F.xxhash64("role_id"), F.lit(shards)).cast("int")
+    )
+    users = selected.frame.withColumn(
+        _SHARD, F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    )
+    pairs = users.join(F.broadcast(dealt) if roles.small else dealt, _SHARD)
     return pairs.select("user_id", "role_id")
 
 
-def add_roles(links: DataFrame, selected: DataFrame, roles: DataFrame) -> DataFrame:
+def _grant(links: DataFrame, selected: KeySet, roles: KeySet) -> DataFrame:
+    marked = flag_matching(links, selected, "user_id", _SELECTED)
+    others = marked.filter(~F.col(_SELECTED)).select("user_id", "role_id")
+    own = marked.filter(F.col(_SELECTED)).select("user_id", "role_id")
+    return others.unionByName(own.unionByName(_every_pair(selected, roles)).distinct())
+
+
+def add_roles(links: DataFrame, selected: Selection, roles: DataFrame) -> DataFrame:
     """Role links after giving ``roles`` (a DataFrame with ``id``) to the selected
     users. Each of their roles is held once; links of other users are untouched
     and are not shuffled."""
-    users = selected.select("user_id")
-    others = drop_matching(links, users, "user_id")
-    own = keep_matching(links, users, "user_id").select("user_id", "role_id")
-    granted = own.unionByName(_every_pair(selected, roles)).distinct()
-    return others.select("user_id", "role_id").unionByName(granted)
+    granted = key_set(roles.select(F.col("id").alias("role_id")), "role_id")
+    return _grant(links, _ids(selected), granted)
 
 
 def add_roles_from_template(
-    links: DataFrame, users: DataFrame, selected: DataFrame, template: str
+    links: DataFrame, users: DataFrame, selected: Selection, template: str
 ) -> DataFrame:
     """Give the roles of the user ``template`` to the selected users."""
-    source = users_by_username(users, [template])
-    if source.isEmpty():
+    source = key_set(
+        users_by_username(users, [template]).select(F.col("id").alias("user_id")), "user_id"
+    )
+    if source.empty:
         raise ValueError(f"template user not found: {template}")
-    held = keep_matching(links, source.select(F.col("id").alias("user_id")), "user_id")
-    return add_roles(links, selected, held.select(F.col("role_id").alias("id")))
+    held = key_set(keep_matching(links, source, "user_id"), "role_id")
+    return _grant(links, _ids(selected), held)
 
 
 def remove_from_groups(
-    members: DataFrame, selected: DataFrame, groups: Iterable[str]
+    members: DataFrame, selected: Selection, groups: Iterable[str]
 ) -> DataFrame:
     """Group members without the selected users in the named groups."""
-    key = F.when(F.col("group_name").isin(list(groups)), F.col("user_id"))
     # A null key matches nothing: members of other groups pass by the join.
+    key = F.when(F.col("group_name").isin(list(groups)), F.col("user_id"))
     keyed = members.withColumn(_SELECTED, key)
-    removed = selected.select(F.col("user_id").alias(_SELECTED))
-    return drop_matching(keyed, removed, _SELECTED).select(*members.columns)
+    kept = drop_matching(keyed, _ids(selected).renamed("user_id", _SELECTED), _SELECTED)
+    return kept.select(*members.columns)

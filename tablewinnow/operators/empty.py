@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from tablewinnow.profile import DATA_TABLES, DEPENDENT_TABLES
 
 
+def without_rows(df: DataFrame) -> DataFrame:
+    return df.filter(F.lit(False))
+
+
 def empty_tables(
     tables: Mapping[str, DataFrame], names: Iterable[str] = DATA_TABLES
 ) -> dict[str, DataFrame]:
     """All tables, those named without their rows. Names not present are skipped."""
     emptied = set(names)
-    return {
-        name: df.filter(F.lit(False)) if name in emptied else df for name, df in tables.items()
-    }
+    return {name: without_rows(df) if name in emptied else df for name, df in tables.items()}
 
 
 def clear_dependents(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewinnow.functions.paths import proper_prefixes
-from tablewinnow.operators.matching import attach
+from tablewinnow.operators.matching import KeySet, attach
 from tablewinnow.plans.rules import Removal
 from tablewinnow.profile import Profile
 
@@ -198,7 +198,7 @@ def place_marks(
         )
         nothing = [F.lit(0).cast("long").alias(c) for c in names("exact", n)]
         descendants = (
-            attach(levels, anchors, profile.path)
+            attach(levels, KeySet(anchors), profile.path)
             .filter(F.col(names("below", n)[0]).isNotNull())
             .select(unit.key, *nothing, *names("below", n))
         )

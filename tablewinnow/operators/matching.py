@@ -3,12 +3,13 @@
 Every prune and access operator comes down to one of three questions about the
 rows of a large table: which match a key set (semi), which do not (anti), and
 which marks does a row's key carry (left outer). The key set comes out of data,
-so nothing is assumed about its size. It is measured first:
+so nothing is assumed about its size. It is computed once, kept in the shared
+checkpoint folder and measured:
 
 * within the limit it is broadcast, and the large table is streamed past it
   without a shuffle;
 * beyond it, keys that hold a large share of the rows are found by a
-  pre-aggregated count. There are at most ``HOT_KEYS`` of them, so rows with
+  pre-aggregated count. There are fewer than ``HOT_KEYS`` of them, so rows with
   such a key, or with a null one, are matched by broadcast and never shuffled.
   All other rows go through an ordinary shuffled join, in which no key is hot.
 """
@@ -16,12 +17,13 @@ so nothing is assumed about its size. It is measured first:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewinnow.settings import BROADCAST_BYTES, HOT_KEYS, setting
+from tablewinnow.settings import BROADCAST_BYTES, HOT_KEYS, materialise, setting
 
 ROW_OVERHEAD = 32
 FIXED_WIDTH = 16
@@ -46,8 +48,45 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    return measured_bytes(df) <= setting(df.sparkSession, BROADCAST_BYTES)
+class KeySet:
+    """Keys, or marks by key, computed once and measured.
+
+    What is broadcast is exactly what was measured, and using the set for several
+    tables computes it once.
+    """
+
+    def __init__(self, frame: DataFrame):
+        self.frame = materialise(frame)
+
+    @cached_property
+    def size(self) -> int:
+        return measured_bytes(self.frame)
+
+    @property
+    def empty(self) -> bool:
+        return self.size == 0
+
+    @property
+    def small(self) -> bool:
+        return self.size <= setting(self.frame.sparkSession, BROADCAST_BYTES)
+
+    def _as(self, frame: DataFrame) -> KeySet:
+        """The same rows in another shape, neither recomputed nor remeasured."""
+        other = KeySet.__new__(KeySet)
+        other.frame = frame
+        other.size = self.size
+        return other
+
+    def renamed(self, old: str, new: str) -> KeySet:
+        return self._as(self.frame.withColumnRenamed(old, new))
+
+    def flagged(self, flag: str) -> KeySet:
+        return self._as(self.frame.withColumn(flag, F.lit(True)))
+
+
+def key_set(df: DataFrame, *on: str) -> KeySet:
+    """The distinct non-null keys of ``df``."""
+    return KeySet(df.select(*on).dropna().distinct())
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -56,28 +95,29 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     The count is combined before the shuffle, so a hot key costs one row per
     task. Fewer than HOT_KEYS keys can pass the threshold.
     """
-    total = df.count()
-    threshold = total / setting(df.sparkSession, HOT_KEYS)
+    threshold = df.count() / setting(df.sparkSession, HOT_KEYS)
     counts = df.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") > threshold).drop("n")
 
 
-def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def _join(left: DataFrame, keys: KeySet, on: Sequence[str], how: str) -> DataFrame:
     on = list(on)
+    right = keys.frame
     added = [c for c in right.columns if c not in on] if how == "left" else []
     columns = [*left.columns, *added]
-    if fits_broadcast(right):
+    if keys.small:
         return left.join(F.broadcast(right), on, how).select(*columns)
 
-    hot = F.broadcast(hot_keys(left, on).withColumn(_HOT, F.lit(True)))
+    hot = F.broadcast(materialise(hot_keys(left, on).withColumn(_HOT, F.lit(True))))
     any_null = F.lit(False)
     for key in on:
         any_null = any_null | F.col(key).isNull()
-
     flagged = left.join(hot, on, "left")
     unshuffled = flagged.filter(F.col(_HOT).isNotNull() | any_null).drop(_HOT)
-    hot_right = F.broadcast(right.join(hot, on, "left_semi"))
     shuffled = flagged.filter(F.col(_HOT).isNull() & ~any_null).drop(_HOT)
+    if how != "left":
+        right = right.distinct()
+    hot_right = F.broadcast(right.join(hot, on, "left_semi"))
     return (
         unshuffled.join(hot_right, on, how)
         .select(*columns)
@@ -85,21 +125,35 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> Dat
     )
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def _settled(keys: DataFrame | KeySet, on: Sequence[str]) -> KeySet:
+    return keys if isinstance(keys, KeySet) else key_set(keys, *on)
+
+
+def keep_matching(
+    df: DataFrame, keys: DataFrame | KeySet, on: str | Sequence[str]
+) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys``; rows keep their multiplicity."""
     on = [on] if isinstance(on, str) else list(on)
-    return _join(df, keys.select(*on).distinct(), on, "left_semi")
+    return _join(df, _settled(keys, on), on, "left_semi")
 
 
-def drop_matching(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def drop_matching(
+    df: DataFrame, keys: DataFrame | KeySet, on: str | Sequence[str]
+) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys``. A null key, on either side,
     matches nothing, so such rows stay."""
     on = [on] if isinstance(on, str) else list(on)
-    return _join(df, keys.select(*on).distinct(), on, "left_anti")
+    return _join(df, _settled(keys, on), on, "left_anti")
 
 
-def attach(df: DataFrame, marks: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def attach(df: DataFrame, marks: KeySet, on: str | Sequence[str]) -> DataFrame:
     """Add the columns of ``marks`` to the rows of ``df``, null where the key has
     none. ``marks`` must hold one row per key: rows of ``df`` are not repeated."""
-    on = [on] if isinstance(on, str) else list(on)
-    return _join(df, marks, on, "left")
+    return _join(df, marks, [on] if isinstance(on, str) else on, "left")
+
+
+def flag_matching(df: DataFrame, keys: DataFrame | KeySet, on: str, flag: str) -> DataFrame:
+    """All rows of ``df`` with a boolean column telling whether their key is in
+    ``keys``. A ``KeySet`` passed here must hold each key once."""
+    marked = attach(df, _settled(keys, [on]).flagged(flag), on)
+    return marked.withColumn(flag, F.col(flag).isNotNull())

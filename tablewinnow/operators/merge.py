@@ -11,22 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewinnow.operators.matching import attach, drop_matching, keep_matching
+from tablewinnow.operators.matching import (
+    KeySet,
+    attach,
+    drop_matching,
+    flag_matching,
+    keep_matching,
+    key_set,
+)
 
 _SOURCE = "_tw_source"
 _PRESENT = "_tw_present"
 
 
-def _one_row_per_key(source: DataFrame, key: str) -> DataFrame:
+def _one_row_per_key(source: DataFrame, key: str) -> KeySet:
     row = F.struct(*source.columns)
-    return source.dropna(subset=[key]).groupBy(key).agg(F.max(row).alias(_SOURCE))
+    return KeySet(source.dropna(subset=[key]).groupBy(key).agg(F.max(row).alias(_SOURCE)))
 
 
-def _created(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Source rows whose key the target lacks. The target is only reduced to the
-    keys it shares with the source, so a large target is not shuffled."""
-    present = keep_matching(target.select(key), rows, key)
-    return drop_matching(rows, present, key)
+def _present(target: DataFrame, keys: KeySet, key: str) -> KeySet:
+    """Keys of the source that the target has. The target is only reduced to
+    them, so a large target is not shuffled for a small import."""
+    return key_set(keep_matching(target.select(key), keys, key), key)
 
 
 def merge_metadata(target: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
@@ -41,15 +47,14 @@ def merge_metadata(target: DataFrame, source: DataFrame, key: str = "id") -> Dat
             for c in target.columns
         ]
     )
-    created = _created(target, rows, key).select(f"{_SOURCE}.*")
+    created = drop_matching(rows.frame, _present(target, rows, key), key).select(f"{_SOURCE}.*")
     return updated.unionByName(created, allowMissingColumns=True)
 
 
 def merge_summary(target: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
     """One row: total, created, updated, deleted and ignored source rows."""
-    counts = source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    present = keep_matching(target.select(key), counts.select(key).dropna(), key).distinct()
-    marked = attach(counts, present.withColumn(_PRESENT, F.lit(True)), key)
+    counts = KeySet(source.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    marked = flag_matching(counts.frame, _present(target, counts, key), key, _PRESENT)
     has_key = F.col(key).isNotNull()
     repeats = F.when(has_key, F.col("n") - 1).otherwise(F.col("n"))
 
@@ -58,8 +63,8 @@ def merge_summary(target: DataFrame, source: DataFrame, key: str = "id") -> Data
 
     return marked.agg(
         total(F.col("n")).alias("total"),
-        F.count_if(has_key & F.col(_PRESENT).isNull()).alias("created"),
-        F.count_if(has_key & F.col(_PRESENT).isNotNull()).alias("updated"),
+        F.count_if(has_key & ~F.col(_PRESENT)).alias("created"),
+        F.count_if(has_key & F.col(_PRESENT)).alias("updated"),
         F.lit(0).cast("long").alias("deleted"),
         total(repeats).alias("ignored"),
     )

@@ -1,7 +1,8 @@
 """Removing one selection of records from a table set.
 
-Each function returns the whole table set with the retained rows. They are the
-single-rule forms of ``PrunePlan``, which applies many rules in one pass.
+Each function returns a plan whose ``table(name)`` is the retained rows of a
+table and whose ``tables()`` is the whole set. They are the single-rule forms of
+``PrunePlan``, which applies many rules in one pass.
 """
 
 from __future__ import annotations
@@ -102,12 +103,12 @@ def strip_event_keys(
 
 
 def prune_trackers_full(
-    tables: Tables, programs: Uids, profile: Profile = HEALTH_RECORDS, reuse: bool = False
+    tables: Tables, programs: Uids, profile: Profile = HEALTH_RECORDS
 ) -> PrunePlan:
     """Everything about the tracker programs: their events with audits and
     comments, their enrolments, and the enrolled entities with their attributes,
     ownership and all their other enrolments."""
-    return PrunePlan(tables, [Removal(0, TRACKERS, tuple(programs))], profile, reuse)
+    return _prune(tables, profile, Removal(0, TRACKERS, tuple(programs)))
 
 
 def prune_trackers_scoped(
@@ -144,11 +145,8 @@ def strip_tracker_keys(
 
 
 def prune_department(
-    tables: Tables,
-    department: Department,
-    profile: Profile = HEALTH_RECORDS,
-    reuse: bool = False,
+    tables: Tables, department: Department, profile: Profile = HEALTH_RECORDS
 ) -> PrunePlan:
     """Everything of every family a department lists."""
     whole = Rule(position=0, department=department.key, action=REMOVE)
-    return PrunePlan(tables, route_rule(department, whole), profile, reuse)
+    return _prune(tables, profile, *route_rule(department, whole))

@@ -6,10 +6,9 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablewinnow.operators import access
-from tablewinnow.operators.matching import drop_matching
+from tablewinnow.operators.matching import KeySet, drop_matching, key_set
 from tablewinnow.operators.merge import merge_metadata
 from tablewinnow.plans.rules import load_config
 from tablewinnow.settings import materialise
@@ -67,6 +66,8 @@ def apply_entry(
         selected = access.selected_ids(
             state.users, state.members, entry.get(USERNAMES_KEY, ()), entry.get(GROUPS_KEY, ())
         )
+        if selected.empty:
+            return state
         if action == ACTIVATE:
             return replace(state, users=access.activate(state.users, selected))
         if action == DELETE_OTHERS:
@@ -75,8 +76,6 @@ def apply_entry(
             roles = access.roles_named(state.roles, entry.get(ADD_ROLES, ()))
             return replace(state, links=access.add_roles(state.links, selected, roles))
         if action == ADD_ROLES_FROM_TEMPLATE:
-            if selected.isEmpty():
-                return state
             links = access.add_roles_from_template(
                 state.links, state.users, selected, entry[ADD_ROLES_FROM_TEMPLATE]
             )
@@ -94,15 +93,16 @@ def apply_entry(
     raise ValueError(f"unknown action: {action}")
 
 
-def _delete_others(state: AccessState, selected: DataFrame, operator_user: str) -> AccessState:
+def _delete_others(state: AccessState, selected: KeySet, operator_user: str) -> AccessState:
     """A deleted user leaves their groups and gives up their roles."""
     removed = access.removed_by_keep_only(state.users, selected, operator_user)
-    removed = removed.select(F.col("id").alias("user_id"))
+    ids = key_set(removed, "id")
+    gone = ids.renamed("id", "user_id")
     return replace(
         state,
-        users=access.keep_only(state.users, selected, operator_user),
-        members=drop_matching(state.members, removed, "user_id"),
-        links=drop_matching(state.links, removed, "user_id"),
+        users=drop_matching(state.users, ids, "id"),
+        members=drop_matching(state.members, gone, "user_id"),
+        links=drop_matching(state.links, gone, "user_id"),
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablewinnow.functions.jsonkeys import has_any_key, without_keys
-from tablewinnow.operators.empty import clear_dependents
+from tablewinnow.operators.empty import without_rows
 from tablewinnow.operators.marks import (
     WORD_BITS,
     bit,
@@ -28,10 +28,15 @@ from tablewinnow.operators.marks import (
     stage_marks,
     word,
 )
-from tablewinnow.operators.matching import attach, drop_matching, keep_matching
+from tablewinnow.operators.matching import (
+    KeySet,
+    attach,
+    drop_matching,
+    keep_matching,
+    key_set,
+)
 from tablewinnow.plans.rules import DATASETS, TRACKERS, Department, Removal, Rule, plan_removals
-from tablewinnow.profile import HEALTH_RECORDS, Fact, Profile
-from tablewinnow.settings import materialise
+from tablewinnow.profile import DEPENDENT_TABLES, HEALTH_RECORDS, Fact, Profile
 
 _MATCHED = "matched"
 
@@ -52,16 +57,16 @@ class FactPlan:
         self.profile = profile
 
     @cached_property
-    def _item_marks(self) -> DataFrame:
+    def _item_marks(self) -> KeySet:
         resolve = element_marks if self.fact is self.profile.values else stage_marks
-        return resolve(self.tables, self.removals, self.profile)
+        return KeySet(resolve(self.tables, self.removals, self.profile))
 
     @cached_property
-    def _place_marks(self) -> DataFrame | None:
+    def _place_marks(self) -> KeySet | None:
         marks = place_marks(self.tables, self.removals, self.profile)
         if marks is None:
             return None
-        return marks.withColumnRenamed(self.profile.org_unit.key, self.fact.place)
+        return KeySet(marks.withColumnRenamed(self.profile.org_unit.key, self.fact.place))
 
     @cached_property
     def marked(self) -> DataFrame:
@@ -116,7 +121,8 @@ class FactPlan:
         ]
 
     def label(self, index: int) -> str:
-        return f"rule_{self.removals[index].rule}_{self.removals[index].family}"
+        """Name of a removal's count: its rule, its family and its place in the list."""
+        return f"rule_{self.removals[index].rule}_{self.removals[index].family}_{index}"
 
     def retained(self, observation: Observation | None = None) -> DataFrame:
         """The rows that stay. An observation receives the counts in the same pass."""
@@ -148,10 +154,10 @@ class FactPlan:
 class PrunePlan:
     """What a list of removals leaves of a table set.
 
-    ``tables`` maps names to DataFrames; tables that are missing are not
-    produced. With ``reuse`` the event and entity keys that several tables need
-    are computed once and kept in the checkpoint folder; without it each table
-    resolves its own, which suits asking for a single one.
+    ``tables`` maps names to DataFrames; only those a table's plan needs are
+    looked up. ``cleared`` names tables that are emptied first. Key sets are
+    resolved when a table first needs them, from the input and once for all
+    tables, so the outcome does not depend on what is written in between.
     """
 
     def __init__(
@@ -159,56 +165,54 @@ class PrunePlan:
         tables: Mapping[str, DataFrame],
         removals: Sequence[Removal],
         profile: Profile = HEALTH_RECORDS,
-        reuse: bool = False,
+        cleared: Sequence[str] = (),
     ):
-        self.source = dict(tables)
+        self.source = tables
         self.profile = profile
-        self.reuse = reuse
+        self.cleared = frozenset(cleared)
         self.removals = list(removals)
         datasets = [r for r in self.removals if r.family == DATASETS]
         programs = [r for r in self.removals if r.family != DATASETS]
-        self.values = FactPlan(self.source, profile.values, datasets, profile)
-        self.events = FactPlan(self.source, profile.events, programs, profile)
+        self.values = FactPlan(tables, profile.values, datasets, profile)
+        self.events = FactPlan(tables, profile.events, programs, profile)
         self.full_datasets = [r for r in datasets if r.full]
         self.full_programs = [r for r in programs if r.full]
         self.full_trackers = [r for r in self.full_programs if r.family == TRACKERS]
 
-    def _shared(self, keys: DataFrame) -> DataFrame:
-        return materialise(keys) if self.reuse else keys
-
     @cached_property
-    def removed_elements(self) -> DataFrame:
+    def removed_elements(self) -> KeySet:
         marks = element_marks(self.source, self.full_datasets, self.profile)
-        return marks.select(self.profile.element.key)
+        return KeySet(marks.select(self.profile.element.key))
 
     @cached_property
-    def removed_events(self) -> DataFrame:
+    def removed_events(self) -> KeySet:
         """Keys of all events of the programs that are removed in full."""
         fact = self.profile.events
-        stages = stage_marks(self.source, self.full_programs, self.profile)
+        stages = KeySet(stage_marks(self.source, self.full_programs, self.profile))
         events = keep_matching(self.source[fact.table], stages, fact.item)
-        return self._shared(events.select(fact.key))
+        return KeySet(events.select(fact.key))
 
     @cached_property
-    def removed_programs(self) -> DataFrame:
+    def removed_programs(self) -> KeySet:
         marks = program_marks(self.source, self.full_trackers, self.profile)
-        return marks.select(
-            F.col(self.profile.program.key).alias(self.profile.enrolment.program)
-        )
+        key = F.col(self.profile.program.key)
+        return KeySet(marks.select(key.alias(self.profile.enrolment.program)))
 
     @cached_property
-    def removed_entities(self) -> DataFrame:
+    def removed_entities(self) -> KeySet:
         """Entities enrolled in a tracker program that is removed in full."""
         enrolment = self.profile.enrolment
         enrolled = keep_matching(
             self.source[enrolment.table], self.removed_programs, enrolment.program
         )
-        return self._shared(enrolled.select(enrolment.entity).dropna().distinct())
+        return key_set(enrolled, enrolment.entity)
 
     def table(self, name: str, observation: Observation | None = None) -> DataFrame:
         """The retained rows of one table."""
         df = self.source[name]
         profile = self.profile
+        if name in self.cleared:
+            return without_rows(df)
         if name == profile.values.table:
             return self.values.retained(observation)
         if name == profile.events.table:
@@ -235,9 +239,8 @@ def apply_rules(
     departments: Sequence[Department],
     rules: Sequence[Rule],
     profile: Profile = HEALTH_RECORDS,
-    reuse: bool = False,
 ) -> tuple[PrunePlan, list[Rule]]:
     """Plan a whole rule file: dependents are cleared first, then every removal
     applies. Also returns the rules whose department is unknown."""
     removals, unmatched = plan_removals(departments, rules)
-    return PrunePlan(clear_dependents(tables), removals, profile, reuse), unmatched
+    return PrunePlan(tables, removals, profile, cleared=DEPENDENT_TABLES), unmatched
