@@ -100,7 +100,13 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return counts.filter(F.col("n") > threshold).drop("n")
 
 
-def _join(left: DataFrame, keys: KeySet, on: Sequence[str], how: str) -> DataFrame:
+def _join(
+    left: DataFrame,
+    keys: KeySet,
+    on: Sequence[str],
+    how: str,
+    counted_on: DataFrame | None = None,
+) -> DataFrame:
     on = list(on)
     right = keys.frame
     added = [c for c in right.columns if c not in on] if how == "left" else []
@@ -108,7 +114,8 @@ def _join(left: DataFrame, keys: KeySet, on: Sequence[str], how: str) -> DataFra
     if keys.small:
         return left.join(F.broadcast(right), on, how).select(*columns)
 
-    hot = F.broadcast(materialise(hot_keys(left, on).withColumn(_HOT, F.lit(True))))
+    frequent = hot_keys(left if counted_on is None else counted_on, on)
+    hot = F.broadcast(materialise(frequent.withColumn(_HOT, F.lit(True))))
     any_null = F.lit(False)
     for key in on:
         any_null = any_null | F.col(key).isNull()
@@ -146,10 +153,17 @@ def drop_matching(
     return _join(df, _settled(keys, on), on, "left_anti")
 
 
-def attach(df: DataFrame, marks: KeySet, on: str | Sequence[str]) -> DataFrame:
+def attach(
+    df: DataFrame,
+    marks: KeySet,
+    on: str | Sequence[str],
+    counted_on: DataFrame | None = None,
+) -> DataFrame:
     """Add the columns of ``marks`` to the rows of ``df``, null where the key has
-    none. ``marks`` must hold one row per key: rows of ``df`` are not repeated."""
-    return _join(df, marks, [on] if isinstance(on, str) else on, "left")
+    none. ``marks`` must hold one row per key: rows of ``df`` are not repeated.
+    Frequent keys may be counted on a cheaper table ``counted_on``, with at least
+    as many rows per key as ``df``."""
+    return _join(df, marks, [on] if isinstance(on, str) else on, "left", counted_on)
 
 
 def flag_matching(df: DataFrame, keys: DataFrame | KeySet, on: str, flag: str) -> DataFrame:

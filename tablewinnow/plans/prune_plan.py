@@ -39,6 +39,7 @@ from tablewinnow.plans.rules import DATASETS, TRACKERS, Department, Removal, Rul
 from tablewinnow.profile import DEPENDENT_TABLES, HEALTH_RECORDS, Fact, Profile
 
 _MATCHED = "matched"
+_PLACE = "_tw_place"
 
 
 class FactPlan:
@@ -66,18 +67,26 @@ class FactPlan:
         marks = place_marks(self.tables, self.removals, self.profile)
         if marks is None:
             return None
-        return KeySet(marks.withColumnRenamed(self.profile.org_unit.key, self.fact.place))
+        return KeySet(marks.withColumnRenamed(self.profile.org_unit.key, _PLACE))
 
     @cached_property
     def marked(self) -> DataFrame:
         """The fact rows with the removals each is subject to."""
         n = len(self.removals)
-        rows = attach(self.tables[self.fact.table], self._item_marks, self.fact.item)
+        fact = self.tables[self.fact.table]
+        rows = attach(fact, self._item_marks, self.fact.item)
         if self._place_marks is not None:
-            rows = attach(rows, self._place_marks, self.fact.place)
+            # Where something happened only matters for rows that some removal
+            # selects by item. The others have no place to look up, and if place
+            # marks are too many to broadcast, they are not shuffled for them.
+            place = F.col(self.fact.place)
+            selected = F.col(names("item", n)[0]).isNotNull()
+            rows = rows.withColumn(_PLACE, F.when(selected, place))
+            everywhere = fact.select(place.alias(_PLACE))
+            rows = attach(rows, self._place_marks, _PLACE, counted_on=everywhere)
         found = matched_words(self.removals, self._place_marks is not None)
-        columns = self.tables[self.fact.table].columns
-        return rows.select(*columns, *[m.alias(c) for m, c in zip(found, names(_MATCHED, n))])
+        matched = [m.alias(c) for m, c in zip(found, names(_MATCHED, n))]
+        return rows.select(*fact.columns, *matched)
 
     def _has(self, index: int) -> Column:
         return bit(F.col(names(_MATCHED, len(self.removals))[index // WORD_BITS]), index)
