@@ -177,7 +177,7 @@ def _after_access_rules(part: str) -> Query:
 
 
 def _order_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = fixtures.base_table(spark, sf_dir, "orders")
 
     def item(name):
         return F.struct(name.alias("id"))
@@ -350,12 +350,12 @@ def queries() -> dict[str, Query]:
     result["redact_credentials"] = _on("connection_log")(
         lambda log: log.select("page_id", redact_credentials(F.col("line")).alias("line"))
     )
-    result["url_segments"] = lambda spark, sf_dir: spark.read.parquet(
-        f"{sf_dir}/pages.parquet"
-    ).select("page_id", last_segment(F.col("url")).alias("segment"))
-    result["event_stamps"] = lambda spark, sf_dir: spark.read.parquet(
-        f"{sf_dir}/events.parquet"
-    ).select("event_id", stamp(F.col("ts")).alias("stamp"))
+    result["url_segments"] = _on("pages")(
+        lambda pages: pages.select("page_id", last_segment(F.col("url")).alias("segment"))
+    )
+    result["event_stamps"] = _on("events")(
+        lambda events: events.select("event_id", stamp(F.col("ts")).alias("stamp"))
+    )
     result["role_arrays"] = _order_arrays
     return result
 
@@ -550,7 +550,7 @@ def oracle_sql() -> dict[str, str]:
     sql["prune_events_scoped_programs"] = _keep(
         "programstageinstance", f"({_stages(['signup'])} AND {_below(place, ['R0'])})"
     )
-    with_events = ctes("programstageinstance", "programstage", "organisationunit")
+    with_events = ctes("programstageinstance", "programstage", "program", "organisationunit")
     condition = f"{_stages(['view', 'error'])} AND {_below(place, ['R0', 'R1', 'R2'])}"
     sql["strip_event_keys"] = (
         f"{with_events} SELECT {_strip(condition, ['de1', 'de2', 'k'])} FROM programstageinstance"

@@ -11,23 +11,34 @@ from collections.abc import Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = (
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-    "events",
-    "pages",
-)
+# The schemas are known, so that no file is opened to infer them.
+BASE_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "pages": "page_id long, url string, html string",
+}
 
 _EVENT_PROGRAM = (
     "CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 "
     "WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END"
 )
 _TRACKER_PROGRAM = "10 + CAST(substr(o_orderpriority, 1, 1) AS INT)"
+_EVENT_STAGE = f"CAST({_EVENT_PROGRAM} * 10 + CASE WHEN value < 35 THEN 0 ELSE 1 END AS INT)"
+_TRACKER_STAGE = (
+    f"CAST(({_TRACKER_PROGRAM}) * 10 + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS INT)"
+)
 _BRAND = "CAST(substr(p_brand, 7) AS INT)"
 
 VIEWS = {
@@ -37,16 +48,16 @@ VIEWS = {
         FROM {region}
         UNION ALL
         SELECT CAST(n_nationkey AS BIGINT) * 4 + 1, concat('N', n_nationkey),
-               concat('/R', n_regionkey, '/N', n_nationkey)
+               concat('/R', n_nationkey % 5, '/N', n_nationkey)
         FROM {nation}
         UNION ALL
         SELECT c_custkey * 4 + 2, concat('C', c_custkey),
-               concat('/R', n_regionkey, '/N', n_nationkey, '/C', c_custkey)
-        FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
+               concat('/R', c_nationkey % 5, '/N', c_nationkey, '/C', c_custkey)
+        FROM {customer}
         UNION ALL
         SELECT s_suppkey * 4 + 3, concat('S', s_suppkey),
-               concat('/R', n_regionkey, '/N', n_nationkey, '/S', s_suppkey)
-        FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
+               concat('/R', s_nationkey % 5, '/N', s_nationkey, '/S', s_suppkey)
+        FROM {supplier}""",
     "dataset": f"SELECT DISTINCT {_BRAND} AS datasetid, p_brand AS uid FROM {{part}}",
     "dataelement": (
         "SELECT p_partkey AS dataelementid, concat('DE', p_partkey) AS uid FROM {part}"
@@ -68,18 +79,18 @@ VIEWS = {
         UNION ALL
         SELECT DISTINCT {_TRACKER_PROGRAM}, concat('TP', substr(o_orderpriority, 1, 1))
         FROM {{orders}}""",
-    "programstage": """
-        SELECT programid * 10 AS programstageid, programid FROM {program}
+    "programstage": f"""
+        SELECT DISTINCT {_EVENT_STAGE} AS programstageid, {_EVENT_PROGRAM} AS programid
+        FROM {{events}}
         UNION ALL
-        SELECT programid * 10 + 1, programid FROM {program}""",
+        SELECT DISTINCT {_TRACKER_STAGE}, {_TRACKER_PROGRAM} FROM {{orders}}""",
     "programinstance": f"""
         SELECT o_orderkey AS programinstanceid, {_TRACKER_PROGRAM} AS programid,
                o_custkey AS trackedentityinstanceid
         FROM {{orders}}""",
     "programstageinstance": f"""
         SELECT event_id * 2 AS programstageinstanceid,
-               CAST({_EVENT_PROGRAM} * 10 + CASE WHEN value < 35 THEN 0 ELSE 1 END AS INT)
-                   AS programstageid,
+               {_EVENT_STAGE} AS programstageid,
                CAST(NULL AS BIGINT) AS programinstanceid,
                user_id * 4 + 2 AS organisationunitid,
                CASE WHEN value >= 5 THEN
@@ -88,8 +99,7 @@ VIEWS = {
         FROM {{events}}
         UNION ALL
         SELECT o_orderkey * 2 + 1,
-               CAST(({_TRACKER_PROGRAM}) * 10
-                    + CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS INT),
+               {_TRACKER_STAGE},
                o_orderkey, o_custkey * 4 + 2,
                concat('{{{{"de', o_custkey % 5, '":', o_custkey, ',"k":null}}}}')
         FROM {{orders}}""",
@@ -168,6 +178,10 @@ DATABASE = (
 )
 
 
+def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(BASE_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 class Views(Mapping):
     """The views over the generated tables of one folder, each built when it is
     first asked for."""
@@ -181,7 +195,7 @@ class Views(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in BASE_TABLES:
-                frame = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+                frame = base_table(self._spark, self._sf_dir, name)
             else:
                 text = VIEWS[name]
                 frame = self._spark.sql(text, **{n: self[n] for n in references(text)})

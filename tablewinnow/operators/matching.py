@@ -17,9 +17,8 @@ checkpoint folder and measured:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,27 +39,26 @@ def _width(field: T.StructField) -> Column:
     return F.lit(FIXED_WIDTH)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """In-memory size of ``df`` as one distributed aggregate."""
-    row_bytes = F.lit(ROW_OVERHEAD)
+def row_bytes(df: DataFrame) -> Column:
+    """In-memory size of a row of ``df``."""
+    total = F.lit(ROW_OVERHEAD)
     for field in df.schema.fields:
-        row_bytes = row_bytes + _width(field)
-    return df.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0
+        total = total + _width(field)
+    return total.cast("long")
 
 
 class KeySet:
-    """Keys, or marks by key, computed once and measured.
+    """Keys, or marks by key, computed once and measured in the same pass.
 
     What is broadcast is exactly what was measured, and using the set for several
-    tables computes it once.
+    tables computes it once. A task that runs twice can only make the set look
+    larger than it is.
     """
 
-    def __init__(self, frame: DataFrame):
-        self.frame = materialise(frame)
-
-    @cached_property
-    def size(self) -> int:
-        return measured_bytes(self.frame)
+    def __init__(self, df: DataFrame):
+        observation = Observation()
+        self.frame = materialise(df.observe(observation, F.sum(row_bytes(df)).alias("bytes")))
+        self.size = observation.get["bytes"] or 0
 
     @property
     def empty(self) -> bool:

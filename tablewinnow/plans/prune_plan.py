@@ -37,6 +37,7 @@ from tablewinnow.operators.matching import (
 )
 from tablewinnow.plans.rules import DATASETS, TRACKERS, Department, Removal, Rule, plan_removals
 from tablewinnow.profile import DEPENDENT_TABLES, HEALTH_RECORDS, Fact, Profile
+from tablewinnow.settings import concurrently
 
 _MATCHED = "matched"
 _PLACE = "_tw_place"
@@ -69,9 +70,14 @@ class FactPlan:
             return None
         return KeySet(marks.withColumnRenamed(self.profile.org_unit.key, _PLACE))
 
+    def resolve(self) -> None:
+        """Compute the marks; item and place marks do not depend on each other."""
+        concurrently(lambda: self._item_marks, lambda: self._place_marks)
+
     @cached_property
     def marked(self) -> DataFrame:
         """The fact rows with the removals each is subject to."""
+        self.resolve()
         n = len(self.removals)
         fact = self.tables[self.fact.table]
         rows = attach(fact, self._item_marks, self.fact.item)
@@ -239,7 +245,19 @@ class PrunePlan:
                 return drop_matching(df, self.removed_entities, enrolment.entity)
         return df
 
+    def resolve(self) -> None:
+        """Compute all key sets the whole table set needs, side by side."""
+        jobs = [fact.resolve for fact in (self.values, self.events) if fact.removals]
+        if self.full_datasets:
+            jobs.append(lambda: self.removed_elements)
+        if self.full_programs:
+            jobs.append(lambda: self.removed_events)
+        if self.full_trackers:
+            jobs.append(lambda: self.removed_entities)
+        concurrently(*jobs)
+
     def tables(self) -> dict[str, DataFrame]:
+        self.resolve()
         return {name: self.table(name) for name in self.source}
 
 

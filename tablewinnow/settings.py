@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Jobs submitted at the same time; each is itself distributed.
+PARALLEL_JOBS = 8
+
 BROADCAST_BYTES = "spark.tablewinnow.broadcastBytes"
 HOT_KEYS = "spark.tablewinnow.hotKeys"
 
@@ -42,3 +47,11 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and keep it in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def concurrently(*jobs: Callable[[], object]) -> list:
+    """Results of independent driver calls whose Spark jobs may run side by side."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(min(len(jobs), PARALLEL_JOBS)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]

@@ -6,11 +6,11 @@ distributed job per table; the driver only handles names.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from fnmatch import fnmatchcase
+from functools import partial
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tablewinnow.functions.text import view_name
 from tablewinnow.profile import PROTECTED_TABLES
+from tablewinnow.settings import concurrently
 
 # Derived tables and the schema a clone leaves out.
 DERIVED_TABLES = ("aggregated*", "analytics*", "completeness*")
@@ -26,9 +27,6 @@ SYSTEM_SCHEMAS = ("sys",)
 # Fixed value: minute-grained stamp in the name of a snapshot.
 STAMP = "%Y-%m-%d_%H%M"
 
-# Tables copied at the same time; each copy is itself a distributed job.
-PARALLEL_JOBS = 8
-
 # Lists the tables of a folder and is written last, so a folder without it is
 # incomplete. The dot keeps it apart from table names.
 MANIFEST = "table.manifest"
@@ -175,10 +173,8 @@ class Jdbc:
         )
 
 
-def _in_parallel(job: Callable[[str], None], names: Iterable[str]) -> None:
-    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        for done in [pool.submit(job, name) for name in names]:
-            done.result()
+def _copy(source: TableSource, target: Database, name: str) -> None:
+    target.write(name, source.read(name))
 
 
 def clone_tables(
@@ -196,7 +192,7 @@ def clone_tables(
         target.clear(protected)
         kept = set(target.names())
         names = [name for name in names if name not in kept]
-    _in_parallel(lambda name: target.write(name, source.read(name)), names)
+    concurrently(*[partial(_copy, source, target, name) for name in names])
     return names
 
 
@@ -210,7 +206,7 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str) -> str:
     def write(name: str) -> None:
         tables[name].write.mode("errorifexists").parquet(f"{folder}/{name}")
 
-    _in_parallel(write, tables)
+    concurrently(*[partial(write, name) for name in tables])
     if tables:
         spark = next(iter(tables.values())).sparkSession
         manifest = spark.createDataFrame([(name,) for name in tables], "name string")
