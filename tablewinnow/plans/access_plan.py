@@ -39,13 +39,18 @@ class AccessState:
     links: DataFrame
     metadata: Mapping[str, DataFrame]
 
-    def materialised(self) -> AccessState:
+    def materialised(self, since: AccessState) -> AccessState:
+        """The same state, with what changed since ``since`` kept as it is now."""
+
+        def keep(df: DataFrame, before: DataFrame | None) -> DataFrame:
+            return df if df is before else materialise(df)
+
         return replace(
             self,
-            users=materialise(self.users),
-            members=materialise(self.members),
-            links=materialise(self.links),
-            metadata={name: materialise(df) for name, df in self.metadata.items()},
+            users=keep(self.users, since.users),
+            members=keep(self.members, since.members),
+            links=keep(self.links, since.links),
+            metadata={n: keep(df, since.metadata.get(n)) for n, df in self.metadata.items()},
         )
 
 
@@ -128,12 +133,12 @@ def apply_access_rules(
 ) -> AccessState:
     """Fold the entries over the state. ``sources`` maps the file names that import
     entries mention to the tables read from them."""
-    applied = 0
+    kept, pending = state, 0
     for entry in entries:
         following = apply_entry(state, entry, operator_user, sources or {})
-        if following is not state:
-            applied += 1
-            if applied % ENTRIES_PER_CHECKPOINT == 0:
-                following = following.materialised()
+        pending += following is not state
         state = following
+        if pending == ENTRIES_PER_CHECKPOINT:
+            state = kept = state.materialised(kept)
+            pending = 0
     return state
