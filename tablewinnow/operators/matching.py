@@ -12,6 +12,7 @@ checkpoint folder and measured:
   pre-aggregated count. There are fewer than ``HOT_KEYS`` of them, so rows with
   such a key, or with a null one, are matched by broadcast and never shuffled.
   All other rows go through an ordinary shuffled join, in which no key is hot.
+  Without such keys there is only the shuffled join.
 """
 
 from __future__ import annotations
@@ -88,13 +89,13 @@ def key_set(df: DataFrame, *on: str) -> KeySet:
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Non-null keys that hold more than 1/HOT_KEYS of the rows of ``df``.
+    """Keys, a null one included, that hold more than 1/HOT_KEYS of the rows.
 
     The count is combined before the shuffle, so a hot key costs one row per
     task. Fewer than HOT_KEYS keys can pass the threshold.
     """
     threshold = df.count() / setting(df.sparkSession, HOT_KEYS)
-    counts = df.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") > threshold).drop("n")
 
 
@@ -112,16 +113,19 @@ def _join(
     if keys.small:
         return left.join(F.broadcast(right), on, how).select(*columns)
 
-    frequent = hot_keys(left if counted_on is None else counted_on, on)
-    hot = F.broadcast(materialise(frequent.withColumn(_HOT, F.lit(True))))
+    if how != "left":
+        right = right.select(*on).distinct()
+    frequent = KeySet(hot_keys(left if counted_on is None else counted_on, on))
+    if frequent.empty:
+        return left.join(right, on, how).select(*columns)
+
+    hot = F.broadcast(frequent.flagged(_HOT).frame)
     any_null = F.lit(False)
     for key in on:
         any_null = any_null | F.col(key).isNull()
     flagged = left.join(hot, on, "left")
     unshuffled = flagged.filter(F.col(_HOT).isNotNull() | any_null).drop(_HOT)
     shuffled = flagged.filter(F.col(_HOT).isNull() & ~any_null).drop(_HOT)
-    if how != "left":
-        right = right.distinct()
     hot_right = F.broadcast(right.join(hot, on, "left_semi"))
     return (
         unshuffled.join(hot_right, on, how)

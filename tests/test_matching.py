@@ -65,7 +65,7 @@ def test_empty_keys(join_path, spark, fact):
 
 def test_hot_keys_are_few_and_frequent(spark, fact):
     spark.conf.set("spark.tablewinnow.hotKeys", "10")
-    assert rows(hot_keys(fact, ["k"])) == [(1,), (2,)]
+    assert rows(hot_keys(fact, ["k"])) == [(1,), (2,), (None,)]
     spark.conf.unset("spark.tablewinnow.hotKeys")
 
 
@@ -89,16 +89,30 @@ def test_a_small_key_set_is_broadcast_and_nothing_is_shuffled(fact, keys, tmp_pa
     assert "Exchange hashpartitioning" not in plan
 
 
-def test_a_large_key_set_is_shuffled_without_its_hot_keys(fact, keys, spark):
-    spark.conf.set("spark.tablewinnow.broadcastBytes", "0")
-    spark.conf.set("spark.tablewinnow.hotKeys", "10")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(drop_matching(fact, keys, "k"))
-    finally:
-        for name in ("tablewinnow.broadcastBytes", "tablewinnow.hotKeys"):
-            spark.conf.unset(f"spark.{name}")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.fixture
+def nothing_small(spark):
+    settings = {
+        "spark.tablewinnow.broadcastBytes": "0",
+        "spark.tablewinnow.hotKeys": "10",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def test_a_large_key_set_is_shuffled_without_the_hot_keys(fact, keys, nothing_small):
+    plan = plan_of(drop_matching(fact, keys, "k"))
     assert "SortMergeJoin" in plan and "LeftAnti" in plan
     assert "BroadcastHashJoin" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_without_hot_keys_the_rows_are_read_once(spark, keys, nothing_small):
+    even = spark.range(100).withColumnRenamed("id", "k")
+    left = drop_matching(even, keys, "k")
+    plan = plan_of(left)
+    assert rows(left) == [r for r in rows(even) if r[0] not in (1, 5, 99)]
+    assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan
