@@ -27,6 +27,7 @@ from tablewinnow.plans.access_plan import AccessState, apply_access_rules
 from tablewinnow.plans.prune_plan import PrunePlan, apply_rules
 from tablewinnow.plans.rules import read_departments, read_rules
 from tablewinnow.profile import DATA_TABLES, DEPENDENT_TABLES
+from tablewinnow.sources.directory import flat_users, role_links
 from tablewinnow.sources.tableset import derived_view_names, select_tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -192,6 +193,23 @@ def _order_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _nested_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as user objects, some without credentials."""
+    credentials = F.struct(
+        F.concat(F.lit("c"), "c_custkey").alias("username"),
+        (F.col("c_acctbal") < 1000).alias("disabled"),
+        F.array(
+            F.struct(F.col("c_mktsegment").alias("id")),
+            F.struct(F.concat(F.lit("NATION_"), "c_nationkey").alias("id")),
+        ).alias("userRoles"),
+    )
+    return fixtures.base_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("U"), "c_custkey").alias("id"),
+        F.col("c_name").alias("username"),
+        F.when(F.col("c_acctbal") >= 0, credentials).alias("userCredentials"),
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The rule file applied to the fact table of data values."""
     return queries()["apply_rules_datavalue"](spark, SMOKE_DIR)
@@ -341,6 +359,9 @@ def queries() -> dict[str, Query]:
     for part in ("users", "members", "links"):
         result[f"apply_access_rules_{part}"] = _after_access_rules(part)
 
+    result["flat_users"] = lambda spark, sf_dir: flat_users(_nested_users(spark, sf_dir))
+    result["role_links"] = lambda spark, sf_dir: role_links(_nested_users(spark, sf_dir))
+
     # Metadata.
     on_metadata = _on("metadata_target", "metadata_source")
     result["merge_metadata"] = on_metadata(merge_metadata)
@@ -665,6 +686,18 @@ def oracle_sql() -> dict[str, str]:
         "SELECT * FROM links2 WHERE user_id IN (SELECT id FROM remaining)", steps
     )
 
+    sql["flat_users"] = (
+        "SELECT concat('U', c_custkey) AS id, "
+        "CASE WHEN c_acctbal >= 0 THEN concat('c', c_custkey) ELSE c_name END AS username, "
+        "CASE WHEN c_acctbal >= 0 THEN c_acctbal < 1000 END AS disabled FROM customer"
+    )
+    sql["role_links"] = (
+        "SELECT concat('U', c_custkey) AS user_id, c_mktsegment AS role_id FROM customer "
+        "WHERE c_acctbal >= 0 UNION ALL "
+        "SELECT concat('U', c_custkey), concat('NATION_', c_nationkey) FROM customer "
+        "WHERE c_acctbal >= 0"
+    )
+
     with_metadata = ctes("metadata_target", "metadata_source")
     sql["merge_metadata"] = with_metadata + (
         " SELECT coalesce(t.id, s.id) AS id, coalesce(s.name, t.name) AS name, "

@@ -41,6 +41,7 @@ from tablewinnow.settings import concurrently
 
 _MATCHED = "matched"
 _PLACE = "_tw_place"
+_KEYS = "_tw_keys"
 
 
 class FactPlan:
@@ -115,19 +116,15 @@ class FactPlan:
         ]
         return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
-    def _stripped(self) -> Column | None:
-        """The document without the keys of all matching removals, in one edit."""
+    def _stripped_keys(self) -> Column | None:
+        """The keys all matching removals take out of a row's document."""
         none = F.array().cast("array<string>")
-        keys_by_removal = [
+        keys = [
             F.when(self._has(i), F.array(*[F.lit(key) for key in r.elements])).otherwise(none)
             for i, r in enumerate(self.removals)
             if r.strips
         ]
-        if not keys_by_removal:
-            return None
-        keys = keys_by_removal[0] if len(keys_by_removal) == 1 else F.concat(*keys_by_removal)
-        document = F.col(self.fact.document)
-        return F.when(F.size(keys) > 0, without_keys(document, keys)).otherwise(document)
+        return F.array_distinct(F.concat(*keys)) if keys else None
 
     def counts(self) -> list[Column]:
         """Rows each removal acts on. A row hit by two removals counts for both."""
@@ -147,9 +144,13 @@ class FactPlan:
         if observation is not None:
             rows = rows.observe(observation, *self.counts())
         rows = rows.filter(~self._deleted())
-        document = self._stripped()
-        if document is not None:
-            rows = rows.withColumn(self.fact.document, document)
+        keys = self._stripped_keys()
+        if keys is not None:
+            document = F.col(self.fact.document)
+            edited = F.when(F.size(_KEYS) > 0, without_keys(document, F.col(_KEYS)))
+            rows = rows.withColumn(_KEYS, keys).withColumn(
+                self.fact.document, edited.otherwise(document)
+            )
         return rows.select(*self.tables[self.fact.table].columns)
 
     def rule_counts(self) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Jobs submitted at the same time; each is itself distributed.
@@ -54,4 +55,6 @@ def concurrently(*jobs: Callable[[], object]) -> list:
     if len(jobs) < 2:
         return [job() for job in jobs]
     with ThreadPoolExecutor(min(len(jobs), PARALLEL_JOBS)) as pool:
-        return [done.result() for done in [pool.submit(job) for job in jobs]]
+        inherit = inheritable_thread_target(SparkSession.active())
+        running = [pool.submit(inherit(job)) for job in jobs]
+        return [job.result() for job in running]

@@ -9,6 +9,7 @@ from tablewinnow.operators.matching import (
     hot_keys,
     keep_matching,
 )
+from tablewinnow.settings import concurrently, ensure_checkpoint_dir, materialise
 
 
 @pytest.fixture(scope="module")
@@ -116,3 +117,17 @@ def test_without_hot_keys_the_rows_are_read_once(spark, keys, nothing_small):
     plan = plan_of(left)
     assert rows(left) == [r for r in rows(even) if r[0] not in (1, 5, 99)]
     assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan
+
+
+def test_the_checkpoint_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named in ensure_checkpoint_dir(spark)
+    kept = materialise(spark.range(5))
+    assert rows(kept) == [(0,), (1,), (2,), (3,), (4,)]
+
+
+def test_jobs_side_by_side_return_in_order(spark):
+    jobs = [lambda n=n: spark.range(n).count() for n in (3, 1, 2)]
+    assert concurrently(*jobs) == [3, 1, 2]
+    with pytest.raises(ZeroDivisionError):
+        concurrently(lambda: 1, lambda: 1 // 0)
