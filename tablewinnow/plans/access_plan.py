@@ -12,6 +12,7 @@ from tablewinnow.operators.matching import KeySet, drop_matching, key_set
 from tablewinnow.operators.merge import merge_metadata
 from tablewinnow.plans.rules import load_config
 from tablewinnow.settings import materialise
+from tablewinnow.sources.directory import read_metadata
 
 # Spellings used in access entries.
 USERNAMES_KEY = "selectUsernames"
@@ -54,18 +55,29 @@ class AccessState:
         )
 
 
-def load_entries(spark: SparkSession, path: str) -> list[Mapping]:
+def load_entries(spark: SparkSession, path: str) -> list[Mapping | str]:
     return load_config(spark, path).get("postprocess", [])
 
 
+def read_imports(
+    spark: SparkSession, entries: Iterable[Mapping | str], folder: str
+) -> dict[str, dict[str, DataFrame]]:
+    """The tables of every metadata document the entries import from ``folder``."""
+    files = [f for entry in entries if isinstance(entry, Mapping) for f in entry.get(FILES_KEY, ())]
+    return {file: read_metadata(spark, f"{folder}/{file}") for file in dict.fromkeys(files)}
+
+
 def apply_entry(
     state: AccessState,
-    entry: Mapping,
+    entry: Mapping | str,
     operator_user: str,
     sources: Mapping[str, Mapping[str, DataFrame]],
 ) -> AccessState:
     """The state after one entry. Without a selector, or with one that finds
-    nobody, nothing changes; an unknown action is an error."""
+    nobody, nothing changes; an unknown action is an error. Addresses of further
+    entries are not followed."""
+    if not isinstance(entry, Mapping):
+        return state
     action = entry.get("action")
     if USERNAMES_KEY in entry or GROUPS_KEY in entry:
         selected = access.selected_ids(
@@ -127,12 +139,12 @@ def import_metadata(
 
 def apply_access_rules(
     state: AccessState,
-    entries: Iterable[Mapping],
+    entries: Iterable[Mapping | str],
     operator_user: str,
     sources: Mapping[str, Mapping[str, DataFrame]] | None = None,
 ) -> AccessState:
     """Fold the entries over the state. ``sources`` maps the file names that import
-    entries mention to the tables read from them."""
+    entries mention to the tables read from them, see ``read_imports``."""
     kept, pending = state, 0
     for entry in entries:
         following = apply_entry(state, entry, operator_user, sources or {})

@@ -8,7 +8,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tablewinnow.plans.access_plan import AccessState, apply_access_rules, load_entries
+from tablewinnow.plans.access_plan import (
+    AccessState,
+    apply_access_rules,
+    load_entries,
+    read_imports,
+)
 from tablewinnow.plans.prune_plan import PrunePlan, apply_rules
 from tablewinnow.plans.rules import Rule, load_rules
 from tablewinnow.profile import HEALTH_RECORDS, Profile
@@ -47,13 +52,15 @@ def refresh(
     source: TableSource,
     folder: str,
     operator_user: str,
-    import_sources: Mapping[str, Mapping[str, DataFrame]] | None = None,
+    import_folder: str | None = None,
     profile: Profile = HEALTH_RECORDS,
 ) -> Outcome:
     """Write to ``folder`` what the configuration makes of the source tables.
 
     The source is only read. Rows matched per removal are counted while the fact
-    tables are written; a row hit by two removals counts for both.
+    tables are written; a row hit by two removals counts for both. Import entries
+    read their documents from ``import_folder`` and merge each list of objects
+    into the table of that name.
     """
     departments, rules = load_rules(spark, config)
     tables = {name: source.read(name) for name in selected_names(source.names())}
@@ -65,7 +72,8 @@ def refresh(
         parts = {part: outcome[table] for part, table in ACCESS_TABLES.items()}
         others = {n: df for n, df in outcome.items() if n not in ACCESS_TABLES.values()}
         state = AccessState(**parts, metadata=others)
-        after = apply_access_rules(state, entries, operator_user, import_sources)
+        imports = read_imports(spark, entries, import_folder) if import_folder else {}
+        after = apply_access_rules(state, entries, operator_user, imports)
         changed = {table: getattr(after, part) for part, table in ACCESS_TABLES.items()}
         outcome = {**after.metadata, **changed}
 

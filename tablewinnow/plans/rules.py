@@ -115,7 +115,7 @@ def load_rules(spark: SparkSession, path: str) -> tuple[list[Department], list[R
     )
 
 
-def _uids(name: str, value) -> tuple[str, ...]:
+def _uids(name: str, value: str | Iterable[str]) -> tuple[str, ...]:
     values = [value] if isinstance(value, str) else list(value)
     if not values:
         raise RuleError(f"{name} is empty: leave it out or list what it should select")
@@ -136,31 +136,33 @@ def read_departments(departments: Mapping[str, Mapping]) -> list[Department]:
 
 
 def read_rule(position: int, entry: Mapping) -> Rule:
-    """Check one entry and bring it into a uniform shape."""
+    """Check one entry and bring it into a uniform shape. What entries with
+    another action hold is not looked at."""
+    values = {name.lower(): value for name, value in entry.items()}
+    try:
+        department, action = values.pop(DEPARTMENT_KEY.lower()), values.pop(ACTION_KEY)
+    except KeyError as missing:
+        raise RuleError(f"rule {position}: {missing} is required") from None
+    if action != REMOVE:
+        return Rule(position, department, action)
+
     types: tuple[str, ...] = ()
     selected: dict[str, tuple[str, ...]] = {}
     lists: dict[str, tuple[str, ...]] = {}
-    department = action = None
-    for name, value in entry.items():
-        key = name.lower()
-        if key == DEPARTMENT_KEY.lower():
-            department = value
-        elif key == ACTION_KEY:
-            action = value
-        elif key in _TYPE_LISTS:
-            unknown = [t for t in _uids(name, value) if t.lower() not in _TYPES]
+    for name, value in values.items():
+        uids = _uids(f"rule {position}: {name}", value)
+        if name in _TYPE_LISTS:
+            unknown = [t for t in uids if t.lower() not in _TYPES]
             if unknown:
                 raise RuleError(f"rule {position}: unknown metadata type {unknown}")
-            types += tuple(_TYPES[t.lower()] for t in _uids(name, value))
-        elif key in _SELECTIONS:
-            family = _SELECTIONS[key]
-            selected[family] = selected.get(family, ()) + _uids(name, value)
-        elif key in _LISTS:
-            lists[key] = _uids(name, value)
+            types += tuple(_TYPES[t.lower()] for t in uids)
+        elif name in _SELECTIONS:
+            family = _SELECTIONS[name]
+            selected[family] = selected.get(family, ()) + uids
+        elif name in _LISTS:
+            lists[name] = uids
         else:
             raise RuleError(f"rule {position}: unknown key {name}")
-    if department is None or action is None:
-        raise RuleError(f"rule {position}: {DEPARTMENT_KEY} and {ACTION_KEY} are required")
     return Rule(
         position=position,
         department=department,

@@ -142,6 +142,7 @@ def test_entries_see_what_earlier_ones_left(state, monkeypatch):
         {"selectUsernames": ["bob"], "action": "activate"},
         {"action": "activate"},
         {},
+        "https://example.org/more-entries.json",
     ]
     after = apply_access_rules(state, entries, "admin")
     assert rows(after.users) == [

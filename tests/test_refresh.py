@@ -37,7 +37,8 @@ def test_refresh(spark, tmp_path):
         "userroles": spark.createDataFrame([], "id string, name string"),
         "userrolemembers": spark.createDataFrame([], "user_id string, role_id string"),
     }
-    imported = spark.createDataFrame([(1, "new"), (2, "two")], "id long, name string")
+    document = {"things": [{"id": 1, "name": "new"}, {"id": 2, "name": "two"}], "date": "2024"}
+    (tmp_path / "import.json").write_text(json.dumps(document))
     config = tmp_path / "config.json"
     config.write_text(json.dumps(CONFIG))
     source = Folder(spark, write_tables(tables, str(tmp_path / "source")))
@@ -48,7 +49,7 @@ def test_refresh(spark, tmp_path):
         source,
         str(tmp_path / "clone"),
         operator_user="admin",
-        import_sources={"import.json": {"things": imported}},
+        import_folder=str(tmp_path),
     )
 
     model = Model(content)

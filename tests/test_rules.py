@@ -81,6 +81,8 @@ def test_doubtful_rules_are_refused(entry):
 def test_rule_needs_department_and_action():
     with pytest.raises(RuleError):
         read_rule(0, {"selectDepartament": "Dep"})
+    with pytest.raises(RuleError):
+        read_rule(0, {"action": "removeData"})
     with pytest.raises(RuleError):
         read_departments({"Dep": {"programs": ["x"]}})
 
@@ -103,7 +105,7 @@ def test_binding_follows_departments_then_rules():
         {"selectDepartament": "OTHER", "action": "removeData"},
         {"selectDepartament": "dep", "selectMetadataType": ["dataSets"], "action": "removeData"},
         {"selectDepartament": "NOPE", "action": "removeData"},
-        {"selectDepartament": "dep", "action": "somethingElse"},
+        {"selectDepartament": "dep", "action": "somethingElse", "itsOwnKey": []},
         {"selectDepartament": "DEP", "selectDatasets": ["x"], "action": "removeData"},
     ]
     removals, unmatched = plan_removals(read_departments(DEPARTMENTS), read_rules(entries))
