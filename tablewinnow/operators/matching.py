@@ -115,9 +115,11 @@ def _join(
 
     if how != "left":
         right = right.select(*on).distinct()
+    # Measured to be large, so an estimate must not make it a broadcast after all.
+    shuffled_right = right.hint("merge")
     frequent = KeySet(hot_keys(left if counted_on is None else counted_on, on))
     if frequent.empty:
-        return left.join(right, on, how).select(*columns)
+        return left.join(shuffled_right, on, how).select(*columns)
 
     hot = F.broadcast(frequent.flagged(_HOT).frame)
     any_null = F.lit(False)
@@ -130,7 +132,7 @@ def _join(
     return (
         unshuffled.join(hot_right, on, how)
         .select(*columns)
-        .unionByName(shuffled.join(right, on, how).select(*columns))
+        .unionByName(shuffled.join(shuffled_right, on, how).select(*columns))
     )
 
 

@@ -91,10 +91,16 @@ class Folder:
 
 @dataclass(frozen=True)
 class Database:
-    """A database of the session catalog, as a source or a target."""
+    """A database of the session catalog, as a source or a target.
+
+    ``buckets`` maps table names to (column, number of buckets). A fact table that
+    is bucketed by the key its dependents share is not shuffled when it is matched
+    against a key set too large to broadcast.
+    """
 
     spark: SparkSession
     name: str
+    buckets: Mapping[str, tuple[str, int]] = field(default_factory=dict)
 
     def _list(self, views: bool) -> list[str]:
         return [
@@ -116,7 +122,14 @@ class Database:
         return self.spark.table(self._quoted(name))
 
     def write(self, name: str, df: DataFrame) -> None:
-        df.write.mode("errorifexists").saveAsTable(self._quoted(name))
+        writer = df.write.mode("errorifexists")
+        if name in self.buckets:
+            column, count = self.buckets[name]
+            # A task writes whole buckets, so that there are few files. Adaptive
+            # execution splits a bucket that a hot key makes too large for one task.
+            gathered = df.hint("rebalance", count, F.col(column))
+            writer = gathered.write.mode("errorifexists").bucketBy(count, column).sortBy(column)
+        writer.saveAsTable(self._quoted(name))
 
     def drop_view(self, name: str) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {self._quoted(name)}")

@@ -95,7 +95,6 @@ def nothing_small(spark):
     settings = {
         "spark.tablewinnow.broadcastBytes": "0",
         "spark.tablewinnow.hotKeys": "10",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
     for name, value in settings.items():
         spark.conf.set(name, value)

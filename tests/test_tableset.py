@@ -3,6 +3,7 @@ from conftest import rows
 from pyspark.errors import AnalysisException
 
 from tablewinnow.operators.empty import clear_dependents, empty_tables
+from tablewinnow.operators.matching import drop_matching
 from tablewinnow.sources.tableset import (
     Database,
     Folder,
@@ -71,6 +72,23 @@ def test_clone_from_frames(spark, databases):
     assert target.read("t").count() == 4
 
 
+def test_a_bucketed_table_is_not_shuffled_for_a_large_key_set(spark, databases):
+    target = Database(spark, "clone_target", buckets={"comments": ("event", 4)})
+    target.write("comments", spark.range(40).selectExpr("id % 20 AS event", "id AS comment"))
+    comments = target.read("comments")
+    spark.conf.set("spark.tablewinnow.broadcastBytes", "0")
+    try:
+        left = drop_matching(comments, spark.range(5).withColumnRenamed("id", "event"), "event")
+        plan = left._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.tablewinnow.broadcastBytes")
+    # The one exchange by key is that of the key set; the table is read by bucket.
+    assert "SortMergeJoin" in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    table_side = plan.split("SortMergeJoin")[1].split("FileScan")[0]
+    assert "Exchange" not in table_side
+    assert left.count() == 30
+
+
 def test_write_and_read_back(spark, tmp_path):
     tables = {"a": spark.range(3), "b": spark.range(0)}
     folder = write_tables(tables, str(tmp_path / "out"))
