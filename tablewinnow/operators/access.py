@@ -26,6 +26,7 @@ from tablewinnow.operators.matching import (
     keep_matching,
     key_set,
 )
+from tablewinnow.settings import materialise
 
 _SELECTED = "_tw_selected"
 _SHARD = "_tw_shard"
@@ -153,7 +154,10 @@ def _grant(links: DataFrame, selected: KeySet, roles: KeySet) -> DataFrame:
     marked = flag_matching(links, selected, "user_id", _SELECTED)
     others = marked.filter(~F.col(_SELECTED)).select("user_id", "role_id")
     own = marked.filter(F.col(_SELECTED)).select("user_id", "role_id")
-    return others.unionByName(own.unionByName(_every_pair(selected, roles)).distinct())
+    # The selected users' links are kept apart, so that the result refers to
+    # ``links`` once: a chain of grants grows by one step each, not twofold.
+    granted = materialise(own.unionByName(_every_pair(selected, roles)).distinct())
+    return others.unionByName(granted)
 
 
 def add_roles(links: DataFrame, selected: Selection, roles: DataFrame) -> DataFrame:

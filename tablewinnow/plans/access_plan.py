@@ -26,7 +26,8 @@ REMOVE_FROM_GROUPS = "removeFromGroups"
 IMPORT = "import"
 
 # Each entry reads what earlier ones left, so lineage grows with the list. It is
-# cut after this many entries that changed something.
+# cut after this many entries that changed something, and at once after a change
+# by a key set too large to broadcast, which reads the table twice.
 ENTRIES_PER_CHECKPOINT = 8
 
 
@@ -39,6 +40,11 @@ class AccessState:
     roles: DataFrame
     links: DataFrame
     metadata: Mapping[str, DataFrame]
+    pending: int = 0
+
+    def changed(self, by: KeySet, **tables: DataFrame) -> AccessState:
+        steps = 1 if by.small else ENTRIES_PER_CHECKPOINT
+        return replace(self, pending=self.pending + steps, **tables)
 
     def materialised(self, since: AccessState) -> AccessState:
         """The same state, with what changed since ``since`` kept as it is now."""
@@ -52,6 +58,7 @@ class AccessState:
             members=keep(self.members, since.members),
             links=keep(self.links, since.links),
             metadata={n: keep(df, since.metadata.get(n)) for n, df in self.metadata.items()},
+            pending=0,
         )
 
 
@@ -86,22 +93,22 @@ def apply_entry(
         if selected.empty:
             return state
         if action == ACTIVATE:
-            return replace(state, users=access.activate(state.users, selected))
+            return state.changed(selected, users=access.activate(state.users, selected))
         if action == DELETE_OTHERS:
             return _delete_others(state, selected, operator_user)
         if action == ADD_ROLES:
             roles = access.roles_named(state.roles, entry.get(ADD_ROLES, ()))
-            return replace(state, links=access.add_roles(state.links, selected, roles))
+            links = access.add_roles(state.links, selected, roles)
+            return state.changed(selected, links=links)
         if action == ADD_ROLES_FROM_TEMPLATE:
             links = access.add_roles_from_template(
                 state.links, state.users, selected, entry[ADD_ROLES_FROM_TEMPLATE]
             )
-            return replace(state, links=links)
+            return state.changed(selected, links=links)
         if action == REMOVE_FROM_GROUPS:
             groups = entry.get(REMOVE_FROM_GROUPS, ())
-            return replace(
-                state, members=access.remove_from_groups(state.members, selected, groups)
-            )
+            members = access.remove_from_groups(state.members, selected, groups)
+            return state.changed(selected, members=members)
     elif FILES_KEY in entry:
         if action == IMPORT:
             return import_metadata(state, entry[FILES_KEY], sources)
@@ -115,8 +122,8 @@ def _delete_others(state: AccessState, selected: KeySet, operator_user: str) ->
     removed = access.removed_by_keep_only(state.users, selected, operator_user)
     ids = key_set(removed, "id")
     gone = ids.renamed("id", "user_id")
-    return replace(
-        state,
+    return state.changed(
+        ids,
         users=drop_matching(state.users, ids, "id"),
         members=drop_matching(state.members, gone, "user_id"),
         links=drop_matching(state.links, gone, "user_id"),
@@ -134,7 +141,7 @@ def import_metadata(
         for name, source in sources[file].items():
             target = metadata.get(name, source.limit(0))
             metadata[name] = merge_metadata(target, source)
-    return replace(state, metadata=metadata)
+    return replace(state, metadata=metadata, pending=state.pending + 1)
 
 
 def apply_access_rules(
@@ -145,12 +152,9 @@ def apply_access_rules(
 ) -> AccessState:
     """Fold the entries over the state. ``sources`` maps the file names that import
     entries mention to the tables read from them, see ``read_imports``."""
-    kept, pending = state, 0
+    kept = state
     for entry in entries:
-        following = apply_entry(state, entry, operator_user, sources or {})
-        pending += following is not state
-        state = following
-        if pending == ENTRIES_PER_CHECKPOINT:
+        state = apply_entry(state, entry, operator_user, sources or {})
+        if state.pending >= ENTRIES_PER_CHECKPOINT:
             state = kept = state.materialised(kept)
-            pending = 0
     return state

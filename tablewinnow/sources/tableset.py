@@ -80,13 +80,14 @@ class Folder:
 
     spark: SparkSession
     path: str
+    format: str = "parquet"
 
     def names(self) -> list[str]:
         manifest = self.spark.read.json(f"{self.path}/{MANIFEST}", schema="name string")
         return sorted(row["name"] for row in manifest.collect())
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        return self.spark.read.format(self.format).load(f"{self.path}/{name}")
 
 
 @dataclass(frozen=True)
@@ -209,7 +210,9 @@ def clone_tables(
     return names
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str) -> str:
+def write_tables(
+    tables: Mapping[str, DataFrame], folder: str, format: str = "parquet"
+) -> str:
     """Write each table below a new folder, and the manifest when all are there.
 
     Nothing is overwritten: the folder must be new, so that a table can be
@@ -217,7 +220,7 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str) -> str:
     """
 
     def write(name: str) -> None:
-        tables[name].write.mode("errorifexists").parquet(f"{folder}/{name}")
+        tables[name].write.format(format).mode("errorifexists").save(f"{folder}/{name}")
 
     concurrently(*[partial(write, name) for name in tables])
     if tables:

@@ -119,6 +119,18 @@ def test_granting_makes_no_cross_join(state):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_a_chain_of_grants_reads_the_links_once(spark, state, tmp_path):
+    state.links.write.parquet(str(tmp_path / "links"))
+    links = spark.read.parquet(str(tmp_path / "links"))
+    for name in ("Reader", "Writer", "Admin"):
+        links = access.add_roles(
+            links, select(state, ["ann"]), access.roles_named(state.roles, [name])
+        )
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert rows(links.filter("user_id = 'u1'")) == [("u1", "r1"), ("u1", "r2"), ("u1", "r3")]
+
+
 def test_remove_from_groups(join_path, state):
     selected = select(state, ["cat"], ["g1"])
     members = access.remove_from_groups(state.members, selected, ["g2", "g3"])

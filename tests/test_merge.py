@@ -27,7 +27,9 @@ def test_repeats_do_not_depend_on_partitioning(spark):
 
 def test_columns_and_types_of_the_target_are_kept(spark):
     target = spark.createDataFrame([("a", 1, "z"), ("b", 2, None)], "id string, n int, own string")
-    source = spark.createDataFrame([("a", 7, True), ("c", 8, False)], "id string, n long, new boolean")
+    source = spark.createDataFrame(
+        [("a", 7, True), ("c", 8, False)], "id string, n long, new boolean"
+    )
     merged = merge_metadata(target, source)
     assert merged.dtypes == target.dtypes
     assert rows(merged) == [("a", 7, "z"), ("b", 2, None), ("c", 8, None)]

@@ -252,7 +252,8 @@ def test_rows_are_conserved_and_counted(spark, small):
             expected[removal.rule] = sum(a != b for a, b in zip(before, after))
         else:
             expected[removal.rule] = len(before) - len(after)
-    counted = {r[0]: r[2] for r in rows(plan.values.rule_counts()) + rows(plan.events.rule_counts())}
+    totals = rows(plan.values.rule_counts()) + rows(plan.events.rule_counts())
+    counted = {rule: matched for rule, _, matched in totals}
     assert counted == expected
 
     observation = Observation()

@@ -100,6 +100,12 @@ def test_write_and_read_back(spark, tmp_path):
         write_tables(tables, folder)
 
 
+@pytest.mark.parametrize("format", ["parquet", "orc", "json"])
+def test_formats(spark, tmp_path, format):
+    folder = write_tables({"a": spark.range(3)}, str(tmp_path / "out"), format)
+    assert rows(Folder(spark, folder, format).read("a")) == [(0,), (1,), (2,)]
+
+
 def test_a_table_can_be_written_from_a_plan_that_reads_the_old_one(spark, tmp_path):
     first = write_tables({"a": spark.range(10)}, str(tmp_path / "one"))
     pruned = {"a": Folder(spark, first).read("a").filter("id > 6")}
