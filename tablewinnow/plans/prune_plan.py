@@ -247,13 +247,19 @@ class PrunePlan:
         return df
 
     def resolve(self) -> None:
-        """Compute all key sets the whole table set needs, side by side."""
-        jobs = [fact.resolve for fact in (self.values, self.events) if fact.removals]
-        if self.full_datasets:
+        """Compute the key sets the tables at hand need, side by side."""
+        at_hand = set(self.source) - self.cleared
+        enrolment = self.profile.enrolment
+        jobs = [
+            plan.resolve
+            for plan in (self.values, self.events)
+            if plan.removals and plan.fact.table in at_hand
+        ]
+        if self.full_datasets and at_hand & set(self.profile.values.dependents):
             jobs.append(lambda: self.removed_elements)
-        if self.full_programs:
+        if self.full_programs and at_hand & set(self.profile.events.dependents):
             jobs.append(lambda: self.removed_events)
-        if self.full_trackers:
+        if self.full_trackers and at_hand & {enrolment.table, *enrolment.entity_tables}:
             jobs.append(lambda: self.removed_entities)
         concurrently(*jobs)
 

@@ -297,5 +297,8 @@ def test_inputs_are_not_looked_up_before_they_are_needed(small):
     wanted = {k: v for k, v in tables.items() if k in ("dataset", "datasetelement", "datavalue")}
     plan = prune.prune_datasets_full(wanted, ["DS1"])
     assert plan.table("datavalue").columns == wanted["datavalue"].columns
+    # A table set need not be complete.
+    whole = PrunePlan(wanted, [Removal(0, DATASETS, ("DS1",)), Removal(1, TRACKERS, ("T1",))])
+    assert set(whole.tables()) == set(wanted)
 
 
