@@ -15,7 +15,10 @@ def has_any_key(document: Column, keys: Column) -> Column:
 def without_keys(document: Column, keys: Column) -> Column:
     """The object without ``keys``. Text that has none of them is returned byte
     for byte; rewritten objects keep their values as typed variants, so numbers,
-    nesting and nulls survive (``1.50`` is printed as ``1.5``)."""
+    nesting and nulls survive (``1.50`` is printed as ``1.5``). A document that
+    variants cannot hold, such as one with a nested key repeated, is returned as
+    it is rather than lost."""
     entries = F.from_json(document, "map<string,variant>")
     kept = F.map_filter(entries, lambda key, _: ~F.array_contains(keys, key))
-    return F.when(has_any_key(document, keys), F.to_json(kept)).otherwise(document)
+    rewritten = F.coalesce(F.to_json(kept), document)
+    return F.when(has_any_key(document, keys), rewritten).otherwise(document)

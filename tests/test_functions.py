@@ -107,6 +107,17 @@ def test_without_keys_keeps_values_exact(spark):
     assert stripped == ['{"n":12345678901234567890,"t":"é \\" \\\\ /","f":false,"z":-0.25}']
 
 
+def test_without_keys_never_loses_a_document(spark):
+    repeated = '{"a":1,"o":{"x":1,"x":2}}'
+    strip = lambda c: without_keys(c, F.array(F.lit("a")))
+    assert evaluate(spark, [repeated], "string", strip) == [repeated]
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    try:
+        assert evaluate(spark, [repeated], "string", strip) == ['{"o":{"x":2}}']
+    finally:
+        spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+
+
 def test_array_expressions(spark):
     schema = "array<struct<id: string, n: int>>"
     values = [[("a", 1), ("b", 2), ("a", 3), (None, 4), (None, 5)], [], None]
