@@ -30,6 +30,14 @@ from tablewinnow.profile import DATA_TABLES, DEPENDENT_TABLES
 from tablewinnow.sources.directory import flat_users, role_links
 from tablewinnow.sources.tableset import derived_view_names, select_tables
 
+try:
+    from tablewinnow.llm import registry as llm
+except ModuleNotFoundError as missing:
+    # The package and the pipeline built on it may be left out, together.
+    if missing.name not in ("tablewinnow.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 DEPARTMENTS = {
@@ -216,6 +224,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return table_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return table_sql() | (llm.oracle_sql() if llm else {})
+
+
+def table_queries() -> dict[str, Query]:
+    """Queries over table sets, rules, users and metadata."""
     result: dict[str, Query] = {}
 
     # Table sets.
@@ -512,7 +529,7 @@ def _granted(links: str, chosen: str, roles: str) -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def table_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     ctes = fixtures.common_table_expressions
 

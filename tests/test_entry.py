@@ -18,15 +18,15 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered.table_queries()) == set(registered.table_sql())
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(registered.table_queries()))
 def test_query_equals_sql(spark, sql, name):
-    result = registered.queries()[name](spark, FOLDER)
+    result = registered.table_queries()[name](spark, FOLDER)
     columns = sorted(result.columns)
     found = sorted(map(repr, (tuple(r) for r in result.select(*columns).collect())))
-    expected = sql.execute(f"SELECT {', '.join(columns)} FROM ({registered.oracle_sql()[name]})")
+    expected = sql.execute(f"SELECT {', '.join(columns)} FROM ({registered.table_sql()[name]})")
     assert found == sorted(map(repr, expected.fetchall()))
 
 
