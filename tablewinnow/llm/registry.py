@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewinnow.llm import mixing, packing
+from tablewinnow.llm import fingerprints, language, mixing, near_dedup, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,8 +15,13 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": mixing.op1_mix_sources,
         "op2_pack": packing.op2_pack,
+        "op3_simhash": fingerprints.op3_simhash,
+        "op4_quality": quality.op4_quality,
+        "op6_near_dedup": near_dedup.op6_near_dedup,
+        "op7_language": language.op7_language,
+        "op9_url_verdicts": urls.op9_url_verdicts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing.ORACLE}
+    return {"op1_mix_sources": mixing.ORACLE, "op9_url_verdicts": urls.oracle()}
