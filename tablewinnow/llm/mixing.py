@@ -96,7 +96,7 @@ def _refined(sized: DataFrame, state: DataFrame, shift: int) -> DataFrame:
     bucket = F.shiftright("hash", shift)
     histogram = (
         sized.join(
-            measured(still, F.octet_length(F.coalesce("of", F.lit(""))) + F.lit(64)),
+            _small(still),
             F.col("source").eqNullSafe(F.col("of"))
             & (F.shiftright("hash", shift + BITS) == F.col("within")),
         )
@@ -128,6 +128,28 @@ def _refined(sized: DataFrame, state: DataFrame, shift: int) -> DataFrame:
     )
 
 
+def _sized(docs: DataFrame) -> DataFrame:
+    return materialise(
+        docs.select(
+            "doc_id", "source",
+            n_words(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("hash"),
+        )
+    )
+
+
+def _small(state: DataFrame) -> DataFrame:
+    return measured(state, F.octet_length(F.coalesce("of", F.lit(""))) + F.lit(64))
+
+
+def plan(sized: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+    """of (the source), source_size, target, whole, below."""
+    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    planned = targets(materialise(weigh_in_turn(sources, weights)), most).drop("weight")
+    return thresholds(sized, planned).select(
+        F.col("source").alias("of"), "source_size", "target", "whole", "below"
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -141,21 +163,11 @@ def mix(
     the hash of an empty text. A source without words has target 0 and copies 0. An empty
     table gives no rows. Other columns are not read.
     """
-    sized = materialise(
-        docs.select(
-            "doc_id", "source",
-            n_words(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("hash"),
-        )
-    )
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    planned = targets(materialise(weigh_in_turn(sources, weights)), most).drop("weight")
-    state = thresholds(sized, planned).select(
-        F.col("source").alias("of"), "source_size", "target", "whole", "below"
-    )
-    small = measured(state, F.octet_length(F.coalesce("of", F.lit(""))) + F.lit(64))
+    sized = _sized(docs)
+    state = plan(sized, weights, most)
     copies = F.col("whole") + (F.col("hash") < F.col("below")).cast("long")
     return (
-        sized.join(small, F.col("source").eqNullSafe(F.col("of")))
+        sized.join(_small(state), F.col("source").eqNullSafe(F.col("of")))
         .withColumn("copies", copies)
         .select(
             "doc_id", "source", "size", "source_size", "target", "copies",
@@ -164,6 +176,21 @@ def mix(
     )
 
 
+def repeated(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (see ``mix``).
+
+    Copies follow from the plan of the sources, which is small; rows are neither joined with
+    each other nor moved."""
+    sized = _sized(docs)
+    state = plan(sized, weights, most).select("of", "whole", "below")
+    copies = F.col("whole") + (id_hash(F.col("doc_id")) < F.col("below")).cast("long")
+    return (
+        docs.join(_small(state), F.col("source").eqNullSafe(F.col("of")))
+        .withColumn("_times", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+        .select(*docs.columns)
+    )
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")

@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewinnow.llm import fingerprints, language, mixing, near_dedup, packing, quality, urls
+import corpus_pipeline
+from tablewinnow.llm import (
+    fingerprints,
+    language,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    secrets,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,9 +29,13 @@ def queries() -> dict[str, Query]:
         "op2_pack": packing.op2_pack,
         "op3_simhash": fingerprints.op3_simhash,
         "op4_quality": quality.op4_quality,
+        "op5_toxicity": toxicity.op5_toxicity,
         "op6_near_dedup": near_dedup.op6_near_dedup,
         "op7_language": language.op7_language,
+        "op8_pii": pii.op8_pii,
         "op9_url_verdicts": urls.op9_url_verdicts,
+        "op10_secrets": secrets.op10_secrets,
+        "pipeline": corpus_pipeline.run,
     }
 
 
