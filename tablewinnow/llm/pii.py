@@ -393,15 +393,22 @@ def _tagged(length: int, spans: list[Span]) -> np.ndarray:
     return tags
 
 
+def _hides(text: str, failed: Span, spans: list[Span]) -> bool:
+    """Whether a match that failed its test may hold personal data that no span has."""
+    start, end, _ = failed
+    inside = any(a <= start and end <= b for a, b, _ in spans)
+    return not inside and len(_digits(text[start:end])) >= 9
+
+
 def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and tags from labelled texts: as they stand, where no match failed its test
-    and no spans overlap, and with two or three labelled spans in a row, joined by a blank."""
+    """Windows and tags from labelled texts: as they stand, where no match that failed its
+    test may hide something and no spans overlap, and with two or three labelled spans in a row, joined by a blank."""
     rng = np.random.default_rng(3)
     real, pieces, around = [], [], []
     for text in texts:
         spans = sorted(base_spans(text))
         overlap = any(a[1] > b[0] for a, b in zip(spans, spans[1:], strict=False))
-        if overlap or base_spans(text, failed=True):
+        if overlap or any(_hides(text, f, spans) for f in base_spans(text, failed=True)):
             continue
         tags = _tagged(len(text), spans)
         for start, end, kind in spans:

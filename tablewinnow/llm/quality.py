@@ -1,9 +1,11 @@
-"""Quality rules: counts per document, and an isolation forest on statistics of them.
+"""Quality rules: counts per document, and isolation forests on statistics of them.
 
 A tree splits a small sample at random values of random statistics; a document that ends
-after few splits is unlike the others. The forest is fitted to a bounded hash sample. The
-score above which a document is rejected is calibrated on all labelled rows, as the lowest
-that rejects at most a given share of the good ones.
+after few splits is unlike the others. Each group of rules has a forest of its own, fitted to
+a bounded hash sample, as one odd statistic does not show among many others. The score
+from which a group rejects a document is calibrated on all labelled rows, as the lowest that
+rejects at most a given share of the good ones; a group that does not reject a much larger
+share of the bad ones rejects nothing.
 """
 
 from __future__ import annotations
@@ -28,11 +30,12 @@ SYMBOLS = "#*$%&|<>"
 SEPARATORS = " \t\n\v\f\r"
 
 TREES = 128
-SUBSAMPLE = 256
+SUBSAMPLE = 64
 SAMPLE = 16_384  # rows the trees draw from, about
-MOST_GOOD_REJECTED = 0.004
+MOST_GOOD_REJECTED = 0.001  # by a group
+LEAST_GAIN = 5  # times the share of good rows that a group may reject
 # Without labelled rows of both kinds.
-DEFAULT_THRESHOLD = 0.7
+DEFAULT_THRESHOLD = 0.8
 _BINS = 2000
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -40,6 +43,13 @@ FEATURES = (
     "log_words", "word_length", "symbols", "dup_lines", "repeats", "upper", "digits",
     "punctuation", "distinct", "line_words", "entropy",
 )
+GROUPS = {
+    "symbols": ("symbols", "punctuation"),
+    "repetition": ("dup_lines", "repeats", "distinct"),
+    "letters": ("word_length", "upper"),
+    "numbers": ("digits", "entropy"),
+    "length": ("log_words", "line_words"),
+}
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -119,9 +129,9 @@ def statistics(docs: DataFrame) -> DataFrame:
                 ["doc_id", *BASE, "features"],
             )
 
-    columns = ", ".join(f"{name} long" for name in ("doc_id", *BASE))
+    types = ", ".join(f"{name} long" for name in ("doc_id", *BASE))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        count, f"{columns}, features array<double>"
+        count, f"{types}, features array<double>"
     )
 
 
@@ -187,62 +197,90 @@ class Forest:
         return 2.0 ** (-total / len(self.depth) / self.usual)
 
 
-def scored(stats: DataFrame, forest: Forest) -> DataFrame:
-    """``stats`` with ``score``."""
+def fit(sample: np.ndarray) -> dict[str, Forest]:
+    """A forest for each group on its columns of ``sample``, whose columns are ``FEATURES``."""
+    return {group: Forest.fit(sample[:, columns(group)]) for group in GROUPS}
+
+
+def columns(group: str) -> list[int]:
+    return [FEATURES.index(name) for name in GROUPS[group]]
+
+
+def scored(stats: DataFrame, forests: dict[str, Forest]) -> DataFrame:
+    """``stats`` with a score for each group in place of the features."""
+    kept = stats.drop("features").columns
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = np.array(frame["features"].tolist(), float).reshape(len(frame), len(FEATURES))
-            yield frame.drop(columns="features").assign(score=forest.score(rows))
+            found = {group: forest.score(rows[:, columns(group)]) for group, forest in forests.items()}
+            yield frame[kept].assign(**found)
 
-    kept = stats.drop("features").columns
-    columns = ", ".join(f"{c} {stats.schema[c].dataType.simpleString()}" for c in kept)
-    return stats.mapInPandas(add, f"{columns}, score double")
+    types = [f"{c} {stats.schema[c].dataType.simpleString()}" for c in kept]
+    return stats.mapInPandas(add, ", ".join([*types, *[f"`{group}` double" for group in forests]]))
 
 
-def calibrate(scores: DataFrame, labels: DataFrame, most: float = MOST_GOOD_REJECTED) -> float:
-    """The least score at which at most ``most`` of the labelled good documents are
-    rejected. All labelled rows count; a histogram of them reaches the driver."""
+def calibrate(
+    scores: DataFrame, labels: DataFrame, most: float = MOST_GOOD_REJECTED
+) -> dict[str, float]:
+    """For each group the least score at which at most ``most`` of the labelled good documents
+    are rejected. All labelled rows count; histograms of them reach the driver."""
     known = label_table(labels).select(F.col("doc_id").alias("of"), "quality")
-    bin_of = F.floor(F.col("score") * _BINS).cast("long").alias("bin")
+    bins = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(group).alias("group"), F.floor(F.col(group) * _BINS).alias("bin"))
+                for group in GROUPS
+            ]
+        )
+    ).alias("at")
     counts = (
         scores.where(F.col("n_words") >= FEWEST_WORDS)
         .join(known, F.col("doc_id") == F.col("of"))
-        .groupBy(bin_of, "quality")
+        .select("quality", bins)
+        .groupBy("at.group", "at.bin", "quality")
         .count()
         .toPandas()
     )
-    good = counts[counts["quality"] == 1].sort_values("bin", ascending=False)
-    if good.empty or not (counts["quality"] == 0).any():
-        return DEFAULT_THRESHOLD
-    allowed = most * good["count"].sum()
-    over = good[good["count"].cumsum() > allowed]["bin"]
-    return (int(over.iloc[0]) + 1) / _BINS
+    found = {}
+    for group in GROUPS:
+        own = counts[counts["group"] == group].sort_values("bin", ascending=False)
+        good, bad = own[own["quality"] == 1], own[own["quality"] == 0]
+        if good.empty or bad.empty:
+            found[group] = DEFAULT_THRESHOLD
+            continue
+        allowed = most * good["count"].sum()
+        over = good[good["count"].cumsum() > allowed]["bin"]
+        least = int(over.iloc[0]) + 1
+        share = bad[bad["bin"] >= least]["count"].sum() / bad["count"].sum()
+        found[group] = least / _BINS if share >= LEAST_GAIN * most else math.inf
+    return found
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, ``BASE``, base_failed, score, kept for each row of ``docs`` (doc_id, text).
+    """doc_id, ``BASE``, a score for each group, base_failed, kept for each row of ``docs``
+    (doc_id, text).
 
     Null texts count as empty: no words, so base_failed. Repeated doc_ids are judged row by
-    row; a null doc_id has no label. Without labels of both kinds the threshold is
+    row; a null doc_id has no label. Without labels of both kinds all thresholds are
     ``DEFAULT_THRESHOLD``. An empty table gives no rows. Other columns are not read.
     """
     stats = materialise(statistics(docs))
-    n = stats.count()
-    draw = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(max(1, n // SAMPLE))) == 0
     # About SAMPLE rows: one in so many of all, by a hash.
+    step = max(1, stats.count() // SAMPLE)
+    draw = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(step)) == 0
     rows = stats.where(draw).select("features").limit(4 * SAMPLE).toPandas()["features"]
     sample = np.array(sorted(map(tuple, rows)), float).reshape(len(rows), len(FEATURES))
-    scores = materialise(scored(stats, Forest.fit(sample)))
-    threshold = calibrate(scores, labels)
+    scores = materialise(scored(stats, fit(sample)))
+    odd = F.lit(False)
+    for group, least in calibrate(scores, labels).items():
+        odd = odd | (F.col(group) >= F.lit(least))
     failed = (F.col("n_words") < FEWEST_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED
     )
-    return scores.withColumn("base_failed", failed).withColumn(
-        "kept", ~failed & (F.col("score") < F.lit(threshold))
-    )
+    return scores.withColumn("base_failed", failed).withColumn("kept", ~failed & ~odd)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return judged.select("doc_id", *BASE, "base_failed", "kept", "score")
+    return judged.select("doc_id", *BASE, "base_failed", "kept", *GROUPS)

@@ -44,6 +44,7 @@ SMOOTHING = 0.02
 LEAST_QUANTILE = 0.02
 MARGIN = 0.4  # log-likelihood per symbol above ordinary tokens
 _SYMBOLS = 66
+MAKEUP = ("[0-9]", "[a-z]", "[A-Z]", "[^A-Za-z0-9]")
 
 Span = tuple[int, int, str]
 
@@ -188,7 +189,7 @@ class Automaton:
 @dataclass
 class Formats:
     automata: dict[str, Automaton]
-    ordinary: Automaton
+    ordinary: list[Automaton]
 
     def kind_of(self, token: str) -> str | None:
         """The kind whose format explains the token best, if any explains it."""
@@ -198,7 +199,8 @@ class Formats:
             score = automaton.score(token)
             if score < automaton.least or (best and score <= best[0]):
                 continue
-            usual = self.ordinary.score(token) if usual is None else usual
+            if usual is None:
+                usual = max((o.score(token) for o in self.ordinary), default=-math.inf)
             if score - usual > MARGIN:
                 best = score, kind
         return best[1] if best else None
@@ -227,10 +229,16 @@ def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
+def makeup(token: str) -> str:
+    """Which classes of symbols a token is made of. Ordinary tokens of each make-up have
+    automata of their own: numbers are not to be judged by words."""
+    return "".join("01"[bool(re.search(test, token))] for test in MAKEUP)
+
+
 def fit(docs: DataFrame, rows: int = TRAINING_DOCS) -> Formats:
     """Infer formats from the credentials, and ordinary tokens from the other candidates, of
     about ``rows`` documents, taken by a hash of the id. Of the distinct values of a kind
-    about ``TRAINING_VALUES``, by their own hash, reach the driver."""
+    (or make-up) about ``TRAINING_VALUES``, by their own hash, reach the driver."""
     step = max(1, docs.count() // rows)
     drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("formats")), F.lit(step)) == 0)
 
@@ -248,10 +256,13 @@ def fit(docs: DataFrame, rows: int = TRAINING_DOCS) -> Formats:
 
     values = drawn.select("text").mapInArrow(take, "kind string, value string").distinct()
     values = materialise(values)
+    # Kinds, and ordinary tokens by make-up.
+    marks = [F.col("value").rlike(test).cast("int") for test in MAKEUP]
+    made_up = F.when(F.col("kind") == "", F.concat(*marks)).otherwise(F.col("kind"))
     chosen = F.lit(False)
-    for kind, n in values.groupBy("kind").count().collect():
+    for group, n in values.groupBy(made_up).count().collect():
         one_in = F.pmod(F.xxhash64("value"), F.lit(max(1, n // TRAINING_VALUES))) == 0
-        chosen = chosen | ((F.col("kind") == kind) & one_in)
+        chosen = chosen | ((made_up == group) & one_in)
     by_kind: dict[str, list[str]] = {}
     for kind, value in values.where(chosen).orderBy("kind", "value").collect():
         by_kind.setdefault(kind, []).append(value)
@@ -260,7 +271,11 @@ def fit(docs: DataFrame, rows: int = TRAINING_DOCS) -> Formats:
         for kind in KINDS
         if len(by_kind.get(kind, [])) >= FEWEST_VALUES
     }
-    return Formats(automata, Automaton.infer(by_kind.get("", [])))
+    plain: dict[str, list[str]] = {}
+    for value in by_kind.get("", []):
+        plain.setdefault(makeup(value), []).append(value)
+    ordinary = [Automaton.infer(v) for v in plain.values() if len(v) >= FEWEST_VALUES]
+    return Formats(automata, ordinary)
 
 
 def find(docs: DataFrame, model: Formats) -> DataFrame:

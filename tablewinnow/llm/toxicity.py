@@ -27,9 +27,8 @@ TRAINING_ROWS = 20_000  # labelled documents learned from, about; at most twice
 VOCABULARY = 4096
 LEAST_CHI = 25.0
 MARKING_ODDS = 3.0  # toxic to clean, as a logarithm
-RIDGE = 2e-4
-STEPS = 400
-TOXIC_FROM = 0.5  # of P(grade >= 1)
+RIDGE = 1e-5
+STEPS = 500
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -46,6 +45,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 class Ordinal:
     weights: dict[str, float]
     thresholds: np.ndarray  # ascending, one less than there are grades
+    toxic_from: float = 0.5  # of P(grade >= 1)
 
     @classmethod
     def fit(cls, vocabulary: list[str], held: list[np.ndarray], grades: np.ndarray) -> Ordinal:
@@ -95,7 +95,20 @@ class Ordinal:
                 np.sqrt(square / (1 - 0.99**step)) + 1e-9
             )
         cuts = value[v] + np.concatenate([[0.0], np.cumsum(np.exp(value[v + 1 :]))])
-        return cls(dict(zip(vocabulary, value[:v].tolist(), strict=True)), cuts)
+        chance = 1 - sigmoid(cuts[0] - np.bincount(rows, value[cols], n))
+        weights = dict(zip(vocabulary, value[:v].tolist(), strict=True))
+        return cls(weights, cuts, cls._best_cut(chance, grades > 0))
+
+    @staticmethod
+    def _best_cut(chance: np.ndarray, toxic: np.ndarray) -> float:
+        """Midway between the neighbouring chances whose cut has the highest F1."""
+        order = np.argsort(-chance, kind="stable")
+        ranked, hits = chance[order], np.cumsum(toxic[order])
+        f1 = 2 * hits / (np.arange(1, len(chance) + 1) + toxic.sum())
+        f1[:-1][ranked[:-1] == ranked[1:]] = 0
+        best = int(f1.argmax())
+        after = ranked[best + 1] if best + 1 < len(ranked) else 0.0
+        return float((ranked[best] + after) / 2)
 
     def above(self, texts: list[str | None]) -> np.ndarray:
         """P(grade >= k) for k from 1, one row per text."""
@@ -201,7 +214,7 @@ def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array(severity, pa.float64()),
                     pa.array(np.rint(severity).astype(np.int32), pa.int32()),
-                    pa.array(above[:, 0] >= TOXIC_FROM, pa.bool_()),
+                    pa.array(above[:, 0] >= shared.value.toxic_from, pa.bool_()),
                 ],
                 ["doc_id", "severity", "grade", "toxic"],
             )
