@@ -72,14 +72,18 @@ def with_next(docs: DataFrame) -> DataFrame:
             )
         ).alias("at"),
     )
-    along = Window.partitionBy("at.in").orderBy(
-        F.col("at.is_copy"), F.col("doc_id").asc_nulls_last(), "row"
-    )
+    # One window for both: fields taken out first, as a window by a field of a struct is
+    # taken for another one and would deal out all texts again.
+    dealt = dealt.select("row", "doc_id", "text", "at.in", "at.is_copy")
+    along = Window.partitionBy("in").orderBy("is_copy", F.col("doc_id").asc_nulls_last(), "row")
     return (
-        dealt.withColumn("next_row", F.lead("row").over(along))
-        .withColumn("next_text", F.lead("text").over(along))
-        .where(~F.col("at.is_copy"))
-        .drop("at")
+        dealt.select(
+            "*",
+            F.lead("row").over(along).alias("next_row"),
+            F.lead("text").over(along).alias("next_text"),
+        )
+        .where(~F.col("is_copy"))
+        .drop("in", "is_copy")
     )
 
 
