@@ -133,7 +133,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST_TEXT
     """Learn from texts with a language that are not held out: about ``per_language`` of
     each by a hash of the id, and no more than ``most`` in all. Only their presence bits,
     ``CELLS / 8`` bytes a text, reach the driver."""
-    learnable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    learnable = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     counts = learnable.groupBy("lang").count()
     n = counts.count()
     each = max(1, min(per_language, most // max(1, n)))

@@ -182,12 +182,15 @@ def repeated(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     Copies follow from the plan of the sources, which is small; rows are neither joined with
     each other nor moved."""
     sized = _sized(docs)
-    state = plan(sized, weights, most).select("of", "whole", "below")
-    copies = F.col("whole") + (id_hash(F.col("doc_id")) < F.col("below")).cast("long")
+    state = plan(sized, weights, most)
+    copies = F.col("_mix.whole") + (id_hash(F.col("doc_id")) < F.col("_mix.below")).cast("long")
     return (
-        docs.join(_small(state), F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("_times", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-        .select(*docs.columns)
+        docs.join(
+            _small(state).select(F.struct("of", "whole", "below").alias("_mix")),
+            F.col("source").eqNullSafe(F.col("_mix.of")),
+        )
+        .withColumn("_time", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+        .drop("_time", "_mix")
     )
 
 

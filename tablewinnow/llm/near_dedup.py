@@ -322,24 +322,24 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     least doc_id, null last; of rows that share it, the least in all columns in order."""
     grouped = materialise(near_duplicates(docs, shingle, radius))
     staying = materialise(
-        grouped.groupBy("root").agg(F.min("doc_id").alias("id"))
+        grouped.groupBy("root").agg(F.min("doc_id").alias("_id"))
     )
     rows = grouped.groupBy("doc_id").count()
     repeated = materialise(
-        rows.where((F.col("count") > 1) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("id"))
+        rows.where((F.col("count") > 1) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_id"))
     )
-    lone = staying.join(repeated, "id", "left_anti").where(F.col("id").isNotNull())
+    lone = staying.join(repeated, "_id", "left_anti").where(F.col("_id").isNotNull())
     kept = docs.join(
-        measured(materialise(lone.select("id")), 24), F.col("doc_id") == F.col("id"), "left_semi"
+        measured(materialise(lone.select("_id")), 24), F.col("doc_id") == F.col("_id"), "left_semi"
     )
     if repeated.isEmpty():
         return kept
-    same_id = F.col("doc_id").eqNullSafe(F.col("id"))
+    same_id = F.col("doc_id").eqNullSafe(F.col("_id"))
     several = docs.join(measured(repeated, 24), same_id, "left_semi").withColumn(
         "_print", fingerprint_column(F.col("text"), shingle)
     )
     root_of = grouped.select(F.col("fingerprint").alias("_of"), F.col("root").alias("_root")).distinct()
-    chosen = staying.select(F.col("root").alias("_root"), "id")
+    chosen = staying.select(F.col("root").alias("_root"), "_id")
     whole = F.struct(F.col("doc_id").isNull().alias("_last"), *[F.col(c) for c in docs.columns])
     several = (
         several.join(materialise(root_of), F.col("_print") == F.col("_of"))

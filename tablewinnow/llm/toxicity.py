@@ -1,12 +1,12 @@
-"""Toxicity: cumulative-link ordinal regression on the words of a text.
+"""Toxicity: cumulative-link ordinal regression on the words and word stems of a text.
 
-Grades 0 to 3 are ordered. One weight per word gives a text its score, and thresholds
+Grades 0 to 3 are ordered. One weight per term gives a text its score, and thresholds
 shared by all texts cut the score into grades: P(grade <= k) = sigmoid(threshold_k - score).
 The output is the expected grade.
 
 Labels say whether a document is toxic, not how much. Grades to learn from are made of
-them: clean documents have grade 0, toxic ones 1 to 3 by tertiles of the share of their words
-that mark toxic documents. Words are chosen by a chi-square test on the training rows.
+them: clean documents have grade 0, toxic ones 1 to 3 by tertiles of the share of their terms
+that mark toxic documents. Terms are chosen by a chi-square test on the training rows.
 """
 
 from __future__ import annotations
@@ -25,16 +25,19 @@ from tablewinnow.llm.common import label_table, materialise, measured, read
 GRADES = 4
 TRAINING_ROWS = 20_000  # labelled documents learned from, about; at most twice as many
 VOCABULARY = 4096
-LEAST_CHI = 25.0
+LEAST_CHI = 20.0
+STEM = 5
 MARKING_ODDS = 3.0  # toxic to clean, as a logarithm
-RIDGE = 1e-5
+RIDGE = 1.0  # over the number of rows
 STEPS = 500
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+def terms_of(text: str | None) -> list[str]:
+    """The words of a text, and the stems of long ones: toxic words have endings, too."""
+    words = _WORD.findall(text.lower()) if text else []
+    return words + [w[:STEM] + "~" for w in words if len(w) > STEM]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -84,7 +87,7 @@ class Ordinal:
             later = np.cumsum(of_cuts[::-1])[::-1]
             gradient = np.concatenate(
                 [
-                    np.bincount(cols, of_score[rows], v) + RIDGE * value[:v],
+                    np.bincount(cols, of_score[rows], v) + RIDGE / n * value[:v],
                     later[:1],
                     later[1:] * gaps,
                 ]
@@ -101,19 +104,20 @@ class Ordinal:
 
     @staticmethod
     def _best_cut(chance: np.ndarray, toxic: np.ndarray) -> float:
-        """Midway between the neighbouring chances whose cut has the highest F1."""
+        """Midway, in logits, between the neighbouring chances whose cut has the highest F1."""
         order = np.argsort(-chance, kind="stable")
         ranked, hits = chance[order], np.cumsum(toxic[order])
         f1 = 2 * hits / (np.arange(1, len(chance) + 1) + toxic.sum())
         f1[:-1][ranked[:-1] == ranked[1:]] = 0
         best = int(f1.argmax())
         after = ranked[best + 1] if best + 1 < len(ranked) else 0.0
-        return float((ranked[best] + after) / 2)
+        low, high = np.clip([after, ranked[best]], 1e-9, 1 - 1e-9)
+        return float(sigmoid((np.log(low / (1 - low)) + np.log(high / (1 - high))) / 2))
 
     def above(self, texts: list[str | None]) -> np.ndarray:
         """P(grade >= k) for k from 1, one row per text."""
         known = self.weights
-        score = [sum(known[w] for w in known.keys() & set(words_of(t))) for t in texts]
+        score = [sum(known[w] for w in known.keys() & set(terms_of(t))) for t in texts]
         return 1 - sigmoid(self.thresholds[None, :] - np.array(score, float)[:, None])
 
 
@@ -125,11 +129,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Ordina
     step = max(1, known.count() // rows)
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
     drawn = materialise(drawn.select(F.col("doc_id").alias("of"), "toxic"))
-    sample = docs.join(measured(drawn, 32), F.col("doc_id") == F.col("of"))
+    sample = docs.select("doc_id", "text").join(measured(drawn, 32), F.col("doc_id") == F.col("of"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [words_of(t) for t in batch.column("text").to_pylist()]
+            found = [terms_of(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
