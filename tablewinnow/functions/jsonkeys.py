@@ -12,13 +12,63 @@ def has_any_key(document: Column, keys: Column) -> Column:
     return F.coalesce(F.arrays_overlap(F.json_object_keys(document), keys), F.lit(False))
 
 
+# Strings, marks, and runs of anything else: joined, they are the document again.
+_TOKENS = r'''"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^{}\[\],:"]+'''
+
+
+def entries_of(document: Column) -> Column:
+    """The top-level entries of a JSON object as (text, key), in order, each text as it is
+    written; null for text whose brackets do not make it one object. An entry ends at a
+    comma outside nested objects and arrays; its key is its first token that is a string."""
+    tokens = F.regexp_extract_all(F.trim(document), F.lit(_TOKENS), F.lit(0))
+    inner = F.slice(tokens, 2, F.greatest(F.size(tokens) - 2, F.lit(0)))
+    empty = F.struct(F.lit("").alias("text"), F.lit(None).cast("string").alias("key"))
+
+    def state(depth: Column, done: Column, own: Column, whole: Column) -> Column:
+        return F.struct(
+            depth.alias("depth"), done.alias("done"), own.alias("own"), whole.alias("whole")
+        )
+
+    def add(now: Column, token: Column) -> Column:
+        depth, own = now["depth"], now["own"]
+        deeper = F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
+        is_key = own["key"].isNull() & token.startswith('"')
+        longer = F.struct(
+            F.concat(own["text"], token).alias("text"),
+            F.when(is_key, token).otherwise(own["key"]).alias("key"),
+        )
+        return F.when(
+            (token == ",") & (depth == 0),
+            state(depth, F.concat(now["done"], F.array(own)), empty, now["whole"]),
+        ).otherwise(
+            state(depth + deeper, now["done"], longer, now["whole"] & (depth + deeper >= 0))
+        )
+
+    start = state(F.lit(0), F.slice(F.array(empty), 1, 0), empty, F.lit(True))
+
+    def finish(last: Column) -> Column:
+        entries = F.concat(last["done"], F.array(last["own"]))
+        return F.when(last["whole"] & (last["depth"] == 0), entries)
+
+    closed = (F.get(tokens, F.lit(0)) == "{") & F.trim(document).endswith("}")
+    return F.when(closed, F.aggregate(inner, start, add, finish))
+
+
 def without_keys(document: Column, keys: Column) -> Column:
-    """The object without ``keys``. Text that has none of them is returned byte
-    for byte; rewritten objects keep their values as typed variants, so numbers,
-    nesting and nulls survive (``1.50`` is printed as ``1.5``). A document that
-    variants cannot hold, such as one with a nested key repeated, is returned as
-    it is rather than lost."""
-    entries = F.from_json(document, "map<string,variant>")
-    kept = F.map_filter(entries, lambda key, _: ~F.array_contains(keys, key))
-    rewritten = F.coalesce(F.to_json(kept), document)
-    return F.when(has_any_key(document, keys), rewritten).otherwise(document)
+    """The object without ``keys``, all other entries as they are written: numbers of any
+    length, spaces, escapes and repeated keys included. Text that has none of the keys at
+    its top level, and text that is no well-formed object, is returned byte for byte."""
+    kept = F.filter(
+        entries_of(document),
+        lambda e: ~F.coalesce(F.array_contains(keys, _decoded(e["key"])), F.lit(False)),
+    )
+    texts = F.transform(kept, lambda e: e["text"])
+    rewritten = F.concat(F.lit("{"), F.trim(F.array_join(texts, ",")), F.lit("}"))
+    return F.when(has_any_key(document, keys), F.coalesce(rewritten, document)).otherwise(
+        document
+    )
+
+
+def _decoded(key: Column) -> Column:
+    """A JSON string as text."""
+    return F.get(F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>"), F.lit(0))

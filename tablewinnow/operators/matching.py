@@ -8,11 +8,9 @@ checkpoint folder and measured:
 
 * within the limit it is broadcast, and the large table is streamed past it
   without a shuffle;
-* beyond it, keys that hold a large share of the rows are found by a
-  pre-aggregated count. There are fewer than ``HOT_KEYS`` of them, so rows with
-  such a key, or with a null one, are matched by broadcast and never shuffled.
-  All other rows go through an ordinary shuffled join, in which no key is hot.
-  Without such keys there is only the shuffled join.
+* beyond it, both sides are shuffled by key, once, or not at all where they are
+  bucketed by it. Adaptive execution splits large partitions of the streamed side,
+  those of hot keys and of rows without a key.
 """
 
 from __future__ import annotations
@@ -23,11 +21,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewinnow.settings import BROADCAST_BYTES, HOT_KEYS, materialise, setting
+from tablewinnow.settings import BROADCAST_BYTES, materialise, setting
 
 ROW_OVERHEAD = 32
 FIXED_WIDTH = 16
-_HOT = "_tw_hot"
 
 
 def _width(field: T.StructField) -> Column:
@@ -88,24 +85,7 @@ def key_set(df: DataFrame, *on: str) -> KeySet:
     return KeySet(df.select(*on).dropna().distinct())
 
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keys, a null one included, that hold more than 1/HOT_KEYS of the rows.
-
-    The count is combined before the shuffle, so a hot key costs one row per
-    task. Fewer than HOT_KEYS keys can pass the threshold.
-    """
-    threshold = df.count() / setting(df.sparkSession, HOT_KEYS)
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") > threshold).drop("n")
-
-
-def _join(
-    left: DataFrame,
-    keys: KeySet,
-    on: Sequence[str],
-    how: str,
-    counted_on: DataFrame | None = None,
-) -> DataFrame:
+def _join(left: DataFrame, keys: KeySet, on: Sequence[str], how: str) -> DataFrame:
     on = list(on)
     right = keys.frame
     added = [c for c in right.columns if c not in on] if how == "left" else []
@@ -116,24 +96,7 @@ def _join(
     if how != "left":
         right = right.select(*on).distinct()
     # Measured to be large, so an estimate must not make it a broadcast after all.
-    shuffled_right = right.hint("merge")
-    frequent = KeySet(hot_keys(left if counted_on is None else counted_on, on))
-    if frequent.empty:
-        return left.join(shuffled_right, on, how).select(*columns)
-
-    hot = F.broadcast(frequent.flagged(_HOT).frame)
-    any_null = F.lit(False)
-    for key in on:
-        any_null = any_null | F.col(key).isNull()
-    flagged = left.join(hot, on, "left")
-    unshuffled = flagged.filter(F.col(_HOT).isNotNull() | any_null).drop(_HOT)
-    shuffled = flagged.filter(F.col(_HOT).isNull() & ~any_null).drop(_HOT)
-    hot_right = F.broadcast(right.join(hot, on, "left_semi"))
-    return (
-        unshuffled.join(hot_right, on, how)
-        .select(*columns)
-        .unionByName(shuffled.join(shuffled_right, on, how).select(*columns))
-    )
+    return left.join(right.hint("merge"), on, how).select(*columns)
 
 
 def _settled(keys: DataFrame | KeySet, on: Sequence[str]) -> KeySet:
@@ -161,13 +124,10 @@ def attach(
     df: DataFrame,
     marks: KeySet,
     on: str | Sequence[str],
-    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Add the columns of ``marks`` to the rows of ``df``, null where the key has
-    none. ``marks`` must hold one row per key: rows of ``df`` are not repeated.
-    Frequent keys may be counted on a cheaper table ``counted_on``, with at least
-    as many rows per key as ``df``."""
-    return _join(df, marks, [on] if isinstance(on, str) else on, "left", counted_on)
+    none. ``marks`` must hold one row per key: rows of ``df`` are not repeated."""
+    return _join(df, marks, [on] if isinstance(on, str) else on, "left")
 
 
 def flag_matching(df: DataFrame, keys: DataFrame | KeySet, on: str, flag: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewinnow.operators.matching import (
     KeySet,
@@ -25,8 +26,23 @@ _PRESENT = "_tw_present"
 
 
 def _one_row_per_key(source: DataFrame, key: str) -> KeySet:
-    row = F.struct(*source.columns)
-    return KeySet(source.dropna(subset=[key]).groupBy(key).agg(F.max(row).alias(_SOURCE)))
+    """Maps and variants have no order; their text stands for them."""
+    order = F.struct(
+        *[
+            F.to_json(F.struct(f.name)).alias(f.name) if _unordered(f.dataType) else F.col(f.name)
+            for f in source.schema.fields
+        ]
+    )
+    row = F.max_by(F.struct(*source.columns), order)
+    return KeySet(source.dropna(subset=[key]).groupBy(key).agg(row.alias(_SOURCE)))
+
+
+def _unordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
 def _present(target: DataFrame, keys: KeySet, key: str) -> KeySet:

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewinnow.operators import access
 from tablewinnow.operators.matching import KeySet, drop_matching, key_set
-from tablewinnow.operators.merge import merge_metadata
+from tablewinnow.operators.merge import merge_metadata, merge_summary
 from tablewinnow.plans.rules import load_config
+from tablewinnow.profile import ACCESS_TABLES, IMPORT_TABLES
 from tablewinnow.settings import materialise
-from tablewinnow.sources.directory import read_metadata
+from tablewinnow.sources.directory import CREDENTIALS, flat_users, read_metadata
 
 # Spellings used in access entries.
 USERNAMES_KEY = "selectUsernames"
@@ -24,6 +25,16 @@ ADD_ROLES = "addRoles"
 ADD_ROLES_FROM_TEMPLATE = "addRolesFromTemplate"
 REMOVE_FROM_GROUPS = "removeFromGroups"
 IMPORT = "import"
+ENTRY_KEYS = {
+    "action",
+    USERNAMES_KEY,
+    GROUPS_KEY,
+    FILES_KEY,
+    ADD_ROLES,
+    ADD_ROLES_FROM_TEMPLATE,
+    REMOVE_FROM_GROUPS,
+    IMPORT,
+}
 
 # Each entry reads what earlier ones left, so lineage grows with the list. It is
 # cut after this many entries that changed something, and at once after a change
@@ -41,6 +52,8 @@ class AccessState:
     links: DataFrame
     metadata: Mapping[str, DataFrame]
     pending: int = 0
+    # What each import did: (file, table, counts).
+    imports: tuple[tuple[str, str, Mapping[str, int]], ...] = ()
 
     def changed(self, by: KeySet, **tables: DataFrame) -> AccessState:
         steps = 1 if by.small else ENTRIES_PER_CHECKPOINT
@@ -70,7 +83,10 @@ def read_imports(
     spark: SparkSession, entries: Iterable[Mapping | str], folder: str
 ) -> dict[str, dict[str, DataFrame]]:
     """The tables of every metadata document the entries import from ``folder``."""
-    files = [f for entry in entries if isinstance(entry, Mapping) for f in entry.get(FILES_KEY, ())]
+    files = []
+    for entry in entries:
+        named = entry.get(FILES_KEY, ()) if isinstance(entry, Mapping) else ()
+        files += [named] if isinstance(named, str) else named
     return {file: read_metadata(spark, f"{folder}/{file}") for file in dict.fromkeys(files)}
 
 
@@ -85,6 +101,9 @@ def apply_entry(
     entries are not followed."""
     if not isinstance(entry, Mapping):
         return state
+    unknown = sorted(set(entry) - ENTRY_KEYS)
+    if unknown:
+        raise ValueError(f"access entry with unknown keys {unknown}")
     action = entry.get("action")
     if USERNAMES_KEY in entry or GROUPS_KEY in entry:
         selected = access.selected_ids(
@@ -135,13 +154,54 @@ def import_metadata(
     files: Iterable[str],
     sources: Mapping[str, Mapping[str, DataFrame]],
 ) -> AccessState:
-    """Merge the tables of each import source, in order."""
-    metadata = dict(state.metadata)
-    for file in files:
+    """Merge each list of objects of the files, in order, into the table it describes:
+    the one ``IMPORT_TABLES`` names, else the one of the list's name, which is made if
+    there is none. Imported users and roles are those later entries see."""
+    for file in [files] if isinstance(files, str) else files:
+        if file not in sources:
+            raise ValueError(f"import document {file} was not read: name the folder it is in")
         for name, source in sources[file].items():
-            target = metadata.get(name, source.limit(0))
-            metadata[name] = merge_metadata(target, source)
-    return replace(state, metadata=metadata, pending=state.pending + 1)
+            state = _imported(state, file, name, source)
+    return replace(state, pending=state.pending + 1)
+
+
+def _imported(state: AccessState, file: str, name: str, source: DataFrame) -> AccessState:
+    table, key = IMPORT_TABLES.get(name, (name, "id"))
+    if table == ACCESS_TABLES["users"] and CREDENTIALS in source.columns:
+        source = flat_users(source)
+    if key not in source.columns and "id" in source.columns:
+        source = source.withColumnRenamed("id", key)
+    part = next((p for p, t in ACCESS_TABLES.items() if t == table), None)
+    target = getattr(state, part) if part else state.metadata.get(table, source.limit(0))
+    if key not in source.columns or key not in target.columns:
+        raise ValueError(f"{file}: {name} and {table} have no key {key} in common")
+    counts = merge_summary(target, source, key).first().asDict()
+    merged = merge_metadata(target, source, key)
+    state = replace(state, imports=(*state.imports, (file, table, counts)))
+    if part:
+        return replace(state, **{part: merged})
+    return replace(state, metadata={**state.metadata, table: merged})
+
+
+def skipped_entries(entries: Iterable[Mapping | str]) -> list[Mapping | str]:
+    """Entries that do nothing: addresses of further entries, which are not followed, and
+    entries without a selector."""
+    selectors = {USERNAMES_KEY, GROUPS_KEY, FILES_KEY}
+    return [e for e in entries if not isinstance(e, Mapping) or not selectors & set(e)]
+
+
+def needed_tables(entries: Iterable[Mapping | str]) -> set[str]:
+    """The flat tables that the entries read or change."""
+    needed: set[str] = set()
+    for entry in entries:
+        if isinstance(entry, Mapping) and {USERNAMES_KEY, GROUPS_KEY} & set(entry):
+            parts = {"users", "members"}
+            if entry.get("action") == ADD_ROLES:
+                parts |= {"roles", "links"}
+            if entry.get("action") in (ADD_ROLES_FROM_TEMPLATE, DELETE_OTHERS):
+                parts |= {"links"}
+            needed |= {ACCESS_TABLES[part] for part in parts}
+    return needed
 
 
 def apply_access_rules(

@@ -89,8 +89,7 @@ class FactPlan:
             place = F.col(self.fact.place)
             selected = F.col(names("item", n)[0]).isNotNull()
             rows = rows.withColumn(_PLACE, F.when(selected, place))
-            everywhere = fact.select(place.alias(_PLACE))
-            rows = attach(rows, self._place_marks, _PLACE, counted_on=everywhere)
+            rows = attach(rows, self._place_marks, _PLACE)
         found = matched_words(self.removals, self._place_marks is not None)
         matched = [m.alias(c) for m, c in zip(found, names(_MATCHED, n))]
         return rows.select(*fact.columns, *matched)

@@ -12,19 +12,20 @@ from tablewinnow.plans.access_plan import (
     AccessState,
     apply_access_rules,
     load_entries,
+    needed_tables,
     read_imports,
+    skipped_entries,
 )
 from tablewinnow.plans.prune_plan import PrunePlan, apply_rules
-from tablewinnow.plans.rules import Rule, load_rules
-from tablewinnow.profile import HEALTH_RECORDS, Profile
+from tablewinnow.plans.rules import Rule, load_config, load_rules
+from tablewinnow.profile import ACCESS_TABLES, HEALTH_RECORDS, Profile
 from tablewinnow.sources.tableset import TableSource, selected_names, write_tables
-
-# The flat tables access entries work on.
-ACCESS_TABLES = {
-    "users": "users",
-    "members": "usergroupmembers",
-    "roles": "userroles",
-    "links": "userrolemembers",
+# Shapes of the access tables, for a source without them.
+EMPTY = {
+    "users": "id string, username string, disabled boolean",
+    "members": "group_name string, user_id string",
+    "roles": "id string, name string",
+    "links": "user_id string, role_id string",
 }
 
 
@@ -33,6 +34,9 @@ class Outcome:
     folder: str
     unmatched: tuple[Rule, ...]
     matched_rows: Mapping[str, int]
+    # Access entries that were not applied, and what each import did.
+    skipped: tuple[Mapping | str, ...] = ()
+    imports: tuple[tuple[str, str, Mapping[str, int]], ...] = ()
 
 
 def _pruned(plan: PrunePlan) -> tuple[dict[str, DataFrame], list[Observation]]:
@@ -57,26 +61,42 @@ def refresh(
 ) -> Outcome:
     """Write to ``folder`` what the configuration makes of the source tables.
 
-    The source is only read. Rows matched per removal are counted while the fact
-    tables are written; a row hit by two removals counts for both. Import entries
-    read their documents from ``import_folder`` and merge each list of objects
-    into the table of that name.
+    The source is only read. Without a list of rules nothing is removed or emptied. Rows
+    matched per removal are counted while the fact tables are written; a row hit by two
+    removals counts for both. Import entries read their documents from ``import_folder``
+    and merge each list of objects into the table it describes. A table that an entry
+    needs and the source lacks is an error.
     """
-    departments, rules = load_rules(spark, config)
+    settings = load_config(spark, config)
     tables = {name: source.read(name) for name in selected_names(source.names())}
-    plan, unmatched = apply_rules(tables, departments, rules, profile)
-    outcome, observations = _pruned(plan)
+    outcome, unmatched, observations = dict(tables), [], []
+    if "preprocess" in settings:
+        departments, rules = load_rules(spark, config)
+        plan, unmatched = apply_rules(tables, departments, rules, profile)
+        outcome, observations = _pruned(plan)
 
     entries = load_entries(spark, config)
-    if entries and set(ACCESS_TABLES.values()) <= set(outcome):
-        parts = {part: outcome[table] for part, table in ACCESS_TABLES.items()}
+    imports = ()
+    if entries:
+        missing = sorted(needed_tables(entries) - set(outcome))
+        if missing:
+            raise ValueError(f"access entries need tables that the source lacks: {missing}")
+        parts = {
+            part: outcome.get(table, spark.createDataFrame([], EMPTY[part]))
+            for part, table in ACCESS_TABLES.items()
+        }
         others = {n: df for n, df in outcome.items() if n not in ACCESS_TABLES.values()}
         state = AccessState(**parts, metadata=others)
-        imports = read_imports(spark, entries, import_folder) if import_folder else {}
-        after = apply_access_rules(state, entries, operator_user, imports)
-        changed = {table: getattr(after, part) for part, table in ACCESS_TABLES.items()}
-        outcome = {**after.metadata, **changed}
+        sources = read_imports(spark, entries, import_folder) if import_folder else {}
+        after = apply_access_rules(state, entries, operator_user, sources)
+        changed = {
+            table: getattr(after, part)
+            for part, table in ACCESS_TABLES.items()
+            if table in outcome or getattr(after, part) is not parts[part]
+        }
+        outcome, imports = {**after.metadata, **changed}, after.imports
 
     write_tables(outcome, folder)
     matched = {name: n for o in observations for name, n in o.get.items()}
-    return Outcome(folder, tuple(unmatched), matched)
+    skipped = tuple(skipped_entries(entries))
+    return Outcome(folder, tuple(unmatched), matched, skipped, imports)

@@ -94,8 +94,9 @@ class Removal:
     @property
     def programs(self) -> tuple[str, ...]:
         """Programs concerned. A selection replaces the department's programs,
-        except that deleting tracker events stays within them."""
-        if not self.selected:
+        except that deleting tracker events stays within them, and that a department
+        without programs of the family has none to replace: nothing is removed."""
+        if not self.selected or not self.scope:
             return self.scope
         if self.family == TRACKERS and not self.strips:
             return tuple(uid for uid in self.selected if uid in set(self.scope))
@@ -130,7 +131,9 @@ def read_departments(departments: Mapping[str, Mapping]) -> list[Department]:
             family = _TYPES.get(name.lower())
             if family is None:
                 raise RuleError(f"department {key}: unknown key {name}")
-            scopes[family] = scopes.get(family, ()) + tuple(uids)
+            # An empty list is a department without that family.
+            listed = (uids,) if isinstance(uids, str) else tuple(uids)
+            scopes[family] = scopes.get(family, ()) + listed
         result.append(Department(key, scopes))
     return result
 

@@ -149,3 +149,22 @@ PROTECTED_TABLES = (
     "spatial_ref_sys",
     "pg_stat_statements",
 )
+
+# The flat tables access entries work on.
+ACCESS_TABLES = {
+    "users": "users",
+    "members": "usergroupmembers",
+    "roles": "userroles",
+    "links": "userrolemembers",
+}
+
+# Lists of a metadata document, and the table each describes with the
+# column its objects' ids are in.
+IMPORT_TABLES = {
+    "users": ("users", "id"),
+    "userRoles": ("userroles", "id"),
+    "dataElements": ("dataelement", "uid"),
+    "dataSets": ("dataset", "uid"),
+    "organisationUnits": ("organisationunit", "uid"),
+    "programs": ("program", "uid"),
+}

@@ -13,14 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 PARALLEL_JOBS = 8
 
 BROADCAST_BYTES = "spark.tablewinnow.broadcastBytes"
-HOT_KEYS = "spark.tablewinnow.hotKeys"
 
 DEFAULTS = {
     # A join side is broadcast only when it was measured to be below this.
     BROADCAST_BYTES: 64 * 1024 * 1024,
-    # A key is hot when it holds more than 1/HOT_KEYS of all rows, so there are
-    # fewer than HOT_KEYS hot keys however large the table is.
-    HOT_KEYS: 10_000,
 }
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CREDENTIALS = "userCredentials"
+
 
 def username_of(users: DataFrame) -> Column:
     """The username, nested under the credentials or else flat."""
@@ -18,12 +20,11 @@ def username_of(users: DataFrame) -> Column:
 
 
 def flat_users(users: DataFrame) -> DataFrame:
-    """(id, username, disabled) of nested user objects."""
-    return users.select(
-        "id",
-        username_of(users).alias("username"),
-        F.col("userCredentials")["disabled"].alias("disabled"),
-    )
+    """(id, username, disabled) of nested user objects; disabled is null where no object
+    says."""
+    named = "disabled" in users.schema[CREDENTIALS].dataType.names
+    disabled = F.col(CREDENTIALS)["disabled"] if named else F.lit(None).cast("boolean")
+    return users.select("id", username_of(users).alias("username"), disabled.alias("disabled"))
 
 
 def role_links(users: DataFrame) -> DataFrame:

@@ -32,14 +32,11 @@ def spark():
 
 @pytest.fixture(params=["broadcast", "shuffled"])
 def join_path(request, spark):
-    """Run a test with key sets broadcast, and again with none small enough and
-    almost every key hot."""
+    """Run a test with key sets broadcast, and again with none small enough."""
     if request.param == "shuffled":
         spark.conf.set("spark.tablewinnow.broadcastBytes", "0")
-        spark.conf.set("spark.tablewinnow.hotKeys", "3")
     yield request.param
     spark.conf.unset("spark.tablewinnow.broadcastBytes")
-    spark.conf.unset("spark.tablewinnow.hotKeys")
 
 
 def rows(df, *columns):

@@ -1,3 +1,6 @@
+import json
+import random
+
 from datetime import datetime
 
 from conftest import rows
@@ -107,15 +110,36 @@ def test_without_keys_keeps_values_exact(spark):
     assert stripped == ['{"n":12345678901234567890,"t":"é \\" \\\\ /","f":false,"z":-0.25}']
 
 
-def test_without_keys_never_loses_a_document(spark):
-    repeated = '{"a":1,"o":{"x":1,"x":2}}'
+def test_without_keys_leaves_other_entries_as_written(spark):
+    long = "1" * 45
+    cases = {
+        '{"a":1,"o":{"x":1,"x":2}}': '{"o":{"x":1,"x":2}}',
+        f'{{"n":{long},"a":[1,{{"a":","}}],"m":1e400}}': f'{{"n":{long},"m":1e400}}',
+        '{ "p" : 1.50 , "a" : {"b":[1,"]"]} , "q" : 1.0 }': '{"p" : 1.50 , "q" : 1.0}',
+        '{"\\u0061":1,"b\\"":2,"a":3}': '{"b\\"":2}',
+        '{"b":1,"b":2,"a":0,"a":1}': '{"b":1,"b":2}',
+        '{"b":{"a":1}}': '{"b":{"a":1}}',
+        '{"a":1} x': '{"a":1} x',
+    }
     strip = lambda c: without_keys(c, F.array(F.lit("a")))
-    assert evaluate(spark, [repeated], "string", strip) == [repeated]
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    try:
-        assert evaluate(spark, [repeated], "string", strip) == ['{"o":{"x":2}}']
-    finally:
-        spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    assert evaluate(spark, list(cases), "string", strip) == list(cases.values())
+
+
+def test_without_keys_equals_a_plain_reader(spark):
+    draw = random.Random(3)
+
+    def value(depth):
+        kinds = [lambda: draw.randrange(99), lambda: 'x,"}', lambda: None, lambda: 0.5, lambda: True]
+        if depth:
+            kinds += [lambda: [value(depth - 1) for _ in range(draw.randrange(3))]]
+            kinds += [lambda: {draw.choice("abcé"): value(depth - 1) for _ in range(3)}]
+        return draw.choice(kinds)()
+
+    objects = [{draw.choice("abcdeé"): value(2) for _ in range(4)} for _ in range(60)]
+    strip = lambda c: without_keys(c, F.array(F.lit("a"), F.lit("é")))
+    found = evaluate(spark, [json.dumps(o) for o in objects], "string", strip)
+    plain = [{k: v for k, v in o.items() if k not in ("a", "é")} for o in objects]
+    assert [json.loads(f) for f in found] == plain
 
 
 def test_array_expressions(spark):

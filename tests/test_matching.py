@@ -6,7 +6,6 @@ from tablewinnow.operators.matching import (
     attach,
     drop_matching,
     flag_matching,
-    hot_keys,
     keep_matching,
 )
 from tablewinnow.settings import concurrently, ensure_checkpoint_dir, materialise
@@ -64,12 +63,6 @@ def test_empty_keys(join_path, spark, fact):
     assert rows(drop_matching(fact, nothing, "k")) == rows(fact)
 
 
-def test_hot_keys_are_few_and_frequent(spark, fact):
-    spark.conf.set("spark.tablewinnow.hotKeys", "10")
-    assert rows(hot_keys(fact, ["k"])) == [(1,), (2,), (None,)]
-    spark.conf.unset("spark.tablewinnow.hotKeys")
-
-
 def test_size_is_measured_over_all_column_kinds(spark):
     schema = "i int, s string, a array<int>, m map<string,int>"
     small = spark.createDataFrame([(1, "abc", [1], {"a": 1})] * 3, schema)
@@ -92,30 +85,19 @@ def test_a_small_key_set_is_broadcast_and_nothing_is_shuffled(fact, keys, tmp_pa
 
 @pytest.fixture
 def nothing_small(spark):
-    settings = {
-        "spark.tablewinnow.broadcastBytes": "0",
-        "spark.tablewinnow.hotKeys": "10",
-    }
-    for name, value in settings.items():
-        spark.conf.set(name, value)
+    spark.conf.set("spark.tablewinnow.broadcastBytes", "0")
     yield
-    for name in settings:
-        spark.conf.unset(name)
-
+    spark.conf.unset("spark.tablewinnow.broadcastBytes")
 
-def test_a_large_key_set_is_shuffled_without_the_hot_keys(fact, keys, nothing_small):
-    plan = plan_of(drop_matching(fact, keys, "k"))
-    assert "SortMergeJoin" in plan and "LeftAnti" in plan
-    assert "BroadcastHashJoin" in plan
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
-
-def test_without_hot_keys_the_rows_are_read_once(spark, keys, nothing_small):
-    even = spark.range(100).withColumnRenamed("id", "k")
-    left = drop_matching(even, keys, "k")
+def test_a_large_key_set_is_shuffled_once(fact, keys, nothing_small, tmp_path, spark):
+    fact.write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    left = drop_matching(drop_matching(stored, keys, "k"), keys, "k")
     plan = plan_of(left)
-    assert rows(left) == [r for r in rows(even) if r[0] not in (1, 5, 99)]
-    assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan
+    assert plan.count("FileScan") == 1 and plan.count("SortMergeJoin") == 2
+    assert "LeftAnti" in plan and "Broadcast" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_the_checkpoint_folder_is_the_one_the_session_names(spark):

@@ -41,3 +41,13 @@ def test_empty_sides(spark):
     assert rows(merge_metadata(nothing, some)) == rows(merge_metadata(some, nothing)) == rows(some)
     assert rows(merge_summary(nothing, some)) == [(1, 1, 0, 0, 0)]
     assert rows(merge_summary(some, nothing)) == [(0, 0, 0, 0, 0)]
+
+
+def test_map_and_variant_columns(spark):
+    target = spark.sql("SELECT 1 AS id, map('a', 1) AS m, parse_json('[1]') AS v")
+    source = spark.sql(
+        "SELECT * FROM VALUES (1, map('b', 2), parse_json('[2]')), "
+        "(1, map('a', 9), parse_json('[3]')), (2, null, null) AS s(id, m, v)"
+    )
+    merged = merge_metadata(target, source).selectExpr("id", "to_json(m)", "to_json(v)")
+    assert rows(merged) == [(1, '{"b":2}', "[2]"), (2, None, None)]

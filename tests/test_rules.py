@@ -121,3 +121,17 @@ def test_load_rules(spark, tmp_path):
     assert [d.key for d in departments] == ["Dep", "Other"]
     assert departments[1].scope(DATASETS) == ("d2",)
     assert [r.position for r in rules] == [0]
+
+
+def test_a_list_given_as_text_is_one_uid():
+    (department,) = read_departments({"D": {"dataSets": "abc"}})
+    assert department.scope(DATASETS) == ("abc",)
+
+
+def test_a_selection_does_not_widen_an_empty_scope():
+    for types, key in (("eventPrograms", "selectEventProgram"),
+                       ("trackerPrograms", "selectTrackerProgram")):
+        (removal,) = routed({"selectMetadataType": [types], key: ["p"]}, "Other")
+        assert removal.programs == ()
+        entry = {"selectMetadataType": [types], key: ["p"], "selectDataElements": ["k"]}
+        assert routed(entry, "Other")[0].programs == ()
