@@ -33,7 +33,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.partition("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tablewinnow-")
     context.setCheckpointDir(folder)
