@@ -1,71 +1,80 @@
-"""Resolving uids to surrogate keys, and org units to what lies below them."""
+"""Resolving uids to surrogate keys, and org units to what lies below them.
+
+Pruning marks keys with the rules that select them; here the same marks are made
+for a single selection, and only the keys are kept.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tablewinnow.functions.paths import proper_prefixes
-from tablewinnow.operators.matching import keep_matching
+from tablewinnow.operators.marks import element_marks, place_marks, stage_marks
+from tablewinnow.plans.rules import DATASETS, EVENTS, Removal
+from tablewinnow.profile import HEALTH_RECORDS, Profile
+
+Tables = Mapping[str, DataFrame]
 
 
 def pick(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def with_uids(named: DataFrame, uids: Iterable[str], uid: str = "uid") -> DataFrame:
-    """Rows of a metadata table whose uid is listed; none for an empty list."""
-    return named.filter(F.col(uid).isin(list(uids)))
-
-
 def stages_of_programs(
-    program: DataFrame, programstage: DataFrame, uids: Iterable[str]
+    tables: Tables, uids: Iterable[str], profile: Profile = HEALTH_RECORDS
 ) -> DataFrame:
-    chosen = with_uids(program, uids).select("programid")
-    return programstage.join(chosen, "programid", "left_semi").select("programstageid").distinct()
+    marks = stage_marks(tables, [Removal(0, EVENTS, tuple(uids))], profile)
+    return marks.select(profile.stage_key)
 
 
 def elements_of_datasets(
-    dataset: DataFrame, datasetelement: DataFrame, uids: Iterable[str]
+    tables: Tables, uids: Iterable[str], profile: Profile = HEALTH_RECORDS
 ) -> DataFrame:
     """Data elements that belong to any of the data sets."""
-    chosen = with_uids(dataset, uids).select("datasetid")
-    return datasetelement.join(chosen, "datasetid", "left_semi").select("dataelementid").distinct()
+    marks = element_marks(tables, [Removal(0, DATASETS, tuple(uids))], profile)
+    return marks.select(profile.element.key)
 
 
 def elements_by_uid(
-    dataelement: DataFrame,
-    dataset: DataFrame,
-    datasetelement: DataFrame,
+    tables: Tables,
     uids: Iterable[str],
     within: Iterable[str],
+    profile: Profile = HEALTH_RECORDS,
 ) -> DataFrame:
-    """Named data elements, as far as they belong to one of the data sets ``within``."""
-    members = elements_of_datasets(dataset, datasetelement, within)
-    named = with_uids(dataelement, uids).select("dataelementid")
-    return named.join(members, "dataelementid", "left_semi").distinct()
+    """Named data elements, as far as they belong to one of the data sets ``within``;
+    none for an empty list."""
+    uids = tuple(uids)
+    scope = tuple(within) if uids else ()
+    marks = element_marks(tables, [Removal(0, DATASETS, scope, elements=uids)], profile)
+    return marks.select(profile.element.key)
 
 
-def org_units(organisationunit: DataFrame, uids: Iterable[str]) -> DataFrame:
-    return with_uids(organisationunit, uids).select("organisationunitid").distinct()
+def _places(tables: Tables, removals: list[Removal], profile: Profile) -> DataFrame:
+    marks = place_marks(tables, removals, profile)
+    key = profile.org_unit.key
+    return tables[profile.org_unit.table].select(key).limit(0) if marks is None else marks.select(key)
+
+
+def org_units(
+    tables: Tables, uids: Iterable[str], profile: Profile = HEALTH_RECORDS
+) -> DataFrame:
+    return _places(tables, [Removal(0, EVENTS, (), units=tuple(uids))], profile)
 
 
 def org_unit_descendants(
-    organisationunit: DataFrame, uids: Iterable[str], include_self: bool = False
+    tables: Tables,
+    uids: Iterable[str],
+    include_self: bool = False,
+    profile: Profile = HEALTH_RECORDS,
 ) -> DataFrame:
     """Units that lie strictly below any of the named ones.
 
     ``/AB`` does not lie below ``/A``, and a unit without a path lies below
     nothing and has nothing below it.
     """
-    anchors = with_uids(organisationunit, uids)
-    # One row per level above the unit, joined by equality with the anchors' paths.
-    levels = organisationunit.select(
-        "organisationunitid", F.explode(proper_prefixes(F.col("path"))).alias("path")
-    )
-    below = keep_matching(levels, anchors, "path").select("organisationunitid")
+    uids = tuple(uids)
+    removals = [Removal(0, EVENTS, (), units_below=uids)]
     if include_self:
-        below = below.unionByName(anchors.select("organisationunitid"))
-    return below.distinct()
+        removals.append(Removal(1, EVENTS, (), units=uids))
+    return _places(tables, removals, profile)

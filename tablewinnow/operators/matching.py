@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewinnow.settings import BROADCAST_BYTES, materialise, setting
+from tablewinnow.settings import broadcast_limit, materialise
 
 ROW_OVERHEAD = 32
 FIXED_WIDTH = 16
@@ -64,7 +64,7 @@ class KeySet:
 
     @property
     def small(self) -> bool:
-        return self.size <= setting(self.frame.sparkSession, BROADCAST_BYTES)
+        return self.size <= broadcast_limit(self.frame.sparkSession)
 
     def _as(self, frame: DataFrame) -> KeySet:
         """The same rows in another shape, neither recomputed nor remeasured."""

@@ -37,8 +37,7 @@ ENTRY_KEYS = {
 }
 
 # Each entry reads what earlier ones left, so lineage grows with the list. It is
-# cut after this many entries that changed something, and at once after a change
-# by a key set too large to broadcast, which reads the table twice.
+# cut after this many entries that changed something.
 ENTRIES_PER_CHECKPOINT = 8
 
 
@@ -55,9 +54,8 @@ class AccessState:
     # What each import did: (file, table, counts).
     imports: tuple[tuple[str, str, Mapping[str, int]], ...] = ()
 
-    def changed(self, by: KeySet, **tables: DataFrame) -> AccessState:
-        steps = 1 if by.small else ENTRIES_PER_CHECKPOINT
-        return replace(self, pending=self.pending + steps, **tables)
+    def changed(self, **tables: DataFrame) -> AccessState:
+        return replace(self, pending=self.pending + 1, **tables)
 
     def materialised(self, since: AccessState) -> AccessState:
         """The same state, with what changed since ``since`` kept as it is now."""
@@ -112,22 +110,22 @@ def apply_entry(
         if selected.empty:
             return state
         if action == ACTIVATE:
-            return state.changed(selected, users=access.activate(state.users, selected))
+            return state.changed(users=access.activate(state.users, selected))
         if action == DELETE_OTHERS:
             return _delete_others(state, selected, operator_user)
         if action == ADD_ROLES:
             roles = access.roles_named(state.roles, entry.get(ADD_ROLES, ()))
             links = access.add_roles(state.links, selected, roles)
-            return state.changed(selected, links=links)
+            return state.changed(links=links)
         if action == ADD_ROLES_FROM_TEMPLATE:
             links = access.add_roles_from_template(
                 state.links, state.users, selected, entry[ADD_ROLES_FROM_TEMPLATE]
             )
-            return state.changed(selected, links=links)
+            return state.changed(links=links)
         if action == REMOVE_FROM_GROUPS:
             groups = entry.get(REMOVE_FROM_GROUPS, ())
             members = access.remove_from_groups(state.members, selected, groups)
-            return state.changed(selected, members=members)
+            return state.changed(members=members)
     elif FILES_KEY in entry:
         if action == IMPORT:
             return import_metadata(state, entry[FILES_KEY], sources)
@@ -142,7 +140,6 @@ def _delete_others(state: AccessState, selected: KeySet, operator_user: str) ->
     ids = key_set(removed, "id")
     gone = ids.renamed("id", "user_id")
     return state.changed(
-        ids,
         users=drop_matching(state.users, ids, "id"),
         members=drop_matching(state.members, gone, "user_id"),
         links=drop_matching(state.links, gone, "user_id"),

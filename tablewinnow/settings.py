@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,25 @@ DEFAULTS = {
 }
 
 
+_LIMIT: ContextVar[int | None] = ContextVar("broadcast_limit", default=None)
+
+
+@contextmanager
+def broadcast_up_to(size: int) -> Iterator[None]:
+    """Plans made inside broadcast only key sets of at most so many bytes, whatever
+    the session says."""
+    token = _LIMIT.set(size)
+    try:
+        yield
+    finally:
+        _LIMIT.reset(token)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    own = _LIMIT.get()
+    return setting(spark, BROADCAST_BYTES) if own is None else own
+
+
 def setting(spark: SparkSession, name: str) -> int:
     return int(spark.conf.get(name, str(DEFAULTS[name])))
 
@@ -52,5 +73,5 @@ def concurrently(*jobs: Callable[[], object]) -> list:
         return [job() for job in jobs]
     with ThreadPoolExecutor(min(len(jobs), PARALLEL_JOBS)) as pool:
         inherit = inheritable_thread_target(SparkSession.active())
-        running = [pool.submit(inherit(job)) for job in jobs]
+        running = [pool.submit(copy_context().run, inherit(job)) for job in jobs]
         return [job.result() for job in running]

@@ -23,10 +23,15 @@ from tablewinnow.settings import concurrently
 # Derived tables and the schema a clone leaves out.
 DERIVED_TABLES = ("aggregated*", "analytics*", "completeness*")
 SYSTEM_SCHEMAS = ("sys",)
+# Fixed value: the schema that names without one, and patterns, stand for.
+DEFAULT_SCHEMA = "public"
 
 # Fixed value: minute-grained stamp in the name of a snapshot.
 STAMP = "%Y-%m-%d_%H%M"
 
+# Begins the names of copies that are not in their place yet.
+STAGED = "_tw_staged_"
+
 # Lists the tables of a folder and is written last, so a folder without it is
 # incomplete. The dot keeps it apart from table names.
 MANIFEST = "table.manifest"
@@ -37,12 +42,17 @@ def selected_names(
     exclude: Iterable[str] = DERIVED_TABLES,
     exclude_schemas: Iterable[str] = SYSTEM_SCHEMAS,
 ) -> list[str]:
-    """Names, optionally qualified by a schema, that no pattern leaves out."""
-    patterns, schemas = list(exclude), {s.lower() for s in exclude_schemas}
+    """Names, optionally qualified by a schema, that no pattern leaves out.
+
+    Case matters: a table whose name needs quotes is not the derived one. Patterns are
+    about the default schema; tables of other schemas stay unless their schema goes.
+    """
+    patterns, schemas = list(exclude), set(exclude_schemas)
     kept = []
     for name in names:
-        schema, _, table = name.lower().rpartition(".")
-        if schema not in schemas and not any(fnmatchcase(table, p) for p in patterns):
+        schema, _, table = name.rpartition(".")
+        derived = schema in ("", DEFAULT_SCHEMA) and any(fnmatchcase(table, p) for p in patterns)
+        if schema not in schemas and not derived:
             kept.append(name)
     return kept
 
@@ -122,7 +132,8 @@ class Database:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self._quoted(name))
 
-    def write(self, name: str, df: DataFrame) -> None:
+    def write(self, name: str, df: DataFrame, staged: bool = False) -> None:
+        """A new table; ``staged`` gives it a name of its own until ``publish``."""
         writer = df.write.mode("errorifexists")
         if name in self.buckets:
             column, count = self.buckets[name]
@@ -130,16 +141,27 @@ class Database:
             # execution splits a bucket that a hot key makes too large for one task.
             gathered = df.hint("rebalance", count, F.col(column))
             writer = gathered.write.mode("errorifexists").bucketBy(count, column).sortBy(column)
-        writer.saveAsTable(self._quoted(name))
+        writer.saveAsTable(self._quoted(STAGED + name if staged else name))
+
+    def publish(self, names: Iterable[str]) -> None:
+        """Give staged tables their names, which must be free."""
+        for name in names:
+            old, new = self._quoted(STAGED + name), self._quoted(name)
+            self.spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
+    def drop_staged(self, names: Iterable[str]) -> None:
+        """Drop what an interrupted copy of these tables left."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(STAGED + name)}")
 
     def drop_view(self, name: str) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {self._quoted(name)}")
 
     def clear(self, protected: Iterable[str] = PROTECTED_TABLES) -> list[str]:
         """Drop every view, then every table, that is not protected."""
-        kept = set(protected)
-        views = [name for name in self.views() if name not in kept]
-        tables = [name for name in self.names() if name not in kept]
+        kept = {name.lower() for name in protected}
+        views = [name for name in self.views() if name.lower() not in kept]
+        tables = [name for name in self.names() if name.lower() not in kept]
         for name in views:
             self.drop_view(name)
         for name in tables:
@@ -187,8 +209,8 @@ class Jdbc:
         )
 
 
-def _copy(source: TableSource, target: Database, name: str) -> None:
-    target.write(name, source.read(name))
+def _copy(source: TableSource, target: Database, staged: bool, name: str) -> None:
+    target.write(name, source.read(name), staged)
 
 
 def clone_tables(
@@ -198,15 +220,29 @@ def clone_tables(
     exclude_schemas: Iterable[str] = SYSTEM_SCHEMAS,
     replace: bool = False,
     protected: Iterable[str] = PROTECTED_TABLES,
+    snapshot: str | None = None,
 ) -> list[str]:
-    """Copy the selected tables. With ``replace`` the target is cleared first, but
-    for protected tables, which are then not copied either."""
+    """Copy the selected tables.
+
+    With ``replace`` the target's other tables and views go, but for protected ones,
+    which are then not copied either. They go only when all copies are complete, so a
+    source that cannot be read, or that reads from the target, costs nothing. A folder
+    named by ``snapshot`` receives a stamped copy of the target's tables before.
+    """
     names = selected_names(source.names(), exclude, exclude_schemas)
+    if isinstance(source, Database) and source.name.lower() == target.name.lower():
+        raise ValueError(f"source and target are the same database: {target.name}")
+    if replace:
+        kept = {name.lower() for name in protected} & {name.lower() for name in target.names()}
+        names = [name for name in names if name.lower() not in kept]
+        target.drop_staged(names)
+    if snapshot is not None:
+        present = {name: target.read(name) for name in target.names()}
+        snapshot_tables(present, snapshot, target.name)
+    concurrently(*[partial(_copy, source, target, replace, name) for name in names])
     if replace:
-        target.clear(protected)
-        kept = set(target.names())
-        names = [name for name in names if name not in kept]
-    concurrently(*[partial(_copy, source, target, name) for name in names])
+        target.clear([*protected, *[(STAGED + name).lower() for name in names]])
+        target.publish(names)
     return names
 
 

@@ -11,20 +11,18 @@ def tables(spark):
 
 
 def test_stages_of_programs(tables):
-    found = keys.stages_of_programs(tables["program"], tables["programstage"], ["P1", "T2", "no"])
+    found = keys.stages_of_programs(tables, ["P1", "T2", "no"])
     assert rows(found) == [(10,), (11,), (120,)]
 
 
 def test_elements_shared_by_datasets_are_found_once(tables):
-    found = keys.elements_of_datasets(tables["dataset"], tables["datasetelement"], ["DS1", "DS2"])
+    found = keys.elements_of_datasets(tables, ["DS1", "DS2"])
     assert rows(found.dropna()) == [(1,), (2,), (3,)]
 
 
 def test_elements_must_belong_to_the_datasets(tables):
     found = keys.elements_by_uid(
-        tables["dataelement"],
-        tables["dataset"],
-        tables["datasetelement"],
+        tables,
         ["DE2", "DE4", "DE8"],
         ["DS1", "DS2"],
     )
@@ -32,22 +30,23 @@ def test_elements_must_belong_to_the_datasets(tables):
 
 
 def test_empty_lists_select_nothing(tables):
-    assert rows(keys.stages_of_programs(tables["program"], tables["programstage"], [])) == []
-    assert rows(keys.org_units(tables["organisationunit"], [])) == []
-    assert rows(keys.org_unit_descendants(tables["organisationunit"], [])) == []
+    assert rows(keys.stages_of_programs(tables, [])) == []
+    assert rows(keys.elements_of_datasets(tables, [])) == []
+    assert rows(keys.elements_by_uid(tables, [], ["DS1"])) == []
+    assert rows(keys.org_units(tables, [])) == []
+    assert rows(keys.org_unit_descendants(tables, [])) == []
 
 
 def test_org_units_are_exact(tables):
-    assert rows(keys.org_units(tables["organisationunit"], ["A", "E", "no"])) == [(1,), (6,)]
+    assert rows(keys.org_units(tables, ["A", "E", "no"])) == [(1,), (6,)]
 
 
 def test_descendants(join_path, tables):
-    units = tables["organisationunit"]
-    assert rows(keys.org_unit_descendants(units, ["A"])) == [(2,), (3,), (7,)]
-    assert rows(keys.org_unit_descendants(units, ["A", "B", "AB"])) == [(2,), (3,), (5,), (7,)]
-    assert rows(keys.org_unit_descendants(units, ["B"], include_self=True)) == [(2,), (3,)]
+    assert rows(keys.org_unit_descendants(tables, ["A"])) == [(2,), (3,), (7,)]
+    assert rows(keys.org_unit_descendants(tables, ["A", "B", "AB"])) == [(2,), (3,), (5,), (7,)]
+    assert rows(keys.org_unit_descendants(tables, ["B"], include_self=True)) == [(2,), (3,)]
     # A unit without a path has nothing below it.
-    assert rows(keys.org_unit_descendants(units, ["E"])) == []
+    assert rows(keys.org_unit_descendants(tables, ["E"])) == []
 
 
 def test_wildcards_in_paths_are_literal(spark):
@@ -55,8 +54,8 @@ def test_wildcards_in_paths_are_literal(spark):
         [(1, "a", "/x_"), (2, "b", "/xy/z"), (3, "c", "/x_/z"), (4, "d", "rel"), (5, "e", "rel/q")],
         "organisationunitid long, uid string, path string",
     )
-    assert rows(keys.org_unit_descendants(units, ["a"])) == [(3,)]
-    assert rows(keys.org_unit_descendants(units, ["d"])) == [(5,)]
+    assert rows(keys.org_unit_descendants({"organisationunit": units}, ["a"])) == [(3,)]
+    assert rows(keys.org_unit_descendants({"organisationunit": units}, ["d"])) == [(5,)]
 
 
 def test_pick(tables):

@@ -21,11 +21,15 @@ from tablewinnow.sources.tableset import (
 def test_selected_names():
     names = [
         "datavalue", "analytics_2024", "AggregatedDataValue", "completeness_a", "sys.job",
-        "public.users", "public.analytics", "SYS.x", "myanalytics",
+        "public.users", "public.analytics", "SYS.x", "myanalytics", "other.analytics_x",
     ]
-    assert selected_names(names) == ["datavalue", "public.users", "myanalytics"]
+    kept = [
+        "datavalue", "AggregatedDataValue", "public.users", "SYS.x", "myanalytics",
+        "other.analytics_x",
+    ]
+    assert selected_names(names) == kept
     assert selected_names(names, exclude=(), exclude_schemas=()) == names
-    assert list(select_tables(dict.fromkeys(names))) == ["datavalue", "public.users", "myanalytics"]
+    assert list(select_tables(dict.fromkeys(names))) == kept
 
 
 @pytest.fixture
@@ -57,6 +61,42 @@ def test_clone_replaces_all_but_protected_tables(spark, databases):
     assert target.read("spatial_ref_sys").count() == 5
 
 
+def test_a_source_that_reads_the_target_is_copied_before_anything_goes(spark, databases):
+    _, target = databases
+    target.write("old", spark.range(4))
+    source = Frames({"new": target.read("old").filter("id > 1")})
+    assert clone_tables(source, target, replace=True) == ["new"]
+    assert target.names() == ["new"] and target.read("new").count() == 2
+
+
+def test_a_failed_copy_leaves_the_target_as_it_was(spark, databases):
+    _, target = databases
+    target.write("old", spark.range(4))
+    broken = spark.range(3).selectExpr("assert_true(id < 0) AS a")
+    source = Frames({"fine": spark.range(2), "broken": broken})
+    with pytest.raises(Exception, match="is not true"):
+        clone_tables(source, target, replace=True)
+    assert "old" in target.names() and target.read("old").count() == 4
+    assert clone_tables(Frames({"fine": spark.range(2)}), target, replace=True) == ["fine"]
+    assert target.names() == ["fine"]
+
+
+def test_a_database_is_not_cloned_onto_itself(spark, databases):
+    _, target = databases
+    target.write("old", spark.range(4))
+    with pytest.raises(ValueError, match="same database"):
+        clone_tables(target, target, replace=True)
+
+
+def test_a_snapshot_holds_what_is_replaced(spark, databases, tmp_path):
+    _, target = databases
+    target.write("old", spark.range(4))
+    clone_tables(Frames({"new": spark.range(1)}), target, replace=True, snapshot=str(tmp_path))
+    (folder,) = tmp_path.iterdir()
+    assert Folder(spark, str(folder)).read("old").count() == 4
+    assert target.names() == ["new"]
+
+
 def test_clone_does_not_overwrite_by_itself(spark, databases):
     source, target = databases
     source.write("a", spark.range(3))
