@@ -7,6 +7,8 @@ nothing in common but the views over the generated tables.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +27,20 @@ from tablewinnow.operators.empty import clear_dependents, empty_tables
 from tablewinnow.operators.merge import merge_metadata, merge_summary
 from tablewinnow.plans.access_plan import AccessState, apply_access_rules
 from tablewinnow.plans.prune_plan import PrunePlan, apply_rules
+from tablewinnow.plans.refresh import Outcome, refresh
 from tablewinnow.plans.rules import read_departments, read_rules
 from tablewinnow.profile import DATA_TABLES, DEPENDENT_TABLES
-from tablewinnow.sources.directory import flat_users, role_links
-from tablewinnow.sources.tableset import derived_view_names, select_tables
+from tablewinnow.settings import broadcast_up_to, ensure_checkpoint_dir
+from tablewinnow.sources.directory import flat_users, group_members, role_links
+from tablewinnow.sources.tableset import (
+    Database,
+    Folder,
+    Frames,
+    clone_tables,
+    derived_view_names,
+    select_tables,
+    snapshot_tables,
+)
 
 try:
     from tablewinnow.llm import registry as llm
@@ -126,6 +138,33 @@ CLONE_SOURCE = {
     "public.sqlview": "sqlview",
 }
 
+# What a refresh starts from, and its configuration.
+REFRESHED = (
+    "organisationunit",
+    "dataset",
+    "dataelement",
+    "datasetelement",
+    "datavalue",
+    "datavalueaudit",
+    *ACCESS_VIEWS,
+)
+REFRESH_CONFIG = {
+    "departments": {"Supply": {"dataSets": ["Brand#2", "Brand#5"]}},
+    "preprocess": [
+        {"selectDepartament": "supply", "action": "removeData",
+         "selectMetadataType": ["dataSets"], "selectOrgUnitAndDescendants": ["R0", "R1"]},
+        {"selectDepartament": "Unheard of", "action": "removeData"},
+    ],
+    "postprocess": [
+        {"selectFiles": ["people.json"], "action": "import"},
+        {"selectUsernames": ["AFRICA", "Customer#000000008"], "selectFromGroups": ["FURNITURE"],
+         "action": "activate"},
+        {"selectFromGroups": ["BUILDING"], "action": "addRoles", "addRoles": NEW_ROLES},
+        {"selectUsernames": ["AFRICA"], "selectFromGroups": ["BUILDING", "FURNITURE"],
+         "action": "deleteOthers"},
+    ],
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -142,6 +181,114 @@ def _pruned(table: str, plan: Callable[[Mapping[str, DataFrame]], PrunePlan]) ->
     return lambda spark, sf_dir: plan(fixtures.Views(spark, sf_dir)).table(table)
 
 
+def _shuffled(query: Query) -> Query:
+    """The query with no key set small enough to be broadcast."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with broadcast_up_to(0):
+            return query(spark, sf_dir)
+
+    return run
+
+
+def _with_skewed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = fixtures.Views(spark, sf_dir, (*fixtures.DATABASE, "skewedvalue"))
+    return _rule_plan({**views, "datavalue": views["skewedvalue"]}).table("datavalue")
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _new_database(spark: SparkSession) -> Database:
+    name = f"tw_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{_new_folder(spark, name)}'")
+    return Database(spark, name)
+
+
+def _clone_source(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    views = fixtures.Views(spark, sf_dir, (*CLONE_SOURCE.values(), "spatial_ref_sys"))
+    names = ("datavalue", "organisationunit", "analytics_2024", "sys.job")
+    return {n: views[CLONE_SOURCE[n]] for n in names} | {"spatial_ref_sys": views["spatial_ref_sys"]}
+
+
+def _cloned(spark: SparkSession, sf_dir: str) -> Database:
+    target = _new_database(spark)
+    clone_tables(Frames(_clone_source(spark, sf_dir)), target)
+    return target
+
+
+def _replaced(spark: SparkSession, sf_dir: str) -> Database:
+    """A clone over a database with a table that goes and a protected one that stays."""
+    target, views = _new_database(spark), fixtures.Views(spark, sf_dir)
+    target.write("datavalue", views["dataset"])
+    target.write("spatial_ref_sys", views["program"])
+    target.write("old", views["program"])
+    clone_tables(Frames(_clone_source(spark, sf_dir)), target, replace=True)
+    return target
+
+
+def _stored(tables: Database | Folder) -> dict[str, DataFrame]:
+    return {name: tables.read(name) for name in tables.names()}
+
+
+def _write_text(frame: DataFrame, path: str) -> None:
+    frame.coalesce(1).write.text(path)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> Outcome:
+    folder = _new_folder(spark, "refresh")
+    config = spark.createDataFrame([(json.dumps(REFRESH_CONFIG),)], "value string")
+    _write_text(config, f"{folder}/config.json")
+    lists = fixtures.Views(spark, sf_dir, ("imported_users", "imported_elements"))
+    credentials = F.struct("username", "disabled").alias("userCredentials")
+    people = lists["imported_users"].select(F.struct("id", credentials).alias("person"))
+    elements = lists["imported_elements"].select(F.struct("id").alias("element"))
+    # The document of an import is one value by its nature; regions and nations are few.
+    document = people.unionByName(elements, allowMissingColumns=True).agg(
+        F.to_json(
+            F.struct(
+                F.collect_list("person").alias("users"),
+                F.collect_list("element").alias("dataElements"),
+            )
+        ).alias("value")
+    )
+    _write_text(document, f"{folder}/imports/people.json")
+    return refresh(
+        spark,
+        f"{folder}/config.json",
+        Frames(fixtures.Views(spark, sf_dir, REFRESHED)),
+        f"{folder}/tables",
+        OPERATOR_USER,
+        import_folder=f"{folder}/imports",
+    )
+
+
+def _refreshed_table(name: str) -> Query:
+    return lambda spark, sf_dir: Folder(spark, _refreshed(spark, sf_dir).folder).read(name)
+
+
+def _refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a refresh tells about itself: rows matched, imports, rules not applied."""
+    outcome = _refreshed(spark, sf_dir)
+    found = [(name, n) for name, n in outcome.matched_rows.items()]
+    for file, table, counts in outcome.imports:
+        found += [(f"{file} {table} {name}", n) for name, n in counts.items()]
+    found += [(f"unmatched {rule.department}", 1) for rule in outcome.unmatched]
+    return spark.createDataFrame(found, "name string, n long")
+
+
+def _nested_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as groups of two users each."""
+
+    def member(key):
+        return F.struct(F.concat(F.lit("U"), F.col(key)).alias("id"))
+
+    return fixtures.base_table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), F.array(member("c_custkey"), member("c_nationkey")).alias("users")
+    )
+
+
 def _rule_plan(tables: Mapping[str, DataFrame]) -> PrunePlan:
     plan, _ = apply_rules(tables, read_departments(DEPARTMENTS), read_rules(RULES))
     return plan
@@ -234,6 +381,21 @@ def table_queries() -> dict[str, Query]:
         return _row_counts(select_tables({n: views[v] for n, v in CLONE_SOURCE.items()}))
 
     result["clone_selected"] = clone_selected
+    result["clone_tables"] = lambda spark, sf_dir: _row_counts(_stored(_cloned(spark, sf_dir)))
+    result["clone_tables_organisationunit"] = lambda spark, sf_dir: _cloned(spark, sf_dir).read(
+        "organisationunit"
+    )
+    result["clone_replaced"] = lambda spark, sf_dir: _row_counts(_stored(_replaced(spark, sf_dir)))
+    result["snapshot_tables"] = lambda spark, sf_dir: _row_counts(
+        _stored(
+            Folder(
+                spark,
+                snapshot_tables(
+                    _clone_source(spark, sf_dir), _new_folder(spark, "snapshots"), "TRAINING"
+                ),
+            )
+        )
+    )
     result["empty_data"] = lambda spark, sf_dir: _row_counts(
         empty_tables(fixtures.Views(spark, sf_dir))
     )
@@ -243,22 +405,21 @@ def table_queries() -> dict[str, Query]:
     result["view_names"] = _on("sqlview")(derived_view_names)
 
     # Keys.
-    result["program_stages"] = _on("program", "programstage")(
-        lambda program, stage: keys.stages_of_programs(program, stage, ["click", "error", "TP2"])
-    )
-    result["dataset_elements"] = _on("dataset", "datasetelement")(
-        lambda dataset, link: keys.elements_of_datasets(dataset, link, ["Brand#2", "Brand#4"])
+    def on_database(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
+        return lambda spark, sf_dir: build(fixtures.Views(spark, sf_dir))
+
+    result["program_stages"] = on_database(
+        lambda t: keys.stages_of_programs(t, ["click", "error", "TP2"])
     )
-    result["elements_in_datasets"] = _on("dataelement", "dataset", "datasetelement")(
-        lambda element, dataset, link: keys.elements_by_uid(
-            element, dataset, link, [f"DE{n}" for n in range(100)], ["Brand#2", "Brand#3"]
-        )
+    result["dataset_elements"] = on_database(
+        lambda t: keys.elements_of_datasets(t, ["Brand#2", "Brand#4"])
     )
-    result["org_unit_exact"] = _on("organisationunit")(
-        lambda units: keys.org_units(units, ["R1", "N2", "C8", "S3"])
+    result["elements_in_datasets"] = on_database(
+        lambda t: keys.elements_by_uid(t, [f"DE{n}" for n in range(100)], ["Brand#2", "Brand#3"])
     )
-    result["org_unit_descendants"] = _on("organisationunit")(
-        lambda units: keys.org_unit_descendants(units, ["N2", "R3", "C1"])
+    result["org_unit_exact"] = on_database(lambda t: keys.org_units(t, ["R1", "N2", "C8", "S3"]))
+    result["org_unit_descendants"] = on_database(
+        lambda t: keys.org_unit_descendants(t, ["N2", "R3", "C1"])
     )
 
     # Removing records.
@@ -335,6 +496,16 @@ def table_queries() -> dict[str, Query]:
         fixtures.Views(spark, sf_dir)
     ).events.rule_counts()
 
+    for name in (
+        "apply_rules_datavalue",
+        "apply_rules_programstageinstance",
+        "prune_trackers_full_programinstance",
+        "prune_trackers_full_programstageinstancecomments",
+    ):
+        result[f"{name}_shuffled"] = _shuffled(result[name])
+    result["apply_rules_skewed"] = _with_skewed_values
+    result["apply_rules_skewed_shuffled"] = _shuffled(_with_skewed_values)
+
     # Access.
     on_users = _on("users", "usergroupmembers")
     result["users_by_username"] = _on("users")(lambda u: access.users_by_username(u, NAMES))
@@ -369,13 +540,22 @@ def table_queries() -> dict[str, Query]:
     for part in ("users", "members", "links"):
         result[f"apply_access_rules_{part}"] = _after_access_rules(part)
 
+    for name in ("add_roles", "keep_only_users", "apply_access_rules_links"):
+        result[f"{name}_shuffled"] = _shuffled(result[name])
+    for table in ("datavalue", "datavalueaudit", "dataelement", "users", "userrolemembers"):
+        result[f"refresh_{table}"] = _refreshed_table(table)
+    result["refresh_report"] = _refresh_report
+
     result["flat_users"] = lambda spark, sf_dir: flat_users(_nested_users(spark, sf_dir))
     result["role_links"] = lambda spark, sf_dir: role_links(_nested_users(spark, sf_dir))
 
+    result["group_members"] = lambda spark, sf_dir: group_members(_nested_groups(spark, sf_dir))
+
     # Metadata.
     on_metadata = _on("metadata_target", "metadata_source")
     result["merge_metadata"] = on_metadata(merge_metadata)
     result["merge_summary"] = on_metadata(merge_summary)
+    result["merge_metadata_shuffled"] = _shuffled(result["merge_metadata"])
 
     # Expressions.
     result["redact_credentials"] = _on("connection_log")(
@@ -503,7 +683,12 @@ def _access(text: str, steps: str = "") -> str:
     return f"{with_views}{steps}\n{text}"
 
 
-def _chosen(names: list[str], groups: list[str], members: str = "usergroupmembers") -> str:
+def _chosen(
+    names: list[str],
+    groups: list[str],
+    members: str = "usergroupmembers",
+    users: str = "users",
+) -> str:
     """Ids of users selected by name or group."""
     conditions = []
     if names:
@@ -512,7 +697,7 @@ def _chosen(names: list[str], groups: list[str], members: str = "usergroupmember
         conditions.append(
             f"id IN (SELECT user_id FROM {members} WHERE group_name IN {_list(groups)})"
         )
-    return f"SELECT id FROM users WHERE {' OR '.join(conditions)}"
+    return f"SELECT id FROM {users} WHERE {' OR '.join(conditions)}"
 
 
 def _granted(links: str, chosen: str, roles: str) -> str:
@@ -527,7 +712,20 @@ def table_sql() -> dict[str, str]:
     ctes = fixtures.common_table_expressions
 
     sql["clone_selected"] = _counts_sql(
-        {n: CLONE_SOURCE[n] for n in ("datavalue", "organisationunit", "public.sqlview")}
+        {
+            n: CLONE_SOURCE[n]
+            for n in ("datavalue", "organisationunit", "Completeness_a", "public.sqlview")
+        }
+    )
+    copied = {n: n for n in ("datavalue", "organisationunit")}
+    protected = {"spatial_ref_sys": "spatial_ref_sys"}
+    sql["clone_tables"] = _counts_sql(copied | protected)
+    sql["clone_tables_organisationunit"] = (
+        ctes("organisationunit") + " SELECT * FROM organisationunit"
+    )
+    sql["clone_replaced"] = _counts_sql(copied | {"spatial_ref_sys": "program"})
+    sql["snapshot_tables"] = _counts_sql(
+        copied | protected | {"analytics_2024": CLONE_SOURCE["analytics_2024"]}
     )
     database = {name: name for name in fixtures.DATABASE}
     sql["empty_data"] = _counts_sql(database, DATA_TABLES)
@@ -655,6 +853,16 @@ def table_sql() -> dict[str, str]:
         "programstageinstance", [*event_rules, (2, "trackers", strip_rule)]
     )
 
+    for name in (
+        "apply_rules_datavalue",
+        "apply_rules_programstageinstance",
+        "prune_trackers_full_programinstance",
+        "prune_trackers_full_programstageinstancecomments",
+    ):
+        sql[f"{name}_shuffled"] = sql[name]
+    sql["apply_rules_skewed"] = _keep("skewedvalue", *[c for _, _, c in value_rules])
+    sql["apply_rules_skewed_shuffled"] = sql["apply_rules_skewed"]
+
     chosen = _chosen(NAMES, GROUPS)
     sql["users_by_username"] = _access(f"SELECT * FROM users WHERE username IN {_list(NAMES)}")
     sql["users_by_group"] = _access(f"SELECT * FROM users WHERE id IN ({_chosen([], GROUPS)})")
@@ -700,6 +908,58 @@ def table_sql() -> dict[str, str]:
         "SELECT * FROM links2 WHERE user_id IN (SELECT id FROM remaining)", steps
     )
 
+    for name in ("add_roles", "keep_only_users", "apply_access_rules_links"):
+        sql[f"{name}_shuffled"] = sql[name]
+
+    supply, far = _members(["Brand#2", "Brand#5"]), _below("sourceid", ["R0", "R1"])
+    sql["refresh_datavalue"] = _keep("datavalue", f"({supply} AND {far})")
+    sql["refresh_datavalueaudit"] = (
+        ctes("datavalueaudit") + " SELECT * FROM datavalueaudit WHERE false"
+    )
+    sql["refresh_dataelement"] = ctes("dataelement", "imported_elements") + (
+        " SELECT t.dataelementid, coalesce(t.uid, s.id) AS uid "
+        "FROM dataelement t FULL OUTER JOIN imported_elements s ON t.uid = s.id"
+    )
+    people = ctes(*ACCESS_VIEWS, "imported_users") + (
+        ",\npeople AS (SELECT coalesce(t.id, s.id) AS id, "
+        "coalesce(s.username, t.username) AS username, "
+        "coalesce(s.disabled, t.disabled) AS disabled "
+        "FROM users t FULL OUTER JOIN imported_users s ON t.id = s.id)"
+        ",\nremaining AS ("
+        + _chosen(["AFRICA", OPERATOR_USER], ["BUILDING", "FURNITURE"], users="people")
+        + ")"
+    )
+    active = _chosen(["AFRICA", "Customer#000000008"], ["FURNITURE"], users="people")
+    sql["refresh_users"] = people + (
+        f" SELECT id, username, CASE WHEN id IN ({active}) THEN false ELSE disabled END "
+        "AS disabled FROM people WHERE id IN (SELECT id FROM remaining)"
+    )
+    building = _chosen([], ["BUILDING"], users="people")
+    sql["refresh_userrolemembers"] = people + (
+        f" SELECT * FROM ({_granted('userrolemembers', building, named)}) "
+        "WHERE user_id IN (SELECT id FROM remaining)"
+    )
+    reported = [("rule_0_datasets_0", f"SELECT count(*) FROM datavalue WHERE {supply} AND {far}")]
+    for table, target, imported, key in (
+        ("users", "users", "imported_users", "id"),
+        ("dataelement", "dataelement", "imported_elements", "uid"),
+    ):
+        known = f"id IN (SELECT {key} FROM {target})"
+        for name, condition in (
+            ("total", "true"),
+            ("created", f"NOT {known}"),
+            ("updated", known),
+            ("deleted", "false"),
+            ("ignored", "false"),
+        ):
+            reported.append(
+                (f"people.json {table} {name}", f"SELECT count(*) FROM {imported} WHERE {condition}")
+            )
+    reported.append(("unmatched Unheard of", "SELECT CAST(1 AS BIGINT)"))
+    sql["refresh_report"] = ctes(*REFRESHED, "imported_users", "imported_elements") + (
+        " " + " UNION ALL ".join(f"SELECT '{name}' AS name, ({count}) AS n" for name, count in reported)
+    )
+
     sql["flat_users"] = (
         "SELECT concat('U', c_custkey) AS id, "
         "CASE WHEN c_acctbal >= 0 THEN concat('c', c_custkey) ELSE c_name END AS username, "
@@ -712,6 +972,11 @@ def table_sql() -> dict[str, str]:
         "WHERE c_acctbal >= 0"
     )
 
+    sql["group_members"] = (
+        "SELECT c_name AS group_name, concat('U', c_custkey) AS user_id FROM customer UNION ALL "
+        "SELECT c_name, concat('U', c_nationkey) FROM customer"
+    )
+
     with_metadata = ctes("metadata_target", "metadata_source")
     sql["merge_metadata"] = with_metadata + (
         " SELECT coalesce(t.id, s.id) AS id, coalesce(s.name, t.name) AS name, "
@@ -719,6 +984,7 @@ def table_sql() -> dict[str, str]:
         "FROM metadata_target t FULL OUTER JOIN "
         "(SELECT * FROM metadata_source WHERE id IS NOT NULL) s ON t.id = s.id"
     )
+    sql["merge_metadata_shuffled"] = sql["merge_metadata"]
     sql["merge_summary"] = with_metadata + (
         " SELECT count(*) AS total, "
         "count(*) FILTER (WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM metadata_target)) "

@@ -70,6 +70,13 @@ VIEWS = {
         SELECT l_partkey AS dataelementid, l_suppkey * 4 + 3 AS sourceid,
                l_orderkey AS periodid, l_linenumber AS seq, l_quantity AS value
         FROM {lineitem}""",
+    # One element has a third of all values or more; some values have none.
+    "skewedvalue": """
+        SELECT CASE WHEN l_linenumber <= 2 THEN 7
+                    WHEN l_quantity >= 3 THEN l_partkey END AS dataelementid,
+               l_suppkey * 4 + 3 AS sourceid,
+               l_orderkey AS periodid, l_linenumber AS seq, l_quantity AS value
+        FROM {lineitem}""",
     "datavalueaudit": """
         SELECT l_partkey AS dataelementid, l_suppkey * 4 + 3 AS sourceid,
                l_extendedprice AS value
@@ -136,7 +143,15 @@ VIEWS = {
         FROM {orders}""",
     "userrolemembers": """
         SELECT DISTINCT concat('U', o_custkey) AS user_id, substr(o_orderpriority, 1, 1) AS role_id
-        FROM {orders} WHERE o_orderstatus = 'P'""",
+        FROM {orders}""",
+    "imported_users": """
+        SELECT concat('U', r_regionkey) AS id, r_name AS username,
+               r_regionkey % 2 = 0 AS disabled
+        FROM {region}""",
+    "imported_elements": """
+        SELECT concat('DE', n_nationkey) AS id FROM {nation}""",
+    "spatial_ref_sys": """
+        SELECT n_nationkey AS srid, n_name AS auth_name FROM {nation}""",
     "sqlview": """
         SELECT p_partkey AS sqlviewid, concat(p_name, ' - ', p_brand) AS name,
                CASE WHEN p_type = 'PROMO' OR p_type = 'SMALL' THEN 'VIEW' ELSE 'QUERY' END AS type
