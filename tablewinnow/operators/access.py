@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewinnow.operators.matching import (
@@ -26,10 +26,14 @@ from tablewinnow.operators.matching import (
     keep_matching,
     key_set,
 )
-from tablewinnow.settings import materialise
+from tablewinnow.settings import broadcast_limit, materialise
 
 _SELECTED = "_tw_selected"
 _SHARD = "_tw_shard"
+_SALT = "_tw_salt"
+# Shards of roles that are broadcast, and the least bytes of a shard of others.
+_FEW = 4
+_LEAST_SHARD = 1 << 20
 
 Selection = KeySet | DataFrame
 
@@ -134,19 +138,31 @@ def roles_named(roles: DataFrame, names: Iterable[str]) -> DataFrame:
 def _every_pair(selected: KeySet, roles: KeySet) -> DataFrame:
     """(user_id, role_id) for every selected user and every role, as an equi-join.
 
-    Roles are dealt over shards and each user meets each shard once. Roles that
-    were measured to be few are broadcast; otherwise there are as many shards as
-    shuffle partitions, so that no task holds all pairs.
+    The pairs are the result itself. Roles that were measured to be few are broadcast.
+    Otherwise users and roles are dealt over a grid, so that no task holds all of
+    either; it has as many shards of roles as their size calls for, and each user is
+    repeated once per shard.
     """
     spark = roles.frame.sparkSession
-    shards = 4 if roles.small else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = roles.frame.withColumn(
-        _SHARD, F.pmod(F.xxhash64("role_id"), F.lit(shards)).cast("int")
-    )
-    users = selected.frame.withColumn(
-        _SHARD, F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    )
-    pairs = users.join(F.broadcast(dealt) if roles.small else dealt, _SHARD)
+    if roles.small:
+        shards, salts = _FEW, 1
+    else:
+        most = max(broadcast_limit(spark), _LEAST_SHARD)
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shards = -(-roles.size // most)
+        salts = max(-(-selected.size // most), -(-tasks // shards))
+
+    def dealt(key: str, count: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(count)).cast("int")
+
+    def each(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    granted = roles.frame.withColumn(_SHARD, dealt("role_id", shards))
+    granted = granted.withColumn(_SALT, each(salts))
+    users = selected.frame.withColumn(_SALT, dealt("user_id", salts))
+    users = users.withColumn(_SHARD, each(shards))
+    pairs = users.join(F.broadcast(granted) if roles.small else granted, [_SHARD, _SALT])
     return pairs.select("user_id", "role_id")
 
 
