@@ -72,7 +72,7 @@ VIEWS = {
         FROM {lineitem}""",
     # One element has a third of all values or more; some values have none.
     "skewedvalue": """
-        SELECT CASE WHEN l_linenumber <= 2 THEN 7
+        SELECT CASE WHEN l_linenumber <= 3 THEN 7
                     WHEN l_quantity >= 3 THEN l_partkey END AS dataelementid,
                l_suppkey * 4 + 3 AS sourceid,
                l_orderkey AS periodid, l_linenumber AS seq, l_quantity AS value
@@ -145,11 +145,11 @@ VIEWS = {
         SELECT DISTINCT concat('U', o_custkey) AS user_id, substr(o_orderpriority, 1, 1) AS role_id
         FROM {orders}""",
     "imported_users": """
-        SELECT concat('U', r_regionkey) AS id, r_name AS username,
+        SELECT concat('U', r_regionkey - 2) AS id, r_name AS username,
                r_regionkey % 2 = 0 AS disabled
         FROM {region}""",
     "imported_elements": """
-        SELECT concat('DE', n_nationkey) AS id FROM {nation}""",
+        SELECT concat('DE', n_nationkey - 12) AS id FROM {nation}""",
     "spatial_ref_sys": """
         SELECT n_nationkey AS srid, n_name AS auth_name FROM {nation}""",
     "sqlview": """
