@@ -10,14 +10,13 @@ from tablewinnow.llm import language, mixing, near_dedup, packing, pii
 from tablewinnow.llm.common import ensure_checkpoint_dir, read
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# Texts of known languages score 0.5 or more, also short and noisy ones.
-LEAST_SCORE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned stay; undetermined ones go."""
+    """Documents that score as those of a learned language do stay; others and undetermined
+    ones go."""
     docs = docs.select(*COLUMNS)
-    return language.keep_known(docs, language.fit(docs), LEAST_SCORE)
+    return language.keep_known(docs, language.fit_to_keep(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,10 @@ The kernel is approximated from landmark texts (Nyström), and one ridge regress
 language learns +1 or -1 in that feature space. As the kernel is a product of presence
 vectors, landmarks and regression fold into one matrix of cells by languages, so that a
 batch of texts is scored by one matrix product.
+
+The outputs for a text sum to two less the number of languages, whatever the text, so its best
+score is never below one by that number. What score a text of a learned language reaches
+is measured (``least_scores``), by language and by how many n-grams the text has.
 """
 
 from __future__ import annotations
@@ -33,6 +37,13 @@ RIDGE = 1e-3
 FOLDS = 3
 HELD_OUT = 1
 UNDETERMINED = "und"
+# Least scores are measured for texts of so many n-grams or more.
+SIZES = (0, 30, 100, 300)
+LOST = 0.005  # share of the texts of a learned language that a least score may turn away
+FOREIGN = 0.99  # share of the texts of other languages that it should turn away
+FEWEST_TEXTS = 40  # fewer of a language and size are judged by those of all languages
+ABOVE = 0.01  # what any text has to score above the least that is possible
+MOST_FITS = 8
 _ROWS = 64  # scored by one product
 _CHUNK = 1 << 20
 
@@ -71,6 +82,7 @@ class Languages:
     names: list[str]
     weights: np.ndarray  # cells by languages, float32
     bias: np.ndarray | float = 0.0
+    least: np.ndarray | None = None  # least scores, sizes by languages
 
     @classmethod
     def fit(cls, cells: np.ndarray, names: np.ndarray, landmarks: int = LANDMARKS) -> Languages:
@@ -113,16 +125,89 @@ class Languages:
             rows = [UNDETERMINED] * len(found)
             values = [0.0] * len(found)
             if usable:
-                batch = np.array([found[i] for i in usable], np.float32)
-                result = batch @ self.weights / np.sqrt(batch.sum(axis=1, keepdims=True)) + self.bias
-                best = result.argmax(axis=1)
-                value = np.clip((result.max(axis=1) + 1) / 2, 0, 1)
+                best, value, _ = self.best(np.array([found[i] for i in usable], np.float32))
                 for i, b, v in zip(usable, best.tolist(), value.tolist(), strict=True):
                     rows[i], values[i] = self.names[b], round(v, 6)
             names += rows
             scores += values
         return names, scores
 
+    def best(self, batch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each row of presences the number of the best language, its score and the
+        number of n-grams."""
+        sizes = batch.sum(axis=1, keepdims=True)
+        result = batch @ self.weights / np.sqrt(sizes) + self.bias
+        return result.argmax(axis=1), np.clip((result.max(axis=1) + 1) / 2, 0, 1), sizes[:, 0]
+
+    def known(self, texts: list[str | None]) -> list[bool]:
+        """Whether each text scores as texts of its best language do."""
+        kept = []
+        for at in range(0, len(texts), _ROWS):
+            found = [presence(t) for t in texts[at : at + _ROWS]]
+            usable = [i for i, f in enumerate(found) if f is not None and self.names]
+            rows = [False] * len(found)
+            if usable:
+                best, value, sizes = self.best(np.array([found[i] for i in usable], np.float32))
+                enough = value >= self.least[size_class(sizes), best]
+                for i, e in zip(usable, enough.tolist(), strict=True):
+                    rows[i] = e
+            kept += rows
+        return kept
+
+
+def size_class(sizes: np.ndarray) -> np.ndarray:
+    return np.searchsorted(SIZES, sizes, side="right") - 1
+
+
+def least_scores(cells: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Sizes by languages: the score below which a text is taken to be in no learned language.
+
+    Right texts are scored by a model of the other half of the texts, foreign ones by a model
+    without their language. The least score turns away ``FOREIGN`` of the foreign texts of a
+    size, but no more than ``LOST`` of the right ones of a language and size; where too few
+    are known, only what scores no more than any text does. Of a single language every text
+    scores 1, so nothing is turned away."""
+    known = sorted(set(names.tolist()))
+    if len(known) < 2:
+        return np.zeros((len(SIZES), len(known)))
+
+    def scored(learn: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        model = Languages.fit(cells[learn], names[learn])
+        parts = [(np.zeros(0, int), np.zeros(0), np.zeros(0))]
+        tested = np.flatnonzero(test) if model.names else []
+        for at in range(0, len(tested), 256):
+            rows = np.unpackbits(cells[tested[at : at + 256]], axis=1).astype(np.float32)
+            parts.append(model.best(rows))
+        best, value, sizes = (np.concatenate(p) for p in zip(*parts, strict=True))
+        right = np.array(model.names, object)[best] if len(best) else best
+        return right, value, size_class(sizes)
+
+    even = np.arange(len(names)) % 2 == 0
+    right: dict[tuple[int, str], list[float]] = {}
+    for half in (even, ~even):
+        for name, value, size, true in zip(*scored(~half, half), names[half], strict=True):
+            if name == true:
+                right.setdefault((size, name), []).append(value)
+    foreign: dict[int, list[float]] = {}
+    groups = min(len(known), MOST_FITS)
+    if len(known) > 2:  # a model of one language has nothing to tell
+        number = np.array([known.index(n) for n in names]) % groups
+        for group in range(groups):
+            _, value, size = scored(number != group, number == group)
+            for v, s in zip(value.tolist(), size.tolist(), strict=True):
+                foreign.setdefault(s, []).append(v)
+    least = np.full((len(SIZES), len(known)), 1 / len(known) + ABOVE)
+    for size in range(len(SIZES)):
+        others = foreign.get(size, [])
+        enough = np.quantile(others, FOREIGN) if len(others) >= FEWEST_TEXTS else 1.0
+        every = [v for n in known for v in right.get((size, n), [])]
+        for i, name in enumerate(known):
+            own = right.get((size, name), [])
+            own = own if len(own) >= FEWEST_TEXTS else every
+            if len(own) >= FEWEST_TEXTS:
+                least[size, i] = max(least[size, i], min(np.quantile(own, LOST), enough))
+    return least
+
 
 def held_out(doc_id: Column) -> Column:
     """Whether CRC-32 of the id's text leaves 1 by 3; a null id counts as held out."""
@@ -130,9 +215,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST_TEXTS) -> Languages:
-    """Learn from texts with a language that are not held out: about ``per_language`` of
-    each by a hash of the id, and no more than ``most`` in all. Only their presence bits,
-    ``CELLS / 8`` bytes a text, reach the driver."""
+    """Learn from texts with a language that are not held out."""
+    return Languages.fit(*training(docs, per_language, most))
+
+
+def fit_to_keep(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST_TEXTS) -> Languages:
+    """The same, with the least scores that ``keep_known`` needs."""
+    cells, names = training(docs, per_language, most)
+    model = Languages.fit(cells, names)
+    model.least = least_scores(cells, names)
+    return model
+
+
+def training(docs: DataFrame, per_language: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Presences and languages of texts that are not held out: about ``per_language`` of
+    each language by a hash of the id, and no more than ``most`` in all. Only their presence
+    bits, ``CELLS / 8`` bytes a text, reach the driver."""
     learnable = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     counts = learnable.groupBy("lang").count()
     n = counts.count()
@@ -167,7 +265,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST_TEXT
     # Copies count once, so no group of them makes the sample larger.
     rows = rows.distinct().toPandas().sort_values(["lang", "cells"])
     cells = np.frombuffer(b"".join(rows["cells"]), np.uint8).reshape(len(rows), CELLS // 8)
-    return Languages.fit(cells, rows["lang"].to_numpy(object))
+    return cells, rows["lang"].to_numpy(object)
 
 
 def identify(docs: DataFrame, model: Languages) -> DataFrame:
@@ -201,14 +299,13 @@ def identify(docs: DataFrame, model: Languages) -> DataFrame:
     )
 
 
-def keep_known(docs: DataFrame, model: Languages, least: float) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more."""
+def keep_known(docs: DataFrame, model: Languages) -> DataFrame:
+    """The rows of ``docs`` in a language that ``model``, of ``fit_to_keep``, has learned."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = shared.value.score(batch.column("text").to_pylist())
-            kept = [n != UNDETERMINED and s >= least for n, s in zip(names, scores, strict=True)]
+            kept = shared.value.known(batch.column("text").to_pylist())
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(sift, docs.schema)

@@ -10,7 +10,9 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tablewinnow.llm import (
     fingerprints,
     language,
@@ -309,6 +311,23 @@ def test_language_on_held_out_rows(spark, docs):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.99 * len(rows)
 
 
+def test_unlearned_languages_go(spark, docs):
+    """The stage of the pipeline, French without its label, and junk made of letters."""
+    draw = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(draw.choices(letters, k=draw.randint(3, 9)))
+    junk = [(10**6 + i, " ".join(word() for _ in range(100)), None, "junk", 0) for i in range(30)]
+    label = F.when(F.col("lang") != "fr", F.col("lang"))
+    given = docs.select(*corpus_pipeline.COLUMNS).withColumn("lang", label)
+    given = given.union(spark.createDataFrame(junk, given.schema))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, given, FOLDER).collect()}
+    rows = docs.where(F.length("text") >= 200).select("doc_id", "lang").collect()
+    foreign = [r.doc_id in kept for r in rows if r.lang == "fr"]
+    clean = [r.doc_id in kept for r in rows if r.lang != "fr"]
+    assert sum(foreign) <= 0.1 * len(foreign) and sum(clean) >= 0.99 * len(clean)
+    assert not any(doc_id in kept for doc_id, *_ in junk)
+
+
 def test_long_texts_are_read_whole(monkeypatch):
     monkeypatch.setattr(language, "_CHUNK", 7)
     cut = language.presence("some words across cuts, é")
