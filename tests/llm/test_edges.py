@@ -134,3 +134,17 @@ def test_odd_pages(spark):
     assert of[4].rule is None and of[4].verdict == "block"
     assert of[5].rule == "com/fr/" and of[6].rule is None and of[7].host == "b:"
     assert urls.judge_urls(pages.limit(0)).collect() == []
+
+
+def test_distrust_reaches_the_start_of_a_long_chain(spark):
+    """Each of 14 hosts links to the next; a rule blocks the last."""
+    hosts = [f"h{i}" for i in range(13)] + ["last.com"]
+    rows = [
+        (i, f"http://{host}/de/1", f'<a href="http://{after}/">')
+        for i, (host, after) in enumerate(zip(hosts, [*hosts[1:], ""], strict=True))
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in urls.judge_urls(pages).collect()}
+    assert all(r.verdict == "block" and r.trust == 0 for r in found.values())
+    for i, r in found.items():
+        assert abs(r.distrust - 0.15 * 0.85 ** (13 - i)) <= 1e-5 * r.distrust
