@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tablewinnow.llm import (
+    alignment,
     fingerprints,
     language,
     mixing,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op8_pii": pii.op8_pii,
         "op9_url_verdicts": urls.op9_url_verdicts,
         "op10_secrets": secrets.op10_secrets,
+        "op11_align_tokens": alignment.op11_align_tokens,
         "pipeline": corpus_pipeline.run,
     }
 
