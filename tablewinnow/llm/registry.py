@@ -19,6 +19,7 @@ from tablewinnow.llm import (
     secrets,
     toxicity,
     urls,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +38,14 @@ def queries() -> dict[str, Query]:
         "op9_url_verdicts": urls.op9_url_verdicts,
         "op10_secrets": secrets.op10_secrets,
         "op11_align_tokens": alignment.op11_align_tokens,
+        "op13_warc": warc.op13_warc,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing.ORACLE, "op9_url_verdicts": urls.oracle()}
+    return {
+        "op1_mix_sources": mixing.ORACLE,
+        "op9_url_verdicts": urls.oracle(),
+        "op13_warc": warc.ORACLE,
+    }
