@@ -14,6 +14,7 @@ from tablewinnow.llm import (
     mixing,
     near_dedup,
     packing,
+    periodic,
     pii,
     quality,
     secrets,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op9_url_verdicts": urls.op9_url_verdicts,
         "op10_secrets": secrets.op10_secrets,
         "op11_align_tokens": alignment.op11_align_tokens,
+        "op12_periodic_runs": periodic.op12_periodic_runs,
         "op13_warc": warc.op13_warc,
         "pipeline": corpus_pipeline.run,
     }
@@ -47,5 +49,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix_sources": mixing.ORACLE,
         "op9_url_verdicts": urls.oracle(),
+        "op12_periodic_runs": periodic.op12_periodic_runs,
         "op13_warc": warc.ORACLE,
     }

@@ -4,11 +4,13 @@ import pytest
 
 from corpus_pipeline import COLUMNS, STAGES
 from tablewinnow.llm import (
+    alignment,
     fingerprints,
     language,
     mixing,
     near_dedup,
     packing,
+    periodic,
     pii,
     quality,
     secrets,
@@ -63,8 +65,12 @@ OPERATORS = {
     "pii": lambda spark, docs, labels: pii.find(docs, pii.fit(docs)),
     "masked": lambda spark, docs, labels: pii.masked(docs, pii.fit(docs)),
     "secrets": lambda spark, docs, labels: secrets.find(docs, secrets.fit(docs)),
+    "align": lambda spark, docs, labels: alignment.align_documents(docs, alignment.vocabularies()),
+    "runs": lambda spark, docs, labels: periodic.find_runs(docs),
 }
-ROW_PER_ROW = {"mix", "fingerprint", "quality", "toxicity", "near", "language", "pii", "secrets"}
+ROW_PER_ROW = {
+    "mix", "fingerprint", "quality", "toxicity", "near", "language", "pii", "secrets", "align", "runs"
+}
 
 
 @pytest.mark.parametrize("name", OPERATORS)

@@ -16,6 +16,8 @@ COLUMNS = {
     "op7_language": "doc_id held_out lang_pred score",
     "op8_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op11_align_tokens": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op12_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
