@@ -2,73 +2,159 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What JSON takes for blank.
+_BLANKS = " \t\n\r"
+
+# Brackets and commas by themselves; strings and all else between them as one token. Joined,
+# tokens are the document again. The quantifiers are possessive: a string of any length is
+# matched in a loop, not by recursion.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_TOKENS = rf'(?s)[{{}}\[\],]|(?:[^{{}}\[\],"]++|{_STRING})++|"'
+_FIRST_STRING = rf"(?s)\A[{_BLANKS}]*+({_STRING})"
+
+# Sums are run over blocks of so many, and over the blocks' sums in the same way: work grows with
+# the number of tokens, not with its square. Four levels reach 64^4 tokens.
+_BLOCK = 64
+_LEVELS = 3
+
+
+def top_keys(document: Column) -> Column:
+    """The keys of the object at its top level; null for null, malformed or non-object text."""
+    return F.json_object_keys(document)
+
 
 def has_any_key(document: Column, keys: Column) -> Column:
     """True when the object has one of ``keys`` at its top level, whatever the
     value, JSON null included. False for null, malformed or non-object text."""
-    return F.coalesce(F.arrays_overlap(F.json_object_keys(document), keys), F.lit(False))
+    return any_of(top_keys(document), keys)
 
 
-# Strings, marks, and runs of anything else: joined, they are the document again.
-_TOKENS = r'''"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^{}\[\],:"]+'''
+def any_of(own: Column, keys: Column) -> Column:
+    """Whether the keys of an object have one of ``keys`` among them."""
+    return F.coalesce(F.arrays_overlap(own, keys), F.lit(False))
 
 
-def entries_of(document: Column) -> Column:
-    """The top-level entries of a JSON object as (text, key), in order, each text as it is
-    written; null for text whose brackets do not make it one object. An entry ends at a
-    comma outside nested objects and arrays; its key is its first token that is a string."""
-    tokens = F.regexp_extract_all(F.trim(document), F.lit(_TOKENS), F.lit(0))
-    inner = F.slice(tokens, 2, F.greatest(F.size(tokens) - 2, F.lit(0)))
-    empty = F.struct(F.lit("").alias("text"), F.lit(None).cast("string").alias("key"))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    def state(depth: Column, done: Column, own: Column, whole: Column) -> Column:
+def _sums_of_block(values: Column) -> Column:
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("sums"))
+
+    def add(now: Column, value: Column) -> Column:
+        total = now["sum"] + value
         return F.struct(
-            depth.alias("depth"), done.alias("done"), own.alias("own"), whole.alias("whole")
+            total.alias("sum"), F.concat(now["sums"], F.array(total)).alias("sums")
         )
 
-    def add(now: Column, token: Column) -> Column:
-        depth, own = now["depth"], now["own"]
-        deeper = F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
-        is_key = own["key"].isNull() & token.startswith('"')
-        longer = F.struct(
-            F.concat(own["text"], token).alias("text"),
-            F.when(is_key, token).otherwise(own["key"]).alias("key"),
+    return F.aggregate(values, start, add, lambda last: last["sums"])
+
+
+def running_sums(values: Column, levels: int = _LEVELS) -> Column:
+    """For each number of an array the sum up to it, in time linear in its length."""
+    if not levels:
+        return _sums_of_block(values)
+
+    def by_blocks(all_values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_values) - 1) / _BLOCK).cast("int"))
+        blocks = F.transform(
+            numbers, lambda b: _sums_of_block(F.slice(all_values, b * _BLOCK + 1, F.lit(_BLOCK)))
         )
-        return F.when(
-            (token == ",") & (depth == 0),
-            state(depth, F.concat(now["done"], F.array(own)), empty, now["whole"]),
-        ).otherwise(
-            state(depth + deeper, now["done"], longer, now["whole"] & (depth + deeper >= 0))
+        return _let(blocks, shifted)
+
+    def shifted(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.element_at(block, -1))
+        return _let(
+            running_sums(totals, levels - 1),
+            lambda before: F.flatten(
+                F.transform(
+                    blocks,
+                    lambda block, i: _let(
+                        F.coalesce(F.get(before, i - 1), F.lit(0)),
+                        lambda shift: F.transform(block, lambda s: s + shift),
+                    ),
+                )
+            ),
         )
 
-    start = state(F.lit(0), F.slice(F.array(empty), 1, 0), empty, F.lit(True))
+    return _let(
+        values,
+        lambda v: F.when(F.size(v) <= _BLOCK, _sums_of_block(v)).otherwise(by_blocks(v)),
+    )
 
-    def finish(last: Column) -> Column:
-        entries = F.concat(last["done"], F.array(last["own"]))
-        return F.when(last["whole"] & (last["depth"] == 0), entries)
 
-    closed = (F.get(tokens, F.lit(0)) == "{") & F.trim(document).endswith("}")
-    return F.when(closed, F.aggregate(inner, start, add, finish))
+def entries_of(document: Column) -> Column:
+    """The top-level entries of a JSON object as (text, key), in order, each text as it is
+    written; null for text whose brackets do not make it one object. An entry ends at a
+    comma outside nested objects and arrays; its key is the string it begins with."""
+
+    def change(token: Column) -> Column:
+        return F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
+
+    def cut(tokens: Column, depth: Column) -> Column:
+        n = F.size(tokens)
+        # One object: it opens first, and closes last and not before.
+        whole = (
+            (F.get(tokens, F.lit(0)) == "{")
+            & (F.get(tokens, n - 1) == "}")
+            & (F.get(depth, n - 1) == 0)
+            & (F.array_min(F.slice(depth, 1, n - 1)) > 0)
+        )
+        commas = F.filter(
+            F.sequence(F.lit(0), n - 1), lambda i: (F.get(tokens, i) == ",") & (F.get(depth, i) == 1)
+        )
+        bounds = F.concat(F.array(F.lit(0)), commas, F.array(n - 1))
+        return F.when(whole, _let(bounds, lambda at: between(tokens, at)))
+
+    def between(tokens: Column, at: Column) -> Column:
+        def entry(start: Column, number: Column) -> Column:
+            own = F.slice(tokens, start + 2, F.get(at, number + 1) - start - 1)
+            key = F.regexp_extract(F.get(tokens, start + 1), _FIRST_STRING, 1)
+            return F.struct(F.array_join(own, "").alias("text"), key.alias("key"))
+
+        return F.transform(F.slice(at, 1, F.size(at) - 1), entry)
+
+    text = F.trim(document, F.lit(_BLANKS))
+    tokens = F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0))
+    entries = _let(
+        tokens,
+        lambda t: _let(running_sums(F.transform(t, change)), lambda depth: cut(t, depth)),
+    )
+    return F.when(F.startswith(text, F.lit("{")), entries)
 
 
 def without_keys(document: Column, keys: Column) -> Column:
     """The object without ``keys``, all other entries as they are written: numbers of any
-    length, spaces, escapes and repeated keys included. Text that has none of the keys at
-    its top level, and text that is no well-formed object, is returned byte for byte."""
+    length, blanks, escapes and repeated keys included, and blanks around the object. Text that has
+    none of the keys at its top level, and text that is no well-formed object, is returned byte for
+    byte. Well-formed is what Spark's JSON reader takes: it knows limits, such as a depth of 1000."""
+    return F.coalesce(
+        F.when(has_any_key(document, keys), stripped(document, keys)), document
+    )
+
+
+def stripped(document: Column, keys: Column) -> Column:
+    """As ``without_keys``, for documents that have one of the keys; null if they are no object."""
     kept = F.filter(
         entries_of(document),
         lambda e: ~F.coalesce(F.array_contains(keys, _decoded(e["key"])), F.lit(False)),
     )
     texts = F.transform(kept, lambda e: e["text"])
-    rewritten = F.concat(F.lit("{"), F.trim(F.array_join(texts, ",")), F.lit("}"))
-    return F.when(has_any_key(document, keys), F.coalesce(rewritten, document)).otherwise(
-        document
-    )
+    inside = F.trim(F.array_join(texts, ","), F.lit(_BLANKS))
+    blanks = F.lit(_BLANKS)
+    before = F.left(document, F.length(document) - F.length(F.ltrim(document, blanks)))
+    after = F.right(document, F.length(document) - F.length(F.rtrim(document, blanks)))
+    return F.concat(before, F.lit("{"), inside, F.lit("}"), after)
 
 
 def _decoded(key: Column) -> Column:
     """A JSON string as text."""
-    return F.get(F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>"), F.lit(0))
+    plain = F.substring(key, F.lit(2), F.length(key) - 2)
+    parsed = F.get(F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>"), F.lit(0))
+    return F.when(F.contains(key, F.lit("\\")), parsed).otherwise(plain)

@@ -15,7 +15,7 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tablewinnow.functions.jsonkeys import has_any_key, without_keys
+from tablewinnow.functions.jsonkeys import any_of, stripped, top_keys
 from tablewinnow.operators.empty import without_rows
 from tablewinnow.operators.marks import (
     WORD_BITS,
@@ -41,7 +41,9 @@ from tablewinnow.settings import concurrently
 
 _MATCHED = "matched"
 _PLACE = "_tw_place"
+_OWN = "_tw_own_keys"
 _KEYS = "_tw_keys"
+_EDITED = "_tw_edited"
 
 
 class FactPlan:
@@ -92,7 +94,24 @@ class FactPlan:
             rows = attach(rows, self._place_marks, _PLACE)
         found = matched_words(self.removals, self._place_marks is not None)
         matched = [m.alias(c) for m, c in zip(found, names(_MATCHED, n))]
-        return rows.select(*fact.columns, *matched)
+        rows = rows.select(*fact.columns, *matched)
+        return self._edited(rows) if self._stripping else rows
+
+    @cached_property
+    def _stripping(self) -> list[int]:
+        return [i for i, r in enumerate(self.removals) if r.strips]
+
+    def _edited(self, rows: DataFrame) -> DataFrame:
+        """Documents some removal may edit, parsed once: their keys, and where a key goes, the
+        new document. It is null where the text is no whole object, which is left alone."""
+        document = F.col(self.fact.document)
+        own = F.when(F.size(_KEYS) > 0, top_keys(document))
+        edited = F.when(any_of(F.col(_OWN), F.col(_KEYS)), stripped(document, F.col(_KEYS)))
+        return (
+            rows.withColumn(_KEYS, self._stripped_keys())
+            .withColumn(_OWN, own)
+            .withColumn(_EDITED, edited)
+        )
 
     def _has(self, index: int) -> Column:
         return bit(F.col(names(_MATCHED, len(self.removals))[index // WORD_BITS]), index)
@@ -103,7 +122,7 @@ class FactPlan:
         if not removal.strips:
             return self._has(index)
         keys = F.array(*[F.lit(key) for key in removal.elements])
-        return self._has(index) & has_any_key(F.col(self.fact.document), keys)
+        return self._has(index) & any_of(F.col(_OWN), keys) & F.col(_EDITED).isNotNull()
 
     def _deleted(self) -> Column:
         n = len(self.removals)
@@ -115,15 +134,16 @@ class FactPlan:
         ]
         return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
-    def _stripped_keys(self) -> Column | None:
+    def _stripped_keys(self) -> Column:
         """The keys all matching removals take out of a row's document."""
         none = F.array().cast("array<string>")
         keys = [
-            F.when(self._has(i), F.array(*[F.lit(key) for key in r.elements])).otherwise(none)
-            for i, r in enumerate(self.removals)
-            if r.strips
+            F.when(
+                self._has(i), F.array(*[F.lit(key) for key in self.removals[i].elements])
+            ).otherwise(none)
+            for i in self._stripping
         ]
-        return F.array_distinct(F.concat(*keys)) if keys else None
+        return F.array_distinct(F.concat(*keys))
 
     def counts(self) -> list[Column]:
         """Rows each removal acts on. A row hit by two removals counts for both."""
@@ -143,13 +163,9 @@ class FactPlan:
         if observation is not None:
             rows = rows.observe(observation, *self.counts())
         rows = rows.filter(~self._deleted())
-        keys = self._stripped_keys()
-        if keys is not None:
-            document = F.col(self.fact.document)
-            edited = F.when(F.size(_KEYS) > 0, without_keys(document, F.col(_KEYS)))
-            rows = rows.withColumn(_KEYS, keys).withColumn(
-                self.fact.document, edited.otherwise(document)
-            )
+        if self._stripping:
+            document = self.fact.document
+            rows = rows.withColumn(document, F.coalesce(F.col(_EDITED), F.col(document)))
         return rows.select(*self.tables[self.fact.table].columns)
 
     def rule_counts(self) -> DataFrame:

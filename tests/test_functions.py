@@ -2,6 +2,7 @@ import json
 import random
 
 from datetime import datetime
+from itertools import accumulate
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tablewinnow.functions import (
     view_name,
     without_keys,
 )
+from tablewinnow.functions.jsonkeys import running_sums
 
 
 def evaluate(spark, values, schema, expression):
@@ -120,6 +122,13 @@ def test_without_keys_leaves_other_entries_as_written(spark):
         '{"b":1,"b":2,"a":0,"a":1}': '{"b":1,"b":2}',
         '{"b":{"a":1}}': '{"b":{"a":1}}',
         '{"a":1} x': '{"a":1} x',
+        '{"a":1}}': '{"a":1}}',
+        '{"a":1}{"b":2}': '{"a":1}{"b":2}',
+        '\n\t {"a":1,"b":2} \r\n': '\n\t {"b":2} \r\n',
+        '{"a":1}\n': "{}\n",
+        '{\n "a" : 1\n}': "{}",
+        '{"b":"\\"a\\":1,","a":{"b":"}"}}': '{"b":"\\"a\\":1,"}',
+        '{"":1,"a":2}': '{"":1}',
     }
     strip = lambda c: without_keys(c, F.array(F.lit("a")))
     assert evaluate(spark, list(cases), "string", strip) == list(cases.values())
@@ -142,6 +151,55 @@ def test_without_keys_equals_a_plain_reader(spark):
     assert [json.loads(f) for f in found] == plain
 
 
+def plain_strip(text, removed):
+    """The object without its top-level keys, walking over the text character by character."""
+    before = text[: len(text) - len(text.lstrip(" \t\n\r"))]
+    after = text[len(text.rstrip(" \t\n\r")) :]
+    inner = text.strip(" \t\n\r")[1:-1]
+    entries, depth, start, at = [], 0, 0, 0
+    while at < len(inner):
+        if inner[at] == '"':
+            at += 1
+            while inner[at] != '"':
+                at += 2 if inner[at] == "\\" else 1
+        elif inner[at] in "{[":
+            depth += 1
+        elif inner[at] in "}]":
+            depth -= 1
+        elif inner[at] == "," and not depth:
+            entries.append(inner[start:at])
+            start = at + 1
+        at += 1
+    entries.append(inner[start:])
+    decoder = json.JSONDecoder()
+    kept = [e for e in entries if decoder.raw_decode(e.strip(" \t\n\r"))[0] not in removed]
+    return before + "{" + ",".join(kept).strip(" \t\n\r") + "}" + after
+
+
+def test_large_documents_equal_a_plain_reader(spark):
+    """Strings, numbers of entries and depths far beyond what recursion or copying would bear."""
+    deep = 998
+    documents = [
+        '{"a":1,"b":"' + "x\\n" * 500_000 + '"}',
+        '{"b":"' + "y" * 1_000_000 + '","a":"' + "z" * 3000 + '"}\n',
+        "{" + ",".join(f'"k{i}":{{"v":"{i},}}","w":[1,2]}}' for i in range(100_000)) + ',"a":[1]}',
+        "{" + ",".join(f'"{"a" if i % 3 else i}": {i}' for i in range(5000)) + "}",
+        '{"a":1,"b":' + "[" * deep + '"]"' + "]" * deep + "}",
+        '{"b":' + '{"a":' * deep + "1" + "}" * deep + ',"a":2}',
+        '\r\n{ "b": 1,\t"a": 2 }\t',
+    ]
+    strip = lambda c: without_keys(c, F.array(F.lit("a")))
+    for document, found in zip(documents, evaluate(spark, documents, "string", strip)):
+        assert found == plain_strip(document, {"a"}) != document
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 63, 64, 65, 4096, 4097, 10_000):
+        numbers = [(i * 7919) % 5 - 2 for i in range(n)]
+        df = spark.createDataFrame([(numbers,)], "v array<int>")
+        assert df.select(running_sums(F.col("v"))).first()[0] == list(accumulate(numbers))
+
+
 def test_array_expressions(spark):
     schema = "array<struct<id: string, n: int>>"
     values = [[("a", 1), ("b", 2), ("a", 3), (None, 4), (None, 5)], [], None]
