@@ -8,7 +8,12 @@ from tablewinnow.operators.matching import (
     flag_matching,
     keep_matching,
 )
-from tablewinnow.settings import concurrently, ensure_checkpoint_dir, materialise
+from tablewinnow.settings import (
+    broadcast_up_to,
+    concurrently,
+    ensure_checkpoint_dir,
+    materialise,
+)
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +117,69 @@ def test_jobs_side_by_side_return_in_order(spark):
     assert concurrently(*jobs) == [3, 1, 2]
     with pytest.raises(ZeroDivisionError):
         concurrently(lambda: 1, lambda: 1 // 0)
+
+
+IDS = [0, 1, 2, 63, 64, 32767, 32768, 32769, 65536, -1, -2, -32768, -32769, 2**40, -(2**40), None]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["long", "int"])
+def test_bitmaps_hold_every_id(spark, kind):
+    """Zero, both ends of words and buckets, negative ids, far ones, null, repeated rows."""
+    ids = [i for i in IDS if i is None or kind == "long" or abs(i) < 2**31]
+    fact = spark.createDataFrame([(i, n) for n, i in enumerate(ids * 2)], f"k {kind}, v int")
+    for chosen in (ids[::2], ids[1::2], ids[:3], ids[-3:], [None]):
+        keys = KeySet(spark.createDataFrame([(i,) for i in chosen] * 20_000, f"k {kind}"))
+        with broadcast_up_to(keys.size - 1):
+            assert not keys.small and keys.bitmap is not None
+            inside = {i for i in chosen if i is not None}
+            kept, dropped = keep_matching(fact, keys, "k"), drop_matching(fact, keys, "k")
+            flagged = flag_matching(fact, keys, "k", "hit")
+            for df in (kept, dropped, flagged):
+                assert "SortMergeJoin" not in plan_of(df) and "BroadcastHashJoin" in plan_of(df)
+        assert rows(kept) == rows(fact.filter(fact.k.isin(inside)))
+        assert kept.columns == dropped.columns == fact.columns
+        assert sorted(kept.union(dropped).collect(), key=repr) == sorted(fact.collect(), key=repr)
+        assert {(r.k, r.hit) for r in flagged.collect()} == {(i, i in inside) for i in ids}
+
+
+def test_a_million_dense_ids_need_no_shuffle_of_the_fact(spark):
+    """Rows of the ids take 48 MB, their bits 130 kB; the limit is 1 MB."""
+    fact = spark.range(0, 3_000_000).selectExpr("id % 1500000 AS k", "id AS v")
+    keys = KeySet(spark.range(0, 2_000_000, 2).toDF("k"))
+    with broadcast_up_to(1 << 20):
+        assert not keys.small and keys.bitmap.size < 1 << 18
+        kept = keep_matching(fact, keys, "k")
+        assert "Exchange hashpartitioning" not in plan_of(kept)
+    total = kept.selectExpr("count(*)", "sum(v)", "max(k % 2)").first()
+    assert tuple(total) == (1_500_000, sum(range(0, 3_000_000, 2)), 0)
+
+
+def test_sparse_ids_stay_rows(spark):
+    """A bucket for each id would be larger than the ids themselves."""
+    keys = KeySet(spark.range(2000).selectExpr("id * 1000003 AS k"))
+    fact = spark.range(4000).selectExpr("id * 1000003 AS k")
+    with broadcast_up_to(50_000):
+        assert not keys.small and keys.bitmap is None
+        dropped = drop_matching(fact, keys, "k")
+        assert "SortMergeJoin" in plan_of(dropped)
+    assert dropped.count() == 2000
+
+
+def test_other_keys_have_no_bitmap(spark):
+    names = KeySet(spark.range(3000).selectExpr("CAST(id AS STRING) AS k"))
+    pairs = KeySet(spark.range(3000).selectExpr("id AS k", "id AS l"))
+    with broadcast_up_to(10_000):
+        assert names.bitmap is None and pairs.bitmap is None
+
+
+def test_renamed_ids_keep_their_bits(spark):
+    keys = KeySet(spark.range(5000).toDF("k")).renamed("k", "other")
+    fact = spark.range(10_000).toDF("other")
+    with broadcast_up_to(50_000):
+        kept = keep_matching(fact, keys, "other")
+        assert "SortMergeJoin" not in plan_of(kept)
+    assert kept.count() == 5000
