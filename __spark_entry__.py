@@ -24,7 +24,7 @@ from tablewinnow.functions import (
 )
 from tablewinnow.operators import access, keys, prune
 from tablewinnow.operators.empty import clear_dependents, empty_tables
-from tablewinnow.operators.merge import merge_metadata, merge_summary
+from tablewinnow.operators.merge import merge_all, merge_metadata, merge_summary
 from tablewinnow.plans.access_plan import AccessState, apply_access_rules
 from tablewinnow.plans.prune_plan import PrunePlan, apply_rules
 from tablewinnow.plans.refresh import Outcome, refresh
@@ -165,6 +165,8 @@ REFRESH_CONFIG = {
     ],
 }
 
+MERGE_COUNTS = ("total", "created", "updated", "deleted", "ignored")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -191,6 +193,25 @@ def _shuffled(query: Query) -> Query:
     return run
 
 
+# Queries whose key sets are ids of facts, and a limit that refuses them as rows at sf0.01 and
+# above, but not as bits.
+BY_BITMAP = (
+    "prune_events_full_programstageinstancecomments",
+    "prune_trackers_full_programinstance",
+    "prune_trackers_full_trackedentitydatavalueaudit",
+    "apply_rules_programstageinstancecomments",
+)
+BITMAP_LIMIT = 40_000
+
+
+def _by_bitmap(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with broadcast_up_to(BITMAP_LIMIT):
+            return query(spark, sf_dir)
+
+    return run
+
+
 def _with_skewed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = fixtures.Views(spark, sf_dir, (*fixtures.DATABASE, "skewedvalue"))
     return _rule_plan({**views, "datavalue": views["skewedvalue"]}).table("datavalue")
@@ -274,6 +295,8 @@ def _refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = [(name, n) for name, n in outcome.matched_rows.items()]
     for file, table, counts in outcome.imports:
         found += [(f"{file} {table} {name}", n) for name, n in counts.items()]
+    for place, action, counts in outcome.entries:
+        found += [(f"entry {place} {action} {name}", n) for name, n in counts.items()]
     found += [(f"unmatched {rule.department}", 1) for rule in outcome.unmatched]
     return spark.createDataFrame(found, "name string, n long")
 
@@ -289,6 +312,24 @@ def _nested_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _three_files(source: DataFrame) -> list[DataFrame]:
+    """A file, one that has half of its keys with other sizes, and one with other keys."""
+    half = source.filter("id % 2 = 0").select("id", (F.col("size") + 1).alias("size"))
+    return [source, half, source.withColumn("id", F.col("id") + 7)]
+
+
+def _merged_files(target: DataFrame, source: DataFrame) -> DataFrame:
+    return merge_all(target, _three_files(source))[0]
+
+
+def _file_counts(target: DataFrame, source: DataFrame) -> DataFrame:
+    counts = merge_all(target, _three_files(source))[1]
+    rows = [(n, *(c[k] for k in MERGE_COUNTS)) for n, c in enumerate(counts)]
+    return target.sparkSession.createDataFrame(
+        rows, "file int, " + ", ".join(f"{k} long" for k in MERGE_COUNTS)
+    )
+
+
 def _rule_plan(tables: Mapping[str, DataFrame]) -> PrunePlan:
     plan, _ = apply_rules(tables, read_departments(DEPARTMENTS), read_rules(RULES))
     return plan
@@ -503,6 +544,8 @@ def table_queries() -> dict[str, Query]:
         "prune_trackers_full_programstageinstancecomments",
     ):
         result[f"{name}_shuffled"] = _shuffled(result[name])
+    for name in BY_BITMAP:
+        result[f"{name}_bitmap"] = _by_bitmap(result[name])
     result["apply_rules_skewed"] = _with_skewed_values
     result["apply_rules_skewed_shuffled"] = _shuffled(_with_skewed_values)
 
@@ -556,6 +599,9 @@ def table_queries() -> dict[str, Query]:
     result["merge_metadata"] = on_metadata(merge_metadata)
     result["merge_summary"] = on_metadata(merge_summary)
     result["merge_metadata_shuffled"] = _shuffled(result["merge_metadata"])
+    result["merge_files"] = on_metadata(_merged_files)
+    result["merge_files_counts"] = on_metadata(_file_counts)
+    result["merge_files_shuffled"] = _shuffled(result["merge_files"])
 
     # Expressions.
     result["redact_credentials"] = _on("connection_log")(
@@ -860,6 +906,8 @@ def table_sql() -> dict[str, str]:
         "prune_trackers_full_programstageinstancecomments",
     ):
         sql[f"{name}_shuffled"] = sql[name]
+    for name in BY_BITMAP:
+        sql[f"{name}_bitmap"] = sql[name]
     sql["apply_rules_skewed"] = _keep("skewedvalue", *[c for _, _, c in value_rules])
     sql["apply_rules_skewed_shuffled"] = sql["apply_rules_skewed"]
 
@@ -956,7 +1004,20 @@ def table_sql() -> dict[str, str]:
                 (f"people.json {table} {name}", f"SELECT count(*) FROM {imported} WHERE {condition}")
             )
     reported.append(("unmatched Unheard of", "SELECT CAST(1 AS BIGINT)"))
-    sql["refresh_report"] = ctes(*REFRESHED, "imported_users", "imported_elements") + (
+    leaving = _chosen(["AFRICA"], ["BUILDING", "FURNITURE"], users="people")
+    for name, count in (
+        ("1 activate selected", f"SELECT count(DISTINCT id) FROM ({active})"),
+        ("2 addRoles selected", f"SELECT count(DISTINCT id) FROM ({building})"),
+        ("2 addRoles roles", f"SELECT count(DISTINCT id) FROM ({named})"),
+        ("3 deleteOthers selected", f"SELECT count(DISTINCT id) FROM ({leaving})"),
+        (
+            "3 deleteOthers deleted",
+            "SELECT count(DISTINCT id) FROM people WHERE id NOT IN (SELECT id FROM remaining)",
+        ),
+    ):
+        reported.append((f"entry {name}", count))
+    given = ctes(*REFRESHED, "imported_users", "imported_elements")
+    sql["refresh_report"] = given + people[people.index(",\npeople AS") :] + (
         " " + " UNION ALL ".join(f"SELECT '{name}' AS name, ({count}) AS n" for name, count in reported)
     )
 
@@ -985,6 +1046,28 @@ def table_sql() -> dict[str, str]:
         "(SELECT * FROM metadata_source WHERE id IS NOT NULL) s ON t.id = s.id"
     )
     sql["merge_metadata_shuffled"] = sql["merge_metadata"]
+    upsert = (
+        "SELECT coalesce(t.id, s.id) AS id, coalesce(s.name, t.name) AS name, "
+        "coalesce(s.type, t.type) AS type, coalesce(s.size, t.size) AS size "
+        "FROM {} t FULL OUTER JOIN (SELECT * FROM {} WHERE id IS NOT NULL) s ON t.id = s.id"
+    )
+    files = (
+        ",\nfile0 AS (SELECT * FROM metadata_source)"
+        ",\nfile1 AS (SELECT id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS type, "
+        "size + 1 AS size FROM metadata_source WHERE id % 2 = 0)"
+        ",\nfile2 AS (SELECT id + 7 AS id, name, type, size FROM metadata_source)"
+        f",\nafter0 AS ({upsert.format('metadata_target', 'file0')})"
+        f",\nafter1 AS ({upsert.format('after0', 'file1')})"
+    )
+    sql["merge_files"] = with_metadata + files + " " + upsert.format("after1", "file2")
+    sql["merge_files_shuffled"] = sql["merge_files"]
+    sql["merge_files_counts"] = with_metadata + files + " " + " UNION ALL ".join(
+        f"SELECT CAST({n} AS INT) AS file, count(*) AS total, count(*) FILTER (WHERE id IS NOT NULL "
+        f"AND id NOT IN (SELECT id FROM {before} WHERE id IS NOT NULL)) AS created, "
+        f"count(*) FILTER (WHERE id IN (SELECT id FROM {before} WHERE id IS NOT NULL)) AS updated, "
+        f"CAST(0 AS BIGINT) AS deleted, count(*) FILTER (WHERE id IS NULL) AS ignored FROM file{n}"
+        for n, before in enumerate(("metadata_target", "after0", "after1"))
+    )
     sql["merge_summary"] = with_metadata + (
         " SELECT count(*) AS total, "
         "count(*) FILTER (WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM metadata_target)) "

@@ -176,25 +176,34 @@ def _grant(links: DataFrame, selected: KeySet, roles: KeySet) -> DataFrame:
     return others.unionByName(granted)
 
 
-def add_roles(links: DataFrame, selected: Selection, roles: DataFrame) -> DataFrame:
-    """Role links after giving ``roles`` (a DataFrame with ``id``) to the selected
-    users. Each of their roles is held once; links of other users are untouched
+def role_ids(roles: DataFrame) -> KeySet:
+    """The ids of ``roles`` (a DataFrame with ``id``), to be granted."""
+    return key_set(roles.select(F.col("id").alias("role_id")), "role_id")
+
+
+def add_roles(links: DataFrame, selected: Selection, roles: KeySet | DataFrame) -> DataFrame:
+    """Role links after giving ``roles`` (a DataFrame with ``id``, or a ``KeySet`` of ``role_id``)
+    to the selected users. Each of their roles is held once; links of other users are untouched
     and are not shuffled."""
-    granted = key_set(roles.select(F.col("id").alias("role_id")), "role_id")
+    granted = roles if isinstance(roles, KeySet) else role_ids(roles)
     return _grant(links, _ids(selected), granted)
 
 
-def add_roles_from_template(
-    links: DataFrame, users: DataFrame, selected: Selection, template: str
-) -> DataFrame:
-    """Give the roles of the user ``template`` to the selected users."""
+def roles_of_user(links: DataFrame, users: DataFrame, template: str) -> KeySet:
+    """The ids of the roles that the user ``template`` has."""
     source = key_set(
         users_by_username(users, [template]).select(F.col("id").alias("user_id")), "user_id"
     )
     if source.empty:
         raise ValueError(f"template user not found: {template}")
-    held = key_set(keep_matching(links, source, "user_id"), "role_id")
-    return _grant(links, _ids(selected), held)
+    return key_set(keep_matching(links, source, "user_id"), "role_id")
+
+
+def add_roles_from_template(
+    links: DataFrame, users: DataFrame, selected: Selection, template: str
+) -> DataFrame:
+    """Give the roles of the user ``template`` to the selected users."""
+    return _grant(links, _ids(selected), roles_of_user(links, users, template))
 
 
 def remove_from_groups(

@@ -67,13 +67,14 @@ class KeySet:
 
     def __init__(self, df: DataFrame):
         observation = Observation()
-        sums = [F.sum(row_bytes(df)).alias("bytes")]
+        sums = [F.sum(row_bytes(df)).alias("bytes"), F.count(F.lit(1)).alias("rows")]
         # The only column, if it holds ids.
         self.ids = df.columns[0] if len(df.columns) == 1 and _holds_ids(df, *df.columns) else None
         if self.ids:
             sums.append(F.approx_count_distinct(_bucket(self.ids)).alias("buckets"))
         self.frame = materialise(df.observe(observation, *sums))
         self.size = observation.get["bytes"] or 0
+        self.rows = observation.get["rows"]
         self.buckets = observation.get.get("buckets", 0)
 
     @property
@@ -113,7 +114,8 @@ class KeySet:
         """The same rows in another shape, neither recomputed nor remeasured."""
         other = KeySet.__new__(KeySet)
         other.frame = frame
-        other.size, other.buckets, other.ids = self.size, self.buckets, None
+        other.size, other.rows = self.size, self.rows
+        other.buckets, other.ids = self.buckets, None
         return other
 
     def renamed(self, old: str, new: str) -> KeySet:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewinnow.operators import access
 from tablewinnow.operators.matching import KeySet, drop_matching, key_set
-from tablewinnow.operators.merge import merge_metadata, merge_summary
+from tablewinnow.operators.merge import merge_all
 from tablewinnow.plans.rules import load_config
 from tablewinnow.profile import ACCESS_TABLES, IMPORT_TABLES
 from tablewinnow.settings import materialise
@@ -53,6 +53,8 @@ class AccessState:
     pending: int = 0
     # What each import did: (file, table, counts).
     imports: tuple[tuple[str, str, Mapping[str, int]], ...] = ()
+    # What each other entry did: (its place in the list, action, counts).
+    counts: tuple[tuple[int, str, Mapping[str, int]], ...] = ()
 
     def changed(self, **tables: DataFrame) -> AccessState:
         return replace(self, pending=self.pending + 1, **tables)
@@ -93,10 +95,12 @@ def apply_entry(
     entry: Mapping | str,
     operator_user: str,
     sources: Mapping[str, Mapping[str, DataFrame]],
+    place: int = 0,
 ) -> AccessState:
     """The state after one entry. Without a selector, or with one that finds
     nobody, nothing changes; an unknown action is an error. Addresses of further
-    entries are not followed."""
+    entries are not followed. Users selected and deleted, roles granted and groups left are
+    counted under ``place``; an entry that finds nobody counts none selected."""
     if not isinstance(entry, Mapping):
         return state
     unknown = sorted(set(entry) - ENTRY_KEYS)
@@ -107,25 +111,29 @@ def apply_entry(
         selected = access.selected_ids(
             state.users, state.members, entry.get(USERNAMES_KEY, ()), entry.get(GROUPS_KEY, ())
         )
+        counts = {"selected": selected.rows}
+        after = None
         if selected.empty:
-            return state
-        if action == ACTIVATE:
-            return state.changed(users=access.activate(state.users, selected))
-        if action == DELETE_OTHERS:
-            return _delete_others(state, selected, operator_user)
-        if action == ADD_ROLES:
-            roles = access.roles_named(state.roles, entry.get(ADD_ROLES, ()))
-            links = access.add_roles(state.links, selected, roles)
-            return state.changed(links=links)
-        if action == ADD_ROLES_FROM_TEMPLATE:
-            links = access.add_roles_from_template(
-                state.links, state.users, selected, entry[ADD_ROLES_FROM_TEMPLATE]
-            )
-            return state.changed(links=links)
-        if action == REMOVE_FROM_GROUPS:
+            after = state
+        elif action == ACTIVATE:
+            after = state.changed(users=access.activate(state.users, selected))
+        elif action == DELETE_OTHERS:
+            after, counts["deleted"] = _delete_others(state, selected, operator_user)
+        elif action in (ADD_ROLES, ADD_ROLES_FROM_TEMPLATE):
+            if action == ADD_ROLES:
+                roles = access.role_ids(access.roles_named(state.roles, entry.get(ADD_ROLES, ())))
+            else:
+                template = entry[ADD_ROLES_FROM_TEMPLATE]
+                roles = access.roles_of_user(state.links, state.users, template)
+            counts["roles"] = roles.rows
+            after = state.changed(links=access.add_roles(state.links, selected, roles))
+        elif action == REMOVE_FROM_GROUPS:
             groups = entry.get(REMOVE_FROM_GROUPS, ())
+            counts["groups"] = len(set(groups))
             members = access.remove_from_groups(state.members, selected, groups)
-            return state.changed(members=members)
+            after = state.changed(members=members)
+        if after is not None:
+            return replace(after, counts=(*after.counts, (place, str(action), counts)))
     elif FILES_KEY in entry:
         if action == IMPORT:
             return import_metadata(state, entry[FILES_KEY], sources)
@@ -134,16 +142,19 @@ def apply_entry(
     raise ValueError(f"unknown action: {action}")
 
 
-def _delete_others(state: AccessState, selected: KeySet, operator_user: str) -> AccessState:
-    """A deleted user leaves their groups and gives up their roles."""
+def _delete_others(
+    state: AccessState, selected: KeySet, operator_user: str
+) -> tuple[AccessState, int]:
+    """A deleted user leaves their groups and gives up their roles. Also tells how many go."""
     removed = access.removed_by_keep_only(state.users, selected, operator_user)
     ids = key_set(removed, "id")
     gone = ids.renamed("id", "user_id")
-    return state.changed(
+    after = state.changed(
         users=drop_matching(state.users, ids, "id"),
         members=drop_matching(state.members, gone, "user_id"),
         links=drop_matching(state.links, gone, "user_id"),
     )
+    return after, ids.rows
 
 
 def import_metadata(
@@ -151,33 +162,55 @@ def import_metadata(
     files: Iterable[str],
     sources: Mapping[str, Mapping[str, DataFrame]],
 ) -> AccessState:
-    """Merge each list of objects of the files, in order, into the table it describes:
-    the one ``IMPORT_TABLES`` names, else the one of the list's name, which is made if
+    """Merge each list of objects of the files, in order, into the table it describes, all
+    lists of a table in one upsert: the one ``IMPORT_TABLES`` names, else the one of the list's name, which is made if
     there is none. Imported users and roles are those later entries see."""
+    # Lists of a table that follow each other make one upsert, in as far as they share a key.
+    described: list[tuple[str, str]] = []
+    upserts: list[tuple[str, str, list[tuple[str, str, DataFrame]]]] = []
     for file in [files] if isinstance(files, str) else files:
         if file not in sources:
             raise ValueError(f"import document {file} was not read: name the folder it is in")
         for name, source in sources[file].items():
-            state = _imported(state, file, name, source)
-    return replace(state, pending=state.pending + 1)
+            table, key = IMPORT_TABLES.get(name, (name, "id"))
+            described.append((file, table))
+            last = next((u for u in reversed(upserts) if u[0] == table), None)
+            if last is None or last[1] != key:
+                last = (table, key, [])
+                upserts.append(last)
+            last[2].append((file, name, source))
+    found: dict[tuple[str, str], list[Mapping[str, int]]] = {}
+    for table, key, given in upserts:
+        state, counts = _imported(state, table, key, given)
+        for (file, _, _), count in zip(given, counts, strict=True):
+            found.setdefault((file, table), []).append(count)
+    # In the order of the files, whatever the order the tables were merged in.
+    told = [(file, table, found[file, table].pop(0)) for file, table in described]
+    return replace(state, imports=(*state.imports, *told), pending=state.pending + 1)
+
+
+def _imported(
+    state: AccessState, table: str, key: str, given: Sequence[tuple[str, str, DataFrame]]
+) -> tuple[AccessState, list[dict[str, int]]]:
+    """One table after the lists of objects that describe it, from several files in turn."""
+    sources = [_shaped(table, key, source) for _, _, source in given]
+    part = next((p for p, t in ACCESS_TABLES.items() if t == table), None)
+    target = getattr(state, part) if part else state.metadata.get(table, sources[0].limit(0))
+    for (file, name, _), source in zip(given, sources, strict=True):
+        if key not in source.columns or key not in target.columns:
+            raise ValueError(f"{file}: {name} and {table} have no key {key} in common")
+    merged, counts = merge_all(target, sources, key)
+    if part:
+        return replace(state, **{part: merged}), counts
+    return replace(state, metadata={**state.metadata, table: merged}), counts
 
 
-def _imported(state: AccessState, file: str, name: str, source: DataFrame) -> AccessState:
-    table, key = IMPORT_TABLES.get(name, (name, "id"))
+def _shaped(table: str, key: str, source: DataFrame) -> DataFrame:
     if table == ACCESS_TABLES["users"] and CREDENTIALS in source.columns:
         source = flat_users(source)
     if key not in source.columns and "id" in source.columns:
         source = source.withColumnRenamed("id", key)
-    part = next((p for p, t in ACCESS_TABLES.items() if t == table), None)
-    target = getattr(state, part) if part else state.metadata.get(table, source.limit(0))
-    if key not in source.columns or key not in target.columns:
-        raise ValueError(f"{file}: {name} and {table} have no key {key} in common")
-    counts = merge_summary(target, source, key).first().asDict()
-    merged = merge_metadata(target, source, key)
-    state = replace(state, imports=(*state.imports, (file, table, counts)))
-    if part:
-        return replace(state, **{part: merged})
-    return replace(state, metadata={**state.metadata, table: merged})
+    return source
 
 
 def skipped_entries(entries: Iterable[Mapping | str]) -> list[Mapping | str]:
@@ -210,8 +243,8 @@ def apply_access_rules(
     """Fold the entries over the state. ``sources`` maps the file names that import
     entries mention to the tables read from them, see ``read_imports``."""
     kept = state
-    for entry in entries:
-        state = apply_entry(state, entry, operator_user, sources or {})
+    for place, entry in enumerate(entries):
+        state = apply_entry(state, entry, operator_user, sources or {}, place)
         if state.pending >= ENTRIES_PER_CHECKPOINT:
             state = kept = state.materialised(kept)
     return state

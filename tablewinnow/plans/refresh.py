@@ -37,6 +37,8 @@ class Outcome:
     # Access entries that were not applied, and what each import did.
     skipped: tuple[Mapping | str, ...] = ()
     imports: tuple[tuple[str, str, Mapping[str, int]], ...] = ()
+    # What each other access entry did: (its place in the list, action, counts).
+    entries: tuple[tuple[int, str, Mapping[str, int]], ...] = ()
 
 
 def _pruned(plan: PrunePlan) -> tuple[dict[str, DataFrame], list[Observation]]:
@@ -76,7 +78,7 @@ def refresh(
         outcome, observations = _pruned(plan)
 
     entries = load_entries(spark, config)
-    imports = ()
+    imports, done = (), ()
     if entries:
         missing = sorted(needed_tables(entries) - set(outcome))
         if missing:
@@ -94,9 +96,10 @@ def refresh(
             for part, table in ACCESS_TABLES.items()
             if table in outcome or getattr(after, part) is not parts[part]
         }
-        outcome, imports = {**after.metadata, **changed}, after.imports
+        outcome = {**after.metadata, **changed}
+        imports, done = after.imports, after.counts
 
     write_tables(outcome, folder)
     matched = {name: n for o in observations for name, n in o.get.items()}
     skipped = tuple(skipped_entries(entries))
-    return Outcome(folder, tuple(unmatched), matched, skipped, imports)
+    return Outcome(folder, tuple(unmatched), matched, skipped, imports, done)

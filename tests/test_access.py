@@ -166,6 +166,28 @@ def test_entries_see_what_earlier_ones_left(state, monkeypatch):
     ]
 
 
+def test_every_entry_is_counted(join_path, state):
+    entries = [
+        {"selectFromGroups": ["g1"], "action": "activate"},
+        {"selectUsernames": ["zoe"], "action": "activate"},
+        {"selectUsernames": ["ann", "dan"], "action": "addRoles", "addRoles": ["Reader", "Admin", "x"]},
+        {"selectUsernames": ["bob"], "action": "addRolesFromTemplate", "addRolesFromTemplate": "cat"},
+        {"selectFromGroups": ["g2"], "action": "removeFromGroups", "removeFromGroups": ["g1", "g2"]},
+        {"action": "activate"},
+        {"selectUsernames": ["ann", "bob"], "action": "deleteOthers"},
+        {"selectUsernames": ["dan"], "action": "activate"},
+    ]
+    assert apply_access_rules(state, entries, "admin").counts == (
+        (0, "activate", {"selected": 2}),
+        (1, "activate", {"selected": 0}),
+        (2, "addRoles", {"selected": 2, "roles": 2}),
+        (3, "addRolesFromTemplate", {"selected": 1, "roles": 2}),
+        (4, "removeFromGroups", {"selected": 2, "groups": 2}),
+        (6, "deleteOthers", {"selected": 2, "deleted": 2}),
+        (7, "activate", {"selected": 0}),
+    )
+
+
 def test_unknown_action_is_an_error(state):
     for entry in (
         {"selectUsernames": ["ann"], "action": "promote"},
@@ -176,7 +198,8 @@ def test_unknown_action_is_an_error(state):
             apply_access_rules(state, [entry], "admin")
     # With nobody selected the action is not looked at.
     unknown = {"selectUsernames": ["zoe"], "action": "promote"}
-    assert apply_access_rules(state, [unknown], "admin") is state
+    after = apply_access_rules(state, [unknown], "admin")
+    assert after.users is state.users and after.counts == ((0, "promote", {"selected": 0}),)
 
 
 def test_import_entry(spark, state):
@@ -190,6 +213,20 @@ def test_import_entry(spark, state):
     assert rows(after.metadata["others"]) == [(1, "new"), (3, "three")]
 
 
+def test_import_of_one_table_under_two_keys(spark, state):
+    """Lists that name a table directly match by id, others by uid; order is kept."""
+    target = spark.createDataFrame([(1, "x", "old")], "id long, uid string, name string")
+    start = AccessState(state.users, state.members, state.roles, state.links, {"dataelement": target})
+    by_uid = spark.createDataFrame([("x", "by uid"), ("y", "new")], "uid string, name string")
+    by_id = spark.createDataFrame([(1, "by id")], "id long, name string")
+    files = {"a": {"dataElements": by_uid}, "b": {"dataelement": by_id}, "c": {"dataElements": by_uid}}
+    after = apply_access_rules(start, [{"selectFiles": ["a", "b", "c"], "action": "import"}], "admin", files)
+    assert rows(after.metadata["dataelement"]) == [(1, "x", "by uid"), (None, "y", "new")]
+    assert [(f, c["created"], c["updated"]) for f, _, c in after.imports] == [
+        ("a", 1, 1), ("b", 0, 1), ("c", 0, 2),
+    ]
+
+
 def test_load_entries(spark, tmp_path):
     path = tmp_path / "c.json"
     path.write_text('{"postprocess": [{"selectUsernames": ["a"], "action": "activate"}]}')

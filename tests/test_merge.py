@@ -1,6 +1,9 @@
+import random
+
+import pytest
 from conftest import rows
 
-from tablewinnow.operators.merge import merge_metadata, merge_summary
+from tablewinnow.operators.merge import merge_all, merge_metadata, merge_summary
 
 SCHEMA = "id long, name string, size int"
 
@@ -51,3 +54,62 @@ def test_map_and_variant_columns(spark):
     )
     merged = merge_metadata(target, source).selectExpr("id", "to_json(m)", "to_json(v)")
     assert rows(merged) == [(1, '{"b":2}', "[2]"), (2, None, None)]
+
+
+def in_turn(target, sources):
+    counts = []
+    for source in sources:
+        counts.append(merge_summary(target, source).first().asDict())
+        target = merge_metadata(target, source)
+    return target, counts
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_all_files_at_once_equal_files_in_turn(join_path, spark, seed):
+    """Null and repeated keys, attributes that some file lacks, other types, an empty file."""
+    draw = random.Random(seed)
+
+    def some(n, *kinds):
+        return [
+            tuple(draw.choice([None, draw.randrange(9)]) if k == "n" else draw.choice([None, "a", "b", "c"])
+                  for k in kinds)
+            for _ in range(n)
+        ]
+
+    target = spark.createDataFrame([(i, "t", i) for i in range(4)] + [(None, "n", 0)], SCHEMA)
+    sources = [
+        spark.createDataFrame(some(12, "n", "s", "n"), SCHEMA),
+        spark.createDataFrame(some(12, "n", "n"), "size int, id int"),
+        spark.createDataFrame([], SCHEMA),
+        spark.createDataFrame(some(12, "n", "s"), "id string, other string"),
+        spark.createDataFrame(some(12, "n", "s", "n"), SCHEMA),
+    ]
+    merged, counts = merge_all(target, sources)
+    expected, expected_counts = in_turn(target, sources)
+    assert rows(merged) == rows(expected) and merged.dtypes == target.dtypes
+    assert counts == expected_counts
+
+
+def test_map_columns_from_several_files(spark):
+    target = spark.sql("SELECT 1 AS id, map('a', 1) AS m")
+    sources = [spark.sql(f"SELECT * FROM VALUES ({n}, map('b', {n})) AS s(id, m)") for n in (1, 2, 1)]
+    merged, counts = merge_all(target, sources)
+    assert rows(merged.selectExpr("id", "to_json(m)")) == [(1, '{"b":1}'), (2, '{"b":2}')]
+    assert [c["updated"] for c in counts] == [1, 0, 1]
+
+
+def test_the_target_is_read_twice_for_any_number_of_files(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    target = spark.range(50).coalesce(1).selectExpr("id", "'old' AS name").mapInArrow(counted, "id long, name string")
+    for n in (1, 3, 9):
+        before = reads.value
+        sources = [spark.createDataFrame([(i, f"v{i}"), (100, "new")], "id long, name string") for i in range(n)]
+        merged, counts = merge_all(target, sources)
+        merged.write.format("noop").mode("overwrite").save()
+        assert reads.value - before == 2
+        assert [c["created"] for c in counts] == [1] + [0] * (n - 1)
