@@ -295,7 +295,9 @@ def split_documents(docs: DataFrame) -> DataFrame:
 
 
 def sections_of(documents: DataFrame, section: int) -> DataFrame:
-    """The sections of documents with words, dealt over all tasks."""
+    """The sections of documents with words, dealt over as many tasks as a shuffle has: they are
+    few bytes and much work, so adaptive execution must not join them."""
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts, keys, texts in cells(batches, ("part", "row", "words")):
@@ -313,7 +315,7 @@ def sections_of(documents: DataFrame, section: int) -> DataFrame:
     return (
         documents.select("part", "row", "words")
         .mapInArrow(run, _SECTIONS)
-        .repartition("part", "row", "first", "start")
+        .repartition(tasks, "part", "row", "first", "start")
     )
 
 
