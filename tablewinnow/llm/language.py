@@ -41,7 +41,10 @@ UNDETERMINED = "und"
 SIZES = (0, 30, 100, 300)
 LOST = 0.005  # share of the texts of a learned language that a least score may turn away
 FOREIGN = 0.99  # share of the texts of other languages that it should turn away
-FEWEST_TEXTS = 40  # fewer of a language and size are judged by those of all languages
+# Fewer texts of a language and size are judged by those of all languages: the least score is
+# the one that twice as many texts as may be lost do not reach, so that it holds for new texts.
+FEWEST_TEXTS = int(2 / LOST)
+FEWEST_FOREIGN = 40
 ABOVE = 0.01  # what any text has to score above the least that is possible
 MOST_FITS = 8
 _ROWS = 64  # scored by one product
@@ -162,10 +165,11 @@ def size_class(sizes: np.ndarray) -> np.ndarray:
 def least_scores(cells: np.ndarray, names: np.ndarray) -> np.ndarray:
     """Sizes by languages: the score below which a text is taken to be in no learned language.
 
-    Right texts are scored by a model of the other half of the texts, foreign ones by a model
+    Texts are scored by a model of the other half of the texts, foreign ones by a model
     without their language. The least score turns away ``FOREIGN`` of the foreign texts of a
-    size, but no more than ``LOST`` of the right ones of a language and size; where too few
-    are known, only what scores no more than any text does. Of a single language every text
+    size, but no more than half of ``LOST`` of the texts that a language and size is found for,
+    rightly or not: all of them are in a learned language. Where fewer than ``FEWEST_TEXTS`` are
+    known, only what scores no more than any text does goes. Of a single language every text
     scores 1, so nothing is turned away."""
     known = sorted(set(names.tolist()))
     if len(known) < 2:
@@ -185,9 +189,8 @@ def least_scores(cells: np.ndarray, names: np.ndarray) -> np.ndarray:
     even = np.arange(len(names)) % 2 == 0
     right: dict[tuple[int, str], list[float]] = {}
     for half in (even, ~even):
-        for name, value, size, true in zip(*scored(~half, half), names[half], strict=True):
-            if name == true:
-                right.setdefault((size, name), []).append(value)
+        for name, value, size in zip(*scored(~half, half), strict=True):
+            right.setdefault((size, name), []).append(value)
     foreign: dict[int, list[float]] = {}
     groups = min(len(known), MOST_FITS)
     if len(known) > 2:  # a model of one language has nothing to tell
@@ -199,16 +202,23 @@ def least_scores(cells: np.ndarray, names: np.ndarray) -> np.ndarray:
     least = np.full((len(SIZES), len(known)), 1 / len(known) + ABOVE)
     for size in range(len(SIZES)):
         others = foreign.get(size, [])
-        enough = np.quantile(others, FOREIGN) if len(others) >= FEWEST_TEXTS else 1.0
+        enough = np.quantile(others, FOREIGN) if len(others) >= FEWEST_FOREIGN else 1.0
         every = [v for n in known for v in right.get((size, n), [])]
         for i, name in enumerate(known):
             own = right.get((size, name), [])
             own = own if len(own) >= FEWEST_TEXTS else every
             if len(own) >= FEWEST_TEXTS:
-                least[size, i] = max(least[size, i], min(np.quantile(own, LOST), enough))
+                least[size, i] = max(least[size, i], min(rare(own), enough))
     return least
 
 
+def rare(values: list[float]) -> float:
+    """A value that a new one falls below with a chance of about ``LOST`` / 2: the j-th
+    smallest of n has a chance of j / (n + 1)."""
+    j = max(1, int(LOST / 2 * (len(values) + 1)))
+    return sorted(values)[j - 1]
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether CRC-32 of the id's text leaves 1 by 3; a null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(True))
