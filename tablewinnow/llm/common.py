@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tablewinnow.settings import BROADCAST_BYTES, ensure_checkpoint_dir, materia
 __all__ = [
     "WORDS",
     "cells",
+    "drawn",
     "ensure_checkpoint_dir",
     "label_table",
     "materialise",
@@ -87,3 +89,88 @@ def cells(batches: Iterator[pa.RecordBatch], columns: Iterable[str]) -> Iterator
     for batch in batches:
         if batch.num_rows:
             yield tuple(batch.column(name).to_pylist() for name in names)
+
+
+# ---- bounded samples of distinct values ---------------------------------------------
+
+_DRAWN = "kind string, value string, level int, floor int, low long, high long"
+
+
+class _Levels:
+    """Of each kind the distinct values of the highest levels, so many at most, with the least and
+    the greatest context each was met in. A value's level is the number of zero bits its hash
+    ends in: half of all values reach each further level, and which they are depends on the
+    values alone."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.held: dict[str, dict[str, list[int]]] = {}
+        self.floor: dict[str, int] = {}
+
+    def add(self, kind: str, value: str, context: int) -> None:
+        own = self.held.setdefault(kind, {})
+        known = own.get(value)
+        if known:
+            known[1] = min(known[1], context)
+            known[2] = max(known[2], context)
+            return
+        hashed = xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass"))
+        level = (hashed & -hashed).bit_length() - 1 if hashed else 64
+        if level < self.floor.get(kind, 0):
+            return
+        own[value] = [level, context, context]
+        while len(own) > self.most:
+            self.floor[kind] = self.floor.get(kind, 0) + 1
+            own = {v: known for v, known in own.items() if known[0] >= self.floor[kind]}
+            self.held[kind] = own
+
+    def rows(self) -> Iterator[tuple]:
+        for kind, own in self.held.items():
+            for value, (level, low, high) in own.items():
+                yield kind, value, level, self.floor.get(kind, 0), low, high
+
+
+def drawn(
+    texts: DataFrame, found: Callable[[str], Iterable[tuple[str, str, int]]], most: int
+) -> dict[str, dict[str, bool]]:
+    """Of the (kind, value, context) found in all ``texts`` (text), distinct values of each
+    kind, in order, and whether they were met in more than one context: all values, or a sample
+    by their hash of at most ``most`` and, where there are many, about half of that or more.
+
+    Every text is searched. A task keeps and sends at most ``most`` values of a kind, and no more
+    reach the driver. Which values are drawn depends neither on ids nor on how often a value
+    occurs, nor on partitions. There should be few kinds. Null texts have nothing.
+    """
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = _Levels(most)
+        for (own,) in cells(batches, ("text",)):
+            for text in own:
+                for kind, value, context in found(text) if text else ():
+                    kept.add(kind, value, context)
+        rows = list(kept.rows())
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        names = [c.split()[0] for c in _DRAWN.split(", ")]
+        for at in range(0, len(rows), 1000):
+            columns = zip(*rows[at : at + 1000])
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    rows = materialise(texts.select("text").mapInArrow(search, _DRAWN))
+    floors = {r.kind: r.floor for r in rows.groupBy("kind").agg(F.max("floor").alias("floor")).collect()}
+    # From the highest floor of any task on nothing is missing.
+    values = rows.groupBy("kind", "value").agg(
+        F.first("level").alias("level"), (F.min("low") < F.max("high")).alias("several")
+    )
+    counts = values.groupBy("kind", "level").count().collect()
+    chosen = F.lit(False)
+    for kind, floor in floors.items():
+        levels = {r["level"]: r["count"] for r in counts if r["kind"] == kind and r["level"] >= floor}
+        while sum(levels.values()) > most:
+            levels.pop(floor, None)
+            floor += 1
+        chosen = chosen | ((F.col("kind") == kind) & (F.col("level") >= floor))
+    sample: dict[str, dict[str, bool]] = {}
+    for row in sorted(values.where(chosen).collect(), key=lambda r: r["value"]):
+        sample.setdefault(row["kind"], {})[row["value"]] = row["several"]
+    return sample

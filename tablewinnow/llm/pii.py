@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewinnow.llm.common import materialise, read
+from tablewinnow.llm.common import drawn, read
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns of the task.
@@ -41,7 +41,7 @@ _PLAIN = re.compile(r"\+?[0-9(][\x20().0-9-]*[0-9]")
 WINDOW = 64
 STRIDE = 32
 HIDDEN = 20
-TRAINING_DOCS = 3000  # documents with a digit or @ that are learned from, about
+TRAINING_PARTS = 800  # texts learned from with each kind, and with none, at most
 TRAINING_WINDOWS = 2400
 EPOCHS = 8
 BATCH = 48
@@ -441,25 +441,19 @@ def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.array([b[0] for b in both]), np.array([b[1] for b in both])
 
 
-def fit(docs: DataFrame, rows: int = TRAINING_DOCS) -> Tagger | None:
-    """Train on windows of about ``rows`` documents that have a digit or @, taken by a hash
-    of the id; None with fewer than ``FEWEST_SPANS`` labelled spans. Texts come to the
-    driver as the neighbourhoods of digits and @ only."""
-    able = docs.where(F.col("text").rlike("[0-9@]")).select(
-        F.xxhash64("doc_id", F.lit("tagger")).alias("h"), "text"
-    )
-    step = max(1, able.count() // rows)
+def fit(docs: DataFrame, parts: int = TRAINING_PARTS) -> Tagger | None:
+    """Train on neighbourhoods of digits and @: all documents are searched, and of the
+    distinct neighbourhoods that have a span of a kind, or of none, at most ``parts`` are drawn by
+    their own hash. None where those have fewer than ``FEWEST_SPANS`` spans."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [p for t in batch.column("text").to_pylist() for p in neighbourhoods(t)]
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string())], ["part"])
-
-    parts = able.where(F.pmod("h", F.lit(step)) == 0).select("text").mapInArrow(cut, "part string")
-    parts = materialise(parts.distinct())
-    step = max(1, parts.count() // (2 * rows))
-    chosen = parts.where(F.pmod(F.xxhash64("part"), F.lit(step)) == 0)
-    x, y = training_windows(sorted(r[0] for r in chosen.collect()))
+    def kinds(text: str) -> Iterator[tuple[str, str, int]]:
+        for part in neighbourhoods(text):
+            found = {kind for _, _, kind in base_spans(part)}
+            yield from ((kind, part, 0) for kind in found or {""})
+
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    chosen = drawn(texts.where(F.col("text").rlike("[0-9@]")), kinds, parts)
+    x, y = training_windows(sorted({part for own in chosen.values() for part in own}))
     return Tagger.new().train(x, y) if len(x) else None
 
 
@@ -476,11 +470,11 @@ def neighbourhoods(text: str, reach: int = 64, longest: int = 1024) -> list[str]
 
 
 def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for each row of ``docs``
-    (doc_id, text).
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans for each row of
+    ``docs`` (doc_id, text).
 
     The counts and the digest are of the patterns' spans; ``spans`` has the tagger's too, by
-    kind, then start. Null texts count as empty: no spans. Repeated and null doc_ids are
+    kind, then start, and ``n_spans`` counts all of them. Null texts count as empty: no spans. Repeated and null doc_ids are
     searched row by row. An empty table gives no rows. Other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
@@ -497,13 +491,16 @@ def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
                     *[pa.array([c[kind] for c in counts], pa.int64()) for kind in KINDS],
                     pa.array(digests, pa.string()),
                     pa.array([written(in_order(a + b)) for a, b in found], pa.string()),
+                    pa.array([len(a) + len(b) for a, b in found], pa.int64()),
                 ],
-                ["doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", "spans"],
+                ["doc_id", *[f"n_{kind}" for kind in KINDS], "base_sha256", "spans", "n_spans"],
             )
 
     columns = ", ".join(f"n_{kind} long" for kind in KINDS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(search, f"doc_id long, {columns}, base_sha256 string, spans string")
+    return rows.mapInArrow(
+        search, f"doc_id long, {columns}, base_sha256 string, spans string, n_spans long"
+    )
 
 
 def mask(text: str, spans: list[Span]) -> str:

@@ -1,11 +1,15 @@
 """Secrets: patterns, and formats learned by grammar inference.
 
-What the patterns find are labelled credentials. From a bounded sample of them a
-probabilistic automaton per kind is inferred: a prefix tree of the samples, with
+What the patterns find in all documents are labelled credentials. From a bounded sample of
+them a probabilistic automaton per kind is inferred: a prefix tree of the samples, with
 counts, whose states are merged where the counts of endings and of next symbols
 do not differ more than Hoeffding's bound allows, and so on for the states that follow.
-Every other token is scored by the automata: it is a secret where its mean log-likelihood
-is not below that of nearly all samples, and exceeds that of ordinary long tokens.
+Every other token that is as long as the shortest credential is scored by the automata, and
+if it is none, the parts that ``=``, ``/`` and ``.`` cut it into: a secret is what has a mean
+log-likelihood not below that of nearly all samples, and above that of ordinary tokens.
+
+Ordinary tokens are learned from by make-up. Among them are credentials that no pattern has
+found: a token that has a learned format and was met in one context only is not learned from.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewinnow.llm.common import materialise, read
+from tablewinnow.llm.common import drawn, read
 
 KINDS = ("assign", "access", "hex")
 # Fixed patterns of the task; letters of the keyword in either case.
@@ -34,17 +39,20 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # of the runs, those of 24 or more
 _KEYWORDS = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-TRAINING_DOCS = 20_000  # documents whose credentials are learned from, about
-TRAINING_VALUES = 400  # per kind, at most
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+PART = re.compile(r"[^=/.]+")
+TRAINING_VALUES = 400  # learned from per kind, and of ordinary tokens per make-up, at most
 FEWEST_VALUES = 20  # a kind with fewer is not learned
+CONTEXT = 16  # symbols before a token
 LONGEST_VALUE = 256  # longer ones are not learned from
 ALPHA = 0.05
 SMOOTHING = 0.02
 LEAST_QUANTILE = 0.02
 MARGIN = 0.4  # log-likelihood per symbol above ordinary tokens
 _SYMBOLS = 66
-MAKEUP = ("[0-9]", "[a-z]", "[A-Z]", "[^A-Za-z0-9]")
+MAKEUP = tuple(map(re.compile, ("[0-9]", "[a-z]", "[A-Z]", "[^A-Za-z0-9]")))
+COMMON = 0.01  # share of a kind's samples that a make-up has to have
+KNOWN_TOKENS = 1 << 18
 
 Span = tuple[int, int, str]
 
@@ -85,9 +93,30 @@ class Automaton:
     seen: list[Counter] = field(default_factory=lambda: [Counter()])
     ends: list[int] = field(default_factory=lambda: [0])
     least: float = -math.inf
+    shortest: int = 0
+    makeups: frozenset[str] = frozenset()
 
     @classmethod
     def infer(cls, samples: list[str], alpha: float = ALPHA) -> Automaton:
+        """The automaton of the samples. What new values of the format score is measured with
+        automata of one half of the samples on the other."""
+        whole = cls._of(samples, alpha)
+        halves = samples[::2], samples[1::2]
+        scores = sorted(
+            score
+            for learned, tested in (halves, halves[::-1])
+            if learned
+            for score in map(cls._of(learned, alpha).score, tested)
+        )
+        if scores:
+            whole.least = scores[int(LEAST_QUANTILE * len(scores))]
+        whole.shortest = min(map(len, samples), default=0)
+        made = Counter(map(makeup, samples))
+        whole.makeups = frozenset(m for m, n in made.items() if n >= COMMON * len(samples))
+        return whole
+
+    @classmethod
+    def _of(cls, samples: list[str], alpha: float) -> Automaton:
         tree = cls()
         for sample in samples:
             state = 0
@@ -101,11 +130,16 @@ class Automaton:
                 state = tree.next[state][symbol]
             tree.ends[state] += 1
         tree._merge(alpha)
-        scores = sorted(map(tree.score, samples))
-        if scores:
-            tree.least = scores[int(LEAST_QUANTILE * len(scores))]
         return tree
 
+    def accepts(self, token: str, made: str, slack: float = 0.0) -> float | None:
+        """The token's score, if its length, make-up and, but for ``slack``, score are those of
+        samples."""
+        if len(token) < self.shortest or made not in self.makeups:
+            return None
+        score = self.score(token)
+        return score if score >= self.least - slack else None
+
     def _total(self, state: int) -> int:
         return self.ends[state] + self.seen[state].total()
 
@@ -190,14 +224,26 @@ class Automaton:
 class Formats:
     automata: dict[str, Automaton]
     ordinary: list[Automaton]
+    # Most tokens occur again and again; a worker keeps what it found for so many of them.
+    known: dict[str, str | None] = field(default_factory=dict)
+
+    @property
+    def shortest(self) -> int:
+        return min((a.shortest for a in self.automata.values()), default=0)
 
     def kind_of(self, token: str) -> str | None:
         """The kind whose format explains the token best, if any explains it."""
-        best = None
-        usual = None
+        if token not in self.known:
+            if len(self.known) >= KNOWN_TOKENS:
+                self.known.clear()
+            self.known[token] = self._kind_of(token)
+        return self.known[token]
+
+    def _kind_of(self, token: str) -> str | None:
+        best, usual, made = None, None, makeup(token)
         for kind, automaton in self.automata.items():
-            score = automaton.score(token)
-            if score < automaton.least or (best and score <= best[0]):
+            score = automaton.accepts(token, made)
+            if score is None or (best and score <= best[0]):
                 continue
             if usual is None:
                 usual = max((o.score(token) for o in self.ordinary), default=-math.inf)
@@ -206,74 +252,82 @@ class Formats:
         return best[1] if best else None
 
     def spans(self, text: str, base: list[Span]) -> list[Span]:
-        """Candidates with a learned format."""
-        if not self.automata:
-            return []
+        """Candidates with a learned format, and such parts of the others."""
         found = []
-        for start, end in candidates(text, base):
+        for start, end in candidates(text, base, self.shortest) if self.automata else ():
             kind = self.kind_of(text[start:end])
             if kind:
                 found.append((start, end, kind))
+                continue
+            for m in PART.finditer(text, start, end):
+                if self.shortest <= len(m[0]) < end - start:
+                    kind = self.kind_of(m[0])
+                    if kind:
+                        found.append((*m.span(), kind))
         return found
 
 
-def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Tokens of 16 or more symbols that overlap no span of ``base``, which is by start."""
+def candidates(text: str, base: list[Span], least: int) -> Iterator[tuple[int, int]]:
+    """Tokens of ``least`` or more symbols that overlap no span of ``base``, which is by start;
+    of tokens that do, what lies before, between and after the spans."""
     at, upto = 0, 0
-    for m in CANDIDATE.finditer(text):
+    for m in TOKEN.finditer(text):
         start, end = m.span()
+        if end - start < least:
+            continue
+        start = max(start, upto)
         while at < len(base) and base[at][0] < end:
+            if base[at][0] - start >= least:
+                yield start, base[at][0]
             upto = max(upto, base[at][1])
+            start = max(start, upto)
             at += 1
-        if upto <= start:
+        if end - start >= least:
             yield start, end
 
 
 def makeup(token: str) -> str:
     """Which classes of symbols a token is made of. Ordinary tokens of each make-up have
     automata of their own: numbers are not to be judged by words."""
-    return "".join("01"[bool(re.search(test, token))] for test in MAKEUP)
+    return "".join("01"[test.search(token) is not None] for test in MAKEUP)
 
 
-def fit(docs: DataFrame, rows: int = TRAINING_DOCS) -> Formats:
-    """Infer formats from the credentials, and ordinary tokens from the other candidates, of
-    about ``rows`` documents, taken by a hash of the id. Of the distinct values of a kind
-    (or make-up) about ``TRAINING_VALUES``, by their own hash, reach the driver."""
-    step = max(1, docs.count() // rows)
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("formats")), F.lit(step)) == 0)
+def fit(docs: DataFrame, values: int = TRAINING_VALUES) -> Formats:
+    """Infer formats from the credentials in all documents, and ordinary tokens from the
+    other candidates: of the distinct values of each kind or make-up at most ``values``, by
+    their own hash. A kind with fewer than ``FEWEST_VALUES`` is not learned."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = []
-            for text in batch.column("text").to_pylist():
-                spans, labelled = base_spans(text or "")
-                pairs += labelled
-                pairs += [("", text[a:b]) for a, b in candidates(text or "", spans)]
-            pairs = [p for p in pairs if len(p[1]) <= LONGEST_VALUE]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in pairs], pa.string()) for i in (0, 1)], ["kind", "value"]
-            )
+    def labelled(text: str) -> list[tuple[str, str, int]]:
+        return [(*v, 0) for v in base_spans(text)[1] if len(v[1]) <= LONGEST_VALUE]
 
-    values = drawn.select("text").mapInArrow(take, "kind string, value string").distinct()
-    values = materialise(values)
-    # Kinds, and ordinary tokens by make-up.
-    marks = [F.col("value").rlike(test).cast("int") for test in MAKEUP]
-    made_up = F.when(F.col("kind") == "", F.concat(*marks)).otherwise(F.col("kind"))
-    chosen = F.lit(False)
-    for group, n in values.groupBy(made_up).count().collect():
-        one_in = F.pmod(F.xxhash64("value"), F.lit(max(1, n // TRAINING_VALUES))) == 0
-        chosen = chosen | ((made_up == group) & one_in)
-    by_kind: dict[str, list[str]] = {}
-    for kind, value in values.where(chosen).orderBy("kind", "value").collect():
-        by_kind.setdefault(kind, []).append(value)
+    by_kind = drawn(texts, labelled, values)
     automata = {
-        kind: Automaton.infer(by_kind[kind])
+        kind: Automaton.infer(list(by_kind[kind]))
         for kind in KINDS
-        if len(by_kind.get(kind, [])) >= FEWEST_VALUES
+        if len(by_kind.get(kind, ())) >= FEWEST_VALUES
+    }
+    shortest = min((a.shortest for a in automata.values()), default=0)
+
+    def others(text: str) -> Iterator[tuple[str, str, int]]:
+        for start, end in candidates(text, base_spans(text)[0], shortest):
+            if end - start <= LONGEST_VALUE:
+                context = zlib.crc32(text[max(0, start - CONTEXT) : start].encode())
+                yield makeup(text[start:end]), text[start:end], context
+
+    def alike(token: str) -> bool:
+        parts = [token, *(p for p in PART.findall(token) if len(p) >= shortest)]
+        return any(
+            a.accepts(p, makeup(p), MARGIN) is not None for a in automata.values() for p in parts
+        )
+
+    plain = {
+        made: [t for t, several in own.items() if several or not alike(t)]
+        for made, own in (drawn(texts, others, values) if automata else {}).items()
     }
-    plain: dict[str, list[str]] = {}
-    for value in by_kind.get("", []):
-        plain.setdefault(makeup(value), []).append(value)
+    # For tokens of a make-up that hardly occurs, one of all.
+    every = sorted(v for own in plain.values() for v in own)
+    plain[""] = every[:: 1 + len(every) // values]
     ordinary = [Automaton.infer(v) for v in plain.values() if len(v) >= FEWEST_VALUES]
     return Formats(automata, ordinary)
 
