@@ -32,6 +32,7 @@ from tablewinnow.plans.rules import read_departments, read_rules
 from tablewinnow.profile import DATA_TABLES, DEPENDENT_TABLES
 from tablewinnow.settings import broadcast_up_to, ensure_checkpoint_dir
 from tablewinnow.sources.directory import flat_users, group_members, role_links
+from tablewinnow.sources.dumps import Dump, write_dump
 from tablewinnow.sources.tableset import (
     Database,
     Folder,
@@ -249,6 +250,19 @@ def _replaced(spark: SparkSession, sf_dir: str) -> Database:
     return target
 
 
+# Tables that are written as a dump and read back, the last of them compressed.
+DUMPED = ("datavalue", "programstageinstance", "users", "sqlview")
+
+
+def _dumped(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = fixtures.Views(spark, sf_dir, (name, "program"))
+        folder = write_dump(tables, _new_folder(spark, "dump"), compress=name == DUMPED[-1])
+        return Dump(spark, folder).read(name)
+
+    return run
+
+
 def _stored(tables: Database | Folder) -> dict[str, DataFrame]:
     return {name: tables.read(name) for name in tables.names()}
 
@@ -437,6 +451,8 @@ def table_queries() -> dict[str, Query]:
             )
         )
     )
+    for name in DUMPED:
+        result[f"dump_{name}"] = _dumped(name)
     result["empty_data"] = lambda spark, sf_dir: _row_counts(
         empty_tables(fixtures.Views(spark, sf_dir))
     )
@@ -773,6 +789,8 @@ def table_sql() -> dict[str, str]:
     sql["snapshot_tables"] = _counts_sql(
         copied | protected | {"analytics_2024": CLONE_SOURCE["analytics_2024"]}
     )
+    for name in DUMPED:
+        sql[f"dump_{name}"] = f"{ctes(name)} SELECT * FROM {name}"
     database = {name: name for name in fixtures.DATABASE}
     sql["empty_data"] = _counts_sql(database, DATA_TABLES)
     sql["clear_dependents"] = _counts_sql(database, DEPENDENT_TABLES)
