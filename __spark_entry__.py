@@ -31,7 +31,7 @@ from tablewinnow.plans.refresh import Outcome, refresh
 from tablewinnow.plans.rules import read_departments, read_rules
 from tablewinnow.profile import DATA_TABLES, DEPENDENT_TABLES
 from tablewinnow.settings import broadcast_up_to, ensure_checkpoint_dir
-from tablewinnow.sources.directory import flat_users, group_members, role_links
+from tablewinnow.sources.directory import flat_users, group_members, read_metadata, role_links
 from tablewinnow.sources.dumps import Dump, write_dump
 from tablewinnow.sources.tableset import (
     Database,
@@ -413,6 +413,18 @@ def _nested_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _document_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as one metadata document, read back in small ranges."""
+    folder = _new_folder(spark, "document")
+    nested = F.struct(*_nested_users(spark, sf_dir).columns)
+    # One value by its nature, as a server sends it.
+    document = _nested_users(spark, sf_dir).agg(
+        F.to_json(F.struct(F.collect_list(nested).alias("users"))).alias("value")
+    )
+    _write_text(document, folder)
+    return flat_users(read_metadata(spark, folder, whole_bytes=0, range_bytes=100_000)["users"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The rule file applied to the fact table of data values."""
     return queries()["apply_rules_datavalue"](spark, SMOKE_DIR)
@@ -606,6 +618,7 @@ def table_queries() -> dict[str, Query]:
     result["refresh_report"] = _refresh_report
 
     result["flat_users"] = lambda spark, sf_dir: flat_users(_nested_users(spark, sf_dir))
+    result["document_users"] = _document_users
     result["role_links"] = lambda spark, sf_dir: role_links(_nested_users(spark, sf_dir))
 
     result["group_members"] = lambda spark, sf_dir: group_members(_nested_groups(spark, sf_dir))
@@ -1044,6 +1057,7 @@ def table_sql() -> dict[str, str]:
         "CASE WHEN c_acctbal >= 0 THEN concat('c', c_custkey) ELSE c_name END AS username, "
         "CASE WHEN c_acctbal >= 0 THEN c_acctbal < 1000 END AS disabled FROM customer"
     )
+    sql["document_users"] = sql["flat_users"]
     sql["role_links"] = (
         "SELECT concat('U', c_custkey) AS user_id, c_mktsegment AS role_id FROM customer "
         "WHERE c_acctbal >= 0 UNION ALL "

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewinnow.sources.documents import RANGE_BYTES, is_object, lists_of_objects
+
 CREDENTIALS = "userCredentials"
 
 
@@ -41,12 +43,23 @@ def group_members(groups: DataFrame) -> DataFrame:
     return members.select("group_name", F.col("user")["id"].alias("user_id"))
 
 
-def read_metadata(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+# A larger document is cut into ranges.
+WHOLE_BYTES = 64 << 20
+
+
+def read_metadata(
+    spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES, range_bytes: int = RANGE_BYTES
+) -> dict[str, DataFrame]:
     """One table per list of objects in a JSON metadata document.
 
-    A document is one JSON value and cannot be split, so a file is one task;
-    several files below ``path`` are read in parallel.
+    A file of at most ``whole_bytes``, a compressed one, and one that is no object are read as one
+    value by one task; several files below ``path`` are read in parallel. A larger file is cut
+    into ranges of ``range_bytes``, see ``lists_of_objects``.
     """
+    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    large = len(files) == 1 and files[0].length > whole_bytes
+    if large and not path.endswith((".gz", ".bz2")) and is_object(files[0].path):
+        return lists_of_objects(spark, files[0].path, files[0].length, range_bytes)
     document = spark.read.option("multiLine", True).json(path)
     return {
         field.name: document.select(F.inline(F.col(f"`{field.name}`")))
