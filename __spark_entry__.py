@@ -23,6 +23,7 @@ from tablewinnow.functions import (
     unique_by_field,
 )
 from tablewinnow.operators import access, keys, prune
+from tablewinnow.operators.digest import digest
 from tablewinnow.operators.empty import clear_dependents, empty_tables
 from tablewinnow.operators.merge import merge_all, merge_metadata, merge_summary
 from tablewinnow.plans.access_plan import AccessState, apply_access_rules
@@ -240,16 +241,54 @@ def _cloned(spark: SparkSession, sf_dir: str) -> Database:
     return target
 
 
-def _replaced(spark: SparkSession, sf_dir: str) -> Database:
-    """A clone over a database with a table that goes and a protected one that stays."""
+def _to_be_replaced(spark: SparkSession, sf_dir: str) -> Database:
+    """A database with a table that goes and a protected one that stays."""
     target, views = _new_database(spark), fixtures.Views(spark, sf_dir)
     target.write("datavalue", views["dataset"])
     target.write("spatial_ref_sys", views["program"])
     target.write("old", views["program"])
-    clone_tables(Frames(_clone_source(spark, sf_dir)), target, replace=True)
     return target
 
 
+def _replaced(spark: SparkSession, sf_dir: str, verify: bool = False) -> Database:
+    target = _to_be_replaced(spark, sf_dir)
+    clone_tables(Frames(_clone_source(spark, sf_dir)), target, replace=True, verify=verify)
+    return target
+
+
+class _Stopping(Database):
+    """Stops in the middle of a replacement, after its first step."""
+
+    def _take(self, action: str, name: str) -> None:
+        super()._take(action, name)
+        raise InterruptedError
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> Database:
+    target = _to_be_replaced(spark, sf_dir)
+    try:
+        clone_tables(Frames(_clone_source(spark, sf_dir)), _Stopping(spark, target.name), replace=True)
+    except InterruptedError:
+        target.recover()
+    return target
+
+
+def _copy_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of tables, and whether their copies, whole and damaged, have the same digest."""
+    source, target = _clone_source(spark, sf_dir), _cloned(spark, sf_dir)
+    found = []
+    for name in ("datavalue", "organisationunit"):
+        own, copy = digest(source[name]), target.read(name)
+        first = copy.columns[0]
+        damaged = {
+            "whole": copy,
+            "a row twice": copy.unionByName(copy.limit(1)),
+            "a value changed": copy.withColumn(first, F.col(first) + 1),
+        }
+        found += [(name, kind, own.row_count, digest(df) == own) for kind, df in damaged.items()]
+    return spark.createDataFrame(found, "table_name string, copy string, row_count long, same boolean")
+
+
 # Tables that are written as a dump and read back, the last of them compressed.
 DUMPED = ("datavalue", "programstageinstance", "users", "sqlview")
 
@@ -453,6 +492,11 @@ def table_queries() -> dict[str, Query]:
         "organisationunit"
     )
     result["clone_replaced"] = lambda spark, sf_dir: _row_counts(_stored(_replaced(spark, sf_dir)))
+    result["clone_verified"] = lambda spark, sf_dir: _row_counts(
+        _stored(_replaced(spark, sf_dir, verify=True))
+    )
+    result["clone_resumed"] = lambda spark, sf_dir: _row_counts(_stored(_resumed(spark, sf_dir)))
+    result["copy_digests"] = _copy_digests
     result["snapshot_tables"] = lambda spark, sf_dir: _row_counts(
         _stored(
             Folder(
@@ -799,6 +843,13 @@ def table_sql() -> dict[str, str]:
         ctes("organisationunit") + " SELECT * FROM organisationunit"
     )
     sql["clone_replaced"] = _counts_sql(copied | {"spatial_ref_sys": "program"})
+    sql["clone_verified"] = sql["clone_resumed"] = sql["clone_replaced"]
+    sql["copy_digests"] = ctes("datavalue", "organisationunit") + " " + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{kind}' AS copy, count(*) AS row_count, "
+        f"{str(kind == 'whole').lower()} AS same FROM {name}"
+        for name in ("datavalue", "organisationunit")
+        for kind in ("whole", "a row twice", "a value changed")
+    )
     sql["snapshot_tables"] = _counts_sql(
         copied | protected | {"analytics_2024": CLONE_SOURCE["analytics_2024"]}
     )

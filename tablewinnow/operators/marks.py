@@ -21,6 +21,10 @@ from tablewinnow.profile import Profile
 
 # Bits per long column; more removals take more columns.
 WORD_BITS = 62
+# Uids that are written into a plan; more are a table that is joined.
+LITERAL_UIDS = 1000
+
+_UID = "_tw_uid"
 
 
 def words(count: int) -> int:
@@ -66,8 +70,13 @@ def _bits(lists: Iterable[tuple[int, Iterable[str]]]) -> dict[str, set[int]]:
 def _carried(
     df: DataFrame, key: Column, uid: Column, masks: Mapping[str, Mapping[str, set[int]]], n: int
 ) -> DataFrame:
-    """``key`` and mask columns of the rows whose uid some rule mentions."""
+    """``key`` and mask columns of the rows whose uid some rule mentions.
+
+    A few uids are literals, which a scan can filter by. Many would make a plan that takes longer than
+    the query; they are rows of uid and masks, measured like any key set."""
     mentioned = sorted({u for bits in masks.values() for u in bits})
+    if len(mentioned) > LITERAL_UIDS:
+        return _joined(df, key, uid, masks, mentioned, n)
     columns = [
         lookup(uid, bits, w).alias(name)
         for prefix, bits in masks.items()
@@ -76,6 +85,25 @@ def _carried(
     return df.filter(uid.isin(mentioned)).select(key, *columns)
 
 
+def _joined(
+    df: DataFrame,
+    key: Column,
+    uid: Column,
+    masks: Mapping[str, Mapping[str, set[int]]],
+    mentioned: Sequence[str],
+    n: int,
+) -> DataFrame:
+    columns = [name for prefix in masks for name in names(prefix, n)]
+    rows = [
+        (u, *(word(bits.get(u, ()), w) for bits in masks.values() for w in range(words(n))))
+        for u in mentioned
+    ]
+    schema = ", ".join([f"{_UID} string", *(f"{c} long" for c in columns)])
+    marks = KeySet(df.sparkSession.createDataFrame(rows, schema))
+    kept = df.select(key, uid.alias(_UID))
+    return attach(kept, marks, _UID).dropna(subset=columns[:1]).drop(_UID)
+
+
 def _merge(df: DataFrame, key: str, prefixes: Sequence[str], n: int) -> DataFrame:
     """One row per key, with the bits of all its rows."""
     return df.groupBy(key).agg(

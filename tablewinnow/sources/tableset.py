@@ -6,6 +6,7 @@ distributed job per table; the driver only handles names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewinnow.functions.text import view_name
+from tablewinnow.operators.digest import Digest, Observed, digest
 from tablewinnow.profile import PROTECTED_TABLES
 from tablewinnow.settings import concurrently
 
@@ -32,6 +34,9 @@ STAMP = "%Y-%m-%d_%H%M"
 # Begins the names of copies that are not in their place yet.
 STAGED = "_tw_staged_"
 
+# Begins the name of the table that tells what a replacement has still to do.
+JOURNAL = "_tw_journal_"
+
 # Lists the tables of a folder and is written last, so a folder without it is
 # incomplete. The dot keeps it apart from table names.
 MANIFEST = "table.manifest"
@@ -121,7 +126,7 @@ class Database:
         ]
 
     def names(self) -> list[str]:
-        return self._list(views=False)
+        return [name for name in self._list(views=False) if not name.startswith(JOURNAL)]
 
     def views(self) -> list[str]:
         return self._list(views=True)
@@ -149,6 +154,54 @@ class Database:
             old, new = self._quoted(STAGED + name), self._quoted(name)
             self.spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
 
+    def replace_by_staged(self, names: Iterable[str], protected: Iterable[str]) -> None:
+        """Drop what is not protected and publish the staged tables, by a journal: from the
+        moment it is written, the replacement will be completed, by ``recover`` if not now."""
+        names = list(names)
+        staged = {(STAGED + name).lower() for name in names}
+        kept = {name.lower() for name in protected} | staged
+        steps = [("view", name) for name in self.views() if name.lower() not in kept]
+        steps += [("table", name) for name in self.names() if name.lower() not in kept]
+        steps += [("publish", name) for name in names]
+        if steps:
+            rows = [(place, *step) for place, step in enumerate(steps)]
+            journal = self.spark.createDataFrame(rows, "place int, action string, name string")
+            # A table is in the catalog only when all of it is written.
+            own = self._quoted(JOURNAL + uuid.uuid4().hex)
+            journal.coalesce(1).write.mode("errorifexists").saveAsTable(own)
+        self.recover()
+
+    def recover(self) -> bool:
+        """Complete a replacement that was interrupted; whether there was one. Every step can be
+        taken again, so it does not matter where it stopped."""
+        journals = [name for name in self._list(views=False) if name.startswith(JOURNAL)]
+        for journal in journals:
+            steps = self.read(journal).orderBy("place").collect()
+            for step in steps:
+                self._take(step["action"], step["name"])
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(journal)}")
+        return bool(journals)
+
+    def _take(self, action: str, name: str) -> None:
+        """One step of a journal. A staged table that is gone has its name already, and the
+        table of that name is then the new one."""
+        present = {n.lower() for n in self._list(views=False)}
+        if action == "view":
+            self.drop_view(name)
+        elif action == "publish":
+            if (STAGED + name).lower() in present:
+                self.publish([name])
+        elif (STAGED + name).lower() in present or not self._published(name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._quoted(name)}")
+
+    def _published(self, name: str) -> bool:
+        """Whether a journal that is not done yet publishes this name."""
+        return any(
+            self.read(journal).filter((F.col("action") == "publish") & (F.lower("name") == name.lower())).count()
+            for journal in self._list(views=False)
+            if journal.startswith(JOURNAL)
+        )
+
     def drop_staged(self, names: Iterable[str]) -> None:
         """Drop what an interrupted copy of these tables left."""
         for name in names:
@@ -173,9 +226,10 @@ class Database:
 class Jdbc:
     """A live database behind a JDBC driver on the classpath.
 
-    Large tables need ``partitioning``: table name -> (numeric column, number of
+    Tables need ``partitioning``: table name -> (numeric column, number of
     partitions). Its bounds are asked from the database, and each partition is
-    read by its own task. Other tables are read by a single task.
+    read by its own task. A table read by a single task must be named in ``small``;
+    others are refused, as one task could not read a large one.
     """
 
     spark: SparkSession
@@ -183,6 +237,7 @@ class Jdbc:
     schema: str = "public"
     properties: Mapping[str, str] = field(default_factory=dict)
     partitioning: Mapping[str, tuple[str, int]] = field(default_factory=dict)
+    small: Iterable[str] = ()
 
     def _query(self, text: str) -> DataFrame:
         return self.spark.read.jdbc(self.url, f"({text}) q", properties=dict(self.properties))
@@ -195,6 +250,8 @@ class Jdbc:
     def read(self, name: str) -> DataFrame:
         table, properties = f"{self.schema}.{name}", dict(self.properties)
         if name not in self.partitioning:
+            if name not in self.small:
+                raise ValueError(f"{name}: give its partitioning, or name it as small")
             return self.spark.read.jdbc(self.url, table, properties=properties)
         column, partitions = self.partitioning[name]
         low, high = self._query(f"SELECT min({column}), max({column}) FROM {table}").first()
@@ -209,8 +266,27 @@ class Jdbc:
         )
 
 
-def _copy(source: TableSource, target: Database, staged: bool, name: str) -> None:
-    target.write(name, source.read(name), staged)
+class IncompleteCopy(RuntimeError):
+    """A copy that does not have the rows of its source."""
+
+
+def check_copy(name: str, source: DataFrame, copy: DataFrame, written: Digest | None = None) -> None:
+    """Refuse a copy whose digest is not the source's, which may have been taken while writing.
+    A task that ran twice may have counted its rows twice; then the source is read again."""
+    found = digest(copy)
+    if found != written and found != digest(source):
+        raise IncompleteCopy(f"the copy of {name} differs from its source")
+
+
+def _copy(source: TableSource, target: Database, staged: bool, verify: bool, name: str) -> None:
+    df = source.read(name)
+    if not verify:
+        target.write(name, df, staged)
+        return
+    observed = Observed(df)
+    target.write(name, observed.frame, staged)
+    copy = target.read(STAGED + name if staged else name)
+    check_copy(name, df, copy, observed.digest)
 
 
 def clone_tables(
@@ -221,42 +297,53 @@ def clone_tables(
     replace: bool = False,
     protected: Iterable[str] = PROTECTED_TABLES,
     snapshot: str | None = None,
+    verify: bool = False,
 ) -> list[str]:
     """Copy the selected tables.
 
     With ``replace`` the target's other tables and views go, but for protected ones,
     which are then not copied either. They go only when all copies are complete, so a
     source that cannot be read, or that reads from the target, costs nothing. A folder
-    named by ``snapshot`` receives a stamped copy of the target's tables before.
+    named by ``snapshot`` receives a stamped copy of the target's tables before. With
+    ``verify`` every copy is read again, and nothing is replaced by one that differs from its
+    source (see ``digest``). A replacement that died between clearing and publishing is
+    completed first.
     """
     names = selected_names(source.names(), exclude, exclude_schemas)
     if isinstance(source, Database) and source.name.lower() == target.name.lower():
         raise ValueError(f"source and target are the same database: {target.name}")
+    target.recover()
     if replace:
         kept = {name.lower() for name in protected} & {name.lower() for name in target.names()}
         names = [name for name in names if name.lower() not in kept]
         target.drop_staged(names)
     if snapshot is not None:
         present = {name: target.read(name) for name in target.names()}
-        snapshot_tables(present, snapshot, target.name)
-    concurrently(*[partial(_copy, source, target, replace, name) for name in names])
+        snapshot_tables(present, snapshot, target.name, verify=verify)
+    concurrently(*[partial(_copy, source, target, replace, verify, name) for name in names])
     if replace:
-        target.clear([*protected, *[(STAGED + name).lower() for name in names]])
-        target.publish(names)
+        target.replace_by_staged(names, protected)
     return names
 
 
 def write_tables(
-    tables: Mapping[str, DataFrame], folder: str, format: str = "parquet"
+    tables: Mapping[str, DataFrame], folder: str, format: str = "parquet", verify: bool = False
 ) -> str:
-    """Write each table below a new folder, and the manifest when all are there.
+    """Write each table below a new folder, and the manifest when all are there, and, with
+    ``verify``, when all were read again and found to be what was written.
 
     Nothing is overwritten: the folder must be new, so that a table can be
     written from a plan that still reads the old one.
     """
 
     def write(name: str) -> None:
-        tables[name].write.format(format).mode("errorifexists").save(f"{folder}/{name}")
+        df, place = tables[name], f"{folder}/{name}"
+        observed = Observed(df) if verify else None
+        rows = observed.frame if observed else df
+        rows.write.format(format).mode("errorifexists").save(place)
+        if observed:
+            copy = df.sparkSession.read.format(format).schema(df.schema).load(place)
+            check_copy(name, df, copy, observed.digest)
 
     concurrently(*[partial(write, name) for name in tables])
     if tables:
@@ -272,11 +359,12 @@ def snapshot_tables(
     name: str,
     stamp: str | None = None,
     exclude_schemas: Iterable[str] = SYSTEM_SCHEMAS,
+    verify: bool = False,
 ) -> str:
     """A full, time-stamped copy: system schemas are left out, derived tables not."""
     stamp = stamp or datetime.now().strftime(STAMP)
     chosen = select_tables(tables, exclude=(), exclude_schemas=exclude_schemas)
-    return write_tables(chosen, f"{folder}/{name}_{stamp}")
+    return write_tables(chosen, f"{folder}/{name}_{stamp}", verify=verify)
 
 
 def derived_view_names(sqlview: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
+import time
+
 import pytest
 from conftest import rows
 from model import database, frames
 
-from tablewinnow.operators import keys
+from tablewinnow.operators import keys, marks
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +62,24 @@ def test_wildcards_in_paths_are_literal(spark):
 
 def test_pick(tables):
     assert keys.pick(tables["dataset"], ["uid"]).columns == ["uid"]
+
+
+def test_long_lists_of_uids_are_joined(join_path, tables, monkeypatch):
+    """The same rows as with uids written into the plan."""
+    found = {}
+    for limit in (1000, 0):
+        monkeypatch.setattr(marks, "LITERAL_UIDS", limit)
+        found[limit] = [
+            rows(keys.stages_of_programs(tables, ["P1", "T2", "no"])),
+            rows(keys.elements_by_uid(tables, ["DE2", "DE4", "DE8"], ["DS1", "DS2"])),
+            rows(keys.org_units(tables, ["A", "E", "no"])),
+            rows(keys.org_unit_descendants(tables, ["A", "B"], include_self=True)),
+        ]
+    assert found[0] == found[1000]
+
+
+def test_a_hundred_thousand_uids(tables):
+    start = time.monotonic()
+    found = keys.org_units(tables, ["A", "E", *(f"no{i}" for i in range(100_000))])
+    assert rows(found) == [(1,), (6,)]
+    assert time.monotonic() - start < 30
