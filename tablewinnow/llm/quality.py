@@ -146,15 +146,25 @@ class Forest:
     usual: float
 
     @classmethod
-    def fit(cls, rows: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE) -> Forest:
+    def fit(
+        cls,
+        rows: np.ndarray,
+        weights: np.ndarray | None = None,
+        trees: int = TREES,
+        subsample: int = SUBSAMPLE,
+    ) -> Forest:
+        """Trees of subsamples of ``rows``; with ``weights`` a row stands for so many equal ones,
+        and may be drawn as often."""
         rng = np.random.default_rng(11)
-        size = min(subsample, len(rows))
+        chance = None if weights is None or not len(rows) else weights / weights.sum()
+        size = min(subsample, len(rows) if chance is None else int(weights.sum()))
         levels = max(1, math.ceil(math.log2(max(2, size))))
         nodes = 2 ** (levels + 1) - 1
         feature = np.full((trees, nodes), -1)
         value, depth = np.zeros((trees, nodes)), np.zeros((trees, nodes))
         for tree in range(trees):
-            parts = {0: rows[rng.choice(len(rows), size, replace=False)]} if size else {}
+            drawn = rng.choice(len(rows), size, chance is not None, chance) if size else []
+            parts = {0: rows[drawn]} if size else {}
             for node in range(nodes):
                 own = parts.pop(node, None)
                 if own is None:
@@ -197,9 +207,27 @@ class Forest:
         return 2.0 ** (-total / len(self.depth) / self.usual)
 
 
-def fit(sample: np.ndarray) -> dict[str, Forest]:
+def fit(sample: np.ndarray, weights: np.ndarray | None = None) -> dict[str, Forest]:
     """A forest for each group on its columns of ``sample``, whose columns are ``FEATURES``."""
-    return {group: Forest.fit(sample[:, columns(group)]) for group in GROUPS}
+    return {group: Forest.fit(sample[:, columns(group)], weights) for group in GROUPS}
+
+
+def drawn(stats: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of features, in order, and how many rows of ``stats`` each stands for.
+
+    Rows that make up more than one in ``rows`` of all are in it, which are fewer than ``rows``;
+    of the others about ``rows`` are drawn by a hash of the features alone. So neither ids
+    nor repeated rows nor partitions change the sample."""
+    distinct = materialise(stats.groupBy("features").count())
+    n, total = distinct.agg(F.count(F.lit(1)), F.sum("count")).first()
+    step = max(1, n // rows)
+    frequent = F.col("count") * rows > (total or 0)
+    chosen = F.pmod(F.xxhash64("features"), F.lit(step)) == 0
+    weight = F.when(frequent, F.col("count")).otherwise(F.col("count") * step)
+    found = distinct.where(frequent | chosen).select("features", weight.alias("weight")).collect()
+    found = sorted((tuple(r["features"]), r["weight"]) for r in found)
+    sample = np.array([f for f, _ in found], float).reshape(len(found), len(FEATURES))
+    return sample, np.array([w for _, w in found], float)
 
 
 def columns(group: str) -> list[int]:
@@ -266,12 +294,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``DEFAULT_THRESHOLD``. An empty table gives no rows. Other columns are not read.
     """
     stats = materialise(statistics(docs))
-    # About SAMPLE rows: one in so many of all, by a hash.
-    step = max(1, stats.count() // SAMPLE)
-    draw = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(step)) == 0
-    rows = stats.where(draw).select("features").limit(4 * SAMPLE).toPandas()["features"]
-    sample = np.array(sorted(map(tuple, rows)), float).reshape(len(rows), len(FEATURES))
-    scores = materialise(scored(stats, fit(sample)))
+    scores = materialise(scored(stats, fit(*drawn(stats, SAMPLE))))
     odd = F.lit(False)
     for group, least in calibrate(scores, labels).items():
         odd = odd | (F.col(group) >= F.lit(least))

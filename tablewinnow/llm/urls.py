@@ -30,8 +30,10 @@ DAMPING = 0.85
 ROUNDS = 10  # of the oracle, whose fixture has no long paths
 TOLERANCE = 1e-6  # change of a rank by a round, as a share of it, that is no change
 _CUT = 5  # rounds between checkpoints
-# A link with a host of its own, in an attribute of any quoting.
-LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
+# A link with a host of its own, in an attribute of any quoting. Blanks are taken possessively: as
+# many as there are, and never fewer, so that a page of blanks takes time linear in its length.
+LINK = r"""(?i)href\s*+=\s*+["']?+\s*+(?:https?:)?+//([^/?#"'\s<>]++)"""
+TIE = 1e-9  # share of trust by which distrust must be more: sums of doubles have no fixed order
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -127,7 +129,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
     (page_id, url, html).
 
     A url that is null or has no ``://`` has an empty host and path, fits no rule, has no
-    links and is allowed, as is a host that neither trust nor distrust reaches. Null or
+    links and is allowed, as is a host that neither trust nor distrust reaches, and one where
+    both are equal but for ``TIE``. Null or
     empty html has no links; a page counts a host it links to once. Repeated page_ids are
     pages of their own. An empty table gives no rows. Other columns are not read.
     """
@@ -163,7 +166,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
         ranks.groupBy(F.col("host").alias("of")).agg(rank_of("trust"), rank_of("distrust"))
     )
     small = measured(judged, F.octet_length("of") + 48)
-    blocked = F.coalesce(F.col("distrust") > F.col("trust"), F.lit(False))
+    blocked = F.coalesce(F.col("distrust") > F.col("trust") * (1 + TIE), F.lit(False))
     of_host = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
     return ruled.join(small, F.col("host") == F.col("of"), "left").select(
         "page_id", "host", "path", "rule",
@@ -231,7 +234,8 @@ def oracle() -> str:
             )
     return (
         "WITH " + ",\n".join(steps) + "\nSELECT page_id, r.host, r.path, r.rule, "
-        "COALESCE(of_rule, CASE WHEN d.rnk > t.rnk THEN 'block' ELSE 'allow' END) AS verdict "
+        "COALESCE(of_rule, CASE WHEN d.rnk > t.rnk "
+        f"* (1 + {TIE}) THEN 'block' ELSE 'allow' END) AS verdict "
         f"FROM ruled r LEFT JOIN t{ROUNDS} t ON t.host = r.host "
         f"LEFT JOIN d{ROUNDS} d ON d.host = r.host"
     )

@@ -5,7 +5,7 @@ import string
 
 import pytest
 
-from tablewinnow.llm import pii, secrets
+from tablewinnow.llm import pii, quality, secrets
 from tablewinnow.llm.common import drawn
 
 WORDS = "the of and to in is that for on with as by at from or an be this which report table".split()
@@ -98,3 +98,27 @@ def test_rare_spans_are_learned_from(spark):
     for i in range(0, 12_000, 100):
         texts[i] += f" write to user{i}.x@mail{i % 9}.example.com today"
     assert pii.fit(documents(spark, texts)) is not None
+
+
+def test_the_forests_sample_depends_on_the_features_only(spark):
+    """A third of the rows are one empty text under null ids; repeated rows, other partitions."""
+    draw = random.Random(4)
+    texts = [sentence(draw, draw.randrange(5, 60)) for _ in range(400)] + [""] * 200
+    rows = [(None if not t else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first = quality.drawn(quality.statistics(docs), 50)
+    again = quality.drawn(quality.statistics(docs.repartition(7)), 50)
+    assert (first[0] == again[0]).all() and (first[1] == again[1]).all()
+    assert 25 < len(first[0]) < 150
+    share = first[1].max() / first[1].sum()
+    assert 0.2 < share < 0.5  # the empty text
+
+
+def test_quality_holds_for_labels_that_were_not_calibrated_on(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    judged = quality.judge(documents, labels.where("doc_id % 2 = 0"))
+    held_out = judged.join(labels.where("doc_id % 2 = 1"), "doc_id").where("not base_failed")
+    found = {(r.quality, r.kept): r["count"] for r in held_out.groupBy("quality", "kept").count().collect()}
+    assert found[0, False] > 0.9 * (found[0, False] + found.get((0, True), 0))
+    assert found.get((1, False), 0) < 0.02 * (found.get((1, False), 0) + found[1, True])
