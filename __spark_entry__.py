@@ -21,6 +21,7 @@ from tablewinnow.functions import (
     redact_credentials,
     stamp,
     unique_by_field,
+    without_keys,
 )
 from tablewinnow.operators import access, keys, prune
 from tablewinnow.operators.digest import digest
@@ -435,6 +436,28 @@ def _order_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Keys taken out of documents that have an entry for each event of a stage and a long string.
+WIDE_KEYS = ["note", "e1", "e2", "e8", "e9", "e4001"]
+
+
+def _wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (events,) = fixtures.Views(spark, sf_dir, ("programstageinstance",)).values()
+    entry = F.concat(
+        F.lit('"e'), "programstageinstanceid", F.lit('": {"at":[{"unit":'), "organisationunitid", F.lit("}]}")
+    )
+    entries = F.array_join(F.array_sort(F.collect_list(entry)), ",")
+    document = F.concat(
+        F.lit('\n{"note":"'), F.repeat(F.lit("n\\n"), F.lit(400_000)), F.lit('",'), entries, F.lit("}\n")
+    )
+    kept = without_keys(F.col("document"), F.array(*map(F.lit, WIDE_KEYS)))
+    return (
+        events.groupBy("programstageid")
+        .agg(document.alias("document"))
+        .withColumn("document", kept)
+        .select("programstageid", F.length("document").cast("long").alias("n_chars"), F.md5("document").alias("digest"))
+    )
+
+
 def _nested_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as user objects, some without credentials."""
     credentials = F.struct(
@@ -582,6 +605,7 @@ def table_queries() -> dict[str, Query]:
             t, ["view", "error"], ["de1", "de2", "k"], units_below=["R0", "R1", "R2"]
         ),
     )
+    result["strip_wide_documents"] = _wide_documents
     for table in TRACKER_TABLES:
         result[f"prune_trackers_full_{table}"] = _pruned(
             table, lambda t: prune.prune_trackers_full(t, ["TP1"])
@@ -912,6 +936,14 @@ def table_sql() -> dict[str, str]:
     sql["strip_event_keys"] = (
         f"{with_events} SELECT {_strip(condition, ['de1', 'de2', 'k'])} FROM programstageinstance"
     )
+    sql["strip_wide_documents"] = ctes("programstageinstance") + (
+        ", entries AS (SELECT programstageid, '\"e' || programstageinstanceid || '\": {\"at\":[{\"unit\":' "
+        "|| organisationunitid || '}]}' AS entry, 'e' || programstageinstanceid AS key FROM programstageinstance)"
+        ", documents AS (SELECT programstageid, chr(10) || '{' || coalesce(string_agg(entry, ',' ORDER BY entry) "
+        f"FILTER (WHERE key NOT IN {_list(WIDE_KEYS)}), '') || '}}' || chr(10) AS document "
+        "FROM entries GROUP BY programstageid) SELECT programstageid, length(document) AS n_chars, "
+        "md5(document) AS digest FROM documents"
+    )
     tracker = ["TP1"]
     sql["prune_trackers_full_programstageinstance"] = _keep(
         "programstageinstance", _stages(tracker)
