@@ -9,12 +9,15 @@ searched exactly. Of a leaf only its links' spanning stars leave the task, and t
 all leaves are joined to components.
 
 The tree is fitted to a hash sample of at most about ``TREE_SAMPLE`` fingerprints and so
-has at most about ``TREE_SAMPLE / LEAF_SAMPLE`` leaves; a leaf that is larger than
-``LEAF_MOST`` is dealt out as pairs of chunks, which are compared exactly as well.
+has at most about ``TREE_SAMPLE / LEAF_SAMPLE`` leaves. Leaves that are larger than
+``LEAF_MOST`` get trees of their own, of their own samples, and so on, level by level, so that work
+grows with the number of fingerprints. A leaf that a tree does not divide, as its points are all
+near each other, is dealt out as pairs of chunks, which are compared exactly as well.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewinnow.llm.common import materialise, measured, read
+from tablewinnow.settings import BROADCAST_BYTES, setting
 
 SHINGLE = 3
 RADIUS = 2
@@ -34,9 +38,16 @@ TREE_SAMPLE = 65_536
 SAMPLE_STEP = 32  # at least one in so many fingerprints is looked at by the tree
 LEAF_SAMPLE = 16
 LEAF_MOST = 8192
+# Fingerprints of a large leaf that its tree is fitted to, about, and levels of trees.
+LEAF_TREE_SAMPLE = 4096
+LEVELS = 8
+# A tree is used if its leaves hold at most so many copies of a point and so large a share.
+MOST_COPIES, MOST_SHARE = 2.0, 0.75
 _CANDIDATES = 8
 _BLOCK = 256
 
+_MIX, _ONE, _ALL = np.uint64(0x9E3779B97F4A7C15), np.uint64(1), (1 << 64) - 1
+
 # The eight bits of each byte value, lowest first.
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 _BYTE_PLACE = np.arange(8, dtype=np.intp) * 256
@@ -181,6 +192,66 @@ def local_stars(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(members), np.concatenate(roots)
 
 
+def _split_large(placed: DataFrame, radius: int, level: int) -> DataFrame | None:
+    """``placed`` (leaf, fingerprint) with the leaves of more than ``LEAF_MOST`` points divided
+    by trees of their own; None if no leaf is that large or can be divided.
+
+    Trees are fitted side by side to samples of about ``LEAF_TREE_SAMPLE`` points. They are few
+    kilobytes each and are broadcast, in turns if they take more than the limit together.
+    """
+    spark, most = placed.sparkSession, LEAF_MOST
+    large = materialise(placed.groupBy("leaf").count().where(F.col("count") > most))
+    if large.isEmpty():
+        return None
+    step = F.greatest(F.lit(1), F.floor(F.col("count") / LEAF_TREE_SAMPLE)).alias("step")
+    salt = F.lit(level + 2)
+    sample = placed.join(measured(large.select("leaf", "count", step), 32), "leaf").where(
+        F.pmod(F.xxhash64("fingerprint", salt), F.col("step")) == 0
+    )
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        points = frame["fingerprint"].to_numpy(np.int64).view(np.uint64)
+        # A leaf of the tree is to hold half of what a leaf may hold.
+        each = int(np.ceil(len(points) * most / 2 / frame["count"].iloc[0]))
+        tree = VantageTree.fit(points, radius, max(2, min(each, len(points))))
+        rows, leaves = tree.leaves(points, radius)
+        largest = np.bincount(leaves).max() / len(points)
+        if len(rows) > MOST_COPIES * len(points) or largest > MOST_SHARE:
+            return pd.DataFrame({"leaf": pd.Series([], dtype="int64"), "tree": []})
+        return pd.DataFrame({"leaf": [int(frame["leaf"].iloc[0])], "tree": [pickle.dumps(tree)]})
+
+    trees = materialise(sample.groupBy("leaf").applyInPandas(fit, "leaf long, tree binary"))
+    size = trees.agg(F.sum(F.octet_length("tree") + 64)).first()[0]
+    if not size:
+        return None
+    turns = -(-size * 2 // setting(spark, BROADCAST_BYTES))
+    turn = F.pmod(F.xxhash64("leaf"), F.lit(turns))
+    dealt = placed.join(measured(trees.select("leaf", turn.alias("turn")), 24), "leaf", "left")
+    parts = [dealt.where(F.col("turn").isNull()).select("leaf", "fingerprint")]
+    for number in range(turns):
+        own = trees.where(turn == number).collect()
+        shared = spark.sparkContext.broadcast({r["leaf"]: r["tree"] for r in own})
+
+        def divide(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            known: dict[int, VantageTree] = {}
+            for frame in frames:
+                for leaf, part in frame.groupby("leaf"):
+                    if leaf not in known:
+                        known[leaf] = pickle.loads(shared.value[leaf])
+                    points = part["fingerprint"].to_numpy(np.int64)
+                    row, child = known[leaf].leaves(points.view(np.uint64), radius)
+                    # Should two leaves ever get the same name, they are searched together.
+                    name = (np.uint64(leaf & _ALL) * _MIX + child.astype(np.uint64) + _ONE) * _MIX
+                    yield pd.DataFrame({"leaf": name.view(np.int64), "fingerprint": points[row]})
+
+        mine = dealt.where(F.col("turn") == number).select("leaf", "fingerprint")
+        parts.append(mine.mapInPandas(divide, "leaf long, fingerprint long"))
+    divided = parts[0]
+    for part in parts[1:]:
+        divided = divided.unionAll(part)
+    return materialise(divided)
+
+
 def links(distinct: DataFrame, radius: int) -> DataFrame:
     """u, v: edges between ``distinct`` fingerprints that connect exactly what chains of
     links within ``radius`` bits connect; at most one per fingerprint and leaf."""
@@ -199,10 +270,16 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
     placed = materialise(
         distinct.select("fingerprint").mapInPandas(to_leaves, "leaf long, fingerprint long")
     )
+    for level in range(LEVELS):
+        split = _split_large(placed, radius, level)
+        if split is None:
+            break
+        placed = split
     sizes = placed.groupBy("leaf").count()
-    # A tree has a bounded number of leaves.
-    chunks = F.broadcast(
+    chunks = measured(
         sizes.select("leaf", F.ceil(F.col("count") / LEAF_MOST).cast("int").alias("chunks"))
+        .where("chunks > 1"),
+        16,
     )
     own = F.pmod(F.xxhash64("fingerprint", F.lit(1)), F.col("chunks")).cast("int")
     pairs = F.transform(
@@ -212,7 +289,8 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
         ),
     )
     tasks = (
-        placed.join(chunks, "leaf")
+        placed.join(chunks, "leaf", "left")
+        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
         .withColumn("own", own)
         .select("leaf", "fingerprint", F.explode(pairs).alias("pair"))
         .select("leaf", "pair.a", "pair.b", "fingerprint")
