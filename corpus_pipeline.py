@@ -1,4 +1,9 @@
-"""The corpus pipeline: five operators in a row, each over all that the one before kept."""
+"""The corpus pipeline: five operators in a row, each over all that the one before kept.
+
+Every stage takes nulls in any column, empty and very long texts, repeated rows, null and repeated
+ids and empty tables; other columns than those of documents are not read, whatever their names.
+All but the last return the columns of documents, and an empty table for an empty one.
+"""
 
 from __future__ import annotations
 
@@ -14,30 +19,34 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as those of a learned language do stay; others and undetermined
-    ones go."""
+    ones go: null and empty texts, and texts without a letter. Rows with a null id or language stay
+    by their text, and equal texts stay or go together."""
     docs = docs.select(*COLUMNS)
     return language.keep_known(docs, language.fit_to_keep(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays: the one of least id, and of rows that share
+    it one. Null ids are greater than any; null, empty and blank texts are one group."""
     return near_dedup.one_of_each(docs.select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; personal data in them is masked."""
+    """All documents stay; personal data in them is masked. Null texts stay null, and texts without any
+    stay as they are, with their n_chars."""
     docs = docs.select(*COLUMNS)
     return pii.masked(docs, pii.fit(docs))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once, or a few times."""
+    """Each document as often as the mix takes it: not at all, once, or a few times. Null sources are
+    one source; texts without words take nothing from a target."""
     docs = docs.select(*COLUMNS)
     return mixing.repeated(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of fixed length."""
+    """Pieces of documents in sequences of fixed length. Null and empty texts are their end token."""
     return packing.pack(docs.select("doc_id", "text"), packing.vocabulary_paths())
 
 
