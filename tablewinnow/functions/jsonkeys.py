@@ -17,6 +17,9 @@ _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _TOKENS = rf'(?s)[{{}}\[\],]|(?:[^{{}}\[\],"]++|{_STRING})++|"'
 _FIRST_STRING = rf"(?s)\A[{_BLANKS}]*+({_STRING})"
 
+# An entry whose value has at most one level of brackets, which is that of most documents.
+_SHALLOW = rf'(?s)(?:[^{{}}\[\],"]++|{_STRING}|[{{\[](?:[^{{}}\[\]"]++|{_STRING})*+[}}\]])++'
+
 # Sums are run over blocks of so many, and over the blocks' sums in the same way: work grows with
 # the number of tokens, not with its square. Four levels reach 64^4 tokens.
 _BLOCK = 64
@@ -90,9 +93,26 @@ def running_sums(values: Column, levels: int = _LEVELS) -> Column:
 
 
 def entries_of(document: Column) -> Column:
-    """The top-level entries of a JSON object as (text, key), in order, each text as it is
-    written; null for text whose brackets do not make it one object. An entry ends at a
-    comma outside nested objects and arrays; its key is the string it begins with."""
+    """The top-level entries of a JSON object in order, each as it is written; null for text
+    whose brackets do not make it one object. An entry ends at a comma outside nested objects
+    and arrays.
+
+    Entries with one level of brackets are matched at once. Where that does not give the whole
+    text again, there are more levels, and commas are told apart by their depth."""
+    text = F.trim(document, F.lit(_BLANKS))
+    closed = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")) & (F.length(text) > 1)
+
+    def matched(inner: Column) -> Column:
+        shallow = F.regexp_extract_all(inner, F.lit(_SHALLOW), F.lit(0))
+        return _let(
+            shallow, lambda e: F.when(F.array_join(e, ",") == inner, e).otherwise(_by_depth(text))
+        )
+
+    return F.when(closed, _let(F.substring(text, F.lit(2), F.length(text) - 2), matched))
+
+
+def _by_depth(text: Column) -> Column:
+    """The entries of an object of any depth."""
 
     def change(token: Column) -> Column:
         return F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
@@ -115,18 +135,15 @@ def entries_of(document: Column) -> Column:
     def between(tokens: Column, at: Column) -> Column:
         def entry(start: Column, number: Column) -> Column:
             own = F.slice(tokens, start + 2, F.get(at, number + 1) - start - 1)
-            key = F.regexp_extract(F.get(tokens, start + 1), _FIRST_STRING, 1)
-            return F.struct(F.array_join(own, "").alias("text"), key.alias("key"))
+            return F.array_join(own, "")
 
         return F.transform(F.slice(at, 1, F.size(at) - 1), entry)
 
-    text = F.trim(document, F.lit(_BLANKS))
     tokens = F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0))
-    entries = _let(
+    return _let(
         tokens,
         lambda t: _let(running_sums(F.transform(t, change)), lambda depth: cut(t, depth)),
     )
-    return F.when(F.startswith(text, F.lit("{")), entries)
 
 
 def without_keys(document: Column, keys: Column) -> Column:
@@ -143,18 +160,18 @@ def stripped(document: Column, keys: Column) -> Column:
     """As ``without_keys``, for documents that have one of the keys; null if they are no object."""
     kept = F.filter(
         entries_of(document),
-        lambda e: ~F.coalesce(F.array_contains(keys, _decoded(e["key"])), F.lit(False)),
+        lambda e: ~F.coalesce(F.array_contains(keys, _key_of(e)), F.lit(False)),
     )
-    texts = F.transform(kept, lambda e: e["text"])
-    inside = F.trim(F.array_join(texts, ","), F.lit(_BLANKS))
+    inside = F.trim(F.array_join(kept, ","), F.lit(_BLANKS))
     blanks = F.lit(_BLANKS)
     before = F.left(document, F.length(document) - F.length(F.ltrim(document, blanks)))
     after = F.right(document, F.length(document) - F.length(F.rtrim(document, blanks)))
     return F.concat(before, F.lit("{"), inside, F.lit("}"), after)
 
 
-def _decoded(key: Column) -> Column:
-    """A JSON string as text."""
+def _key_of(entry: Column) -> Column:
+    """The key of an entry: the string it begins with, as text."""
+    key = F.regexp_extract(entry, _FIRST_STRING, 1)
     plain = F.substring(key, F.lit(2), F.length(key) - 2)
     parsed = F.get(F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>"), F.lit(0))
     return F.when(F.contains(key, F.lit("\\")), parsed).otherwise(plain)
