@@ -135,8 +135,9 @@ def roles_named(roles: DataFrame, names: Iterable[str]) -> DataFrame:
     return roles.filter(F.col("name").isin(list(names)))
 
 
-def _every_pair(selected: KeySet, roles: KeySet) -> DataFrame:
-    """(user_id, role_id) for every selected user and every role, as an equi-join.
+def _every_pair(selected: KeySet, roles: KeySet, *by: str) -> DataFrame:
+    """(user_id, role_id) for every selected user and every role, as an equi-join; with ``by``,
+    of those that agree in these columns.
 
     The pairs are the result itself. Roles that were measured to be few are broadcast.
     Otherwise users and roles are dealt over a grid, so that no task holds all of
@@ -162,17 +163,24 @@ def _every_pair(selected: KeySet, roles: KeySet) -> DataFrame:
     granted = granted.withColumn(_SALT, each(salts))
     users = selected.frame.withColumn(_SALT, dealt("user_id", salts))
     users = users.withColumn(_SHARD, each(shards))
-    pairs = users.join(F.broadcast(granted) if roles.small else granted, [_SHARD, _SALT])
+    pairs = users.join(F.broadcast(granted) if roles.small else granted, [*by, _SHARD, _SALT])
     return pairs.select("user_id", "role_id")
 
 
-def _grant(links: DataFrame, selected: KeySet, roles: KeySet) -> DataFrame:
+def grant_by(links: DataFrame, selected: KeySet, roles: KeySet, by: str) -> DataFrame:
+    """Role links after giving users (user_id, ``by``) the roles (role_id, ``by``) that agree in
+    ``by``; a user or role may be in several rows."""
+    return _grant(links, key_set(selected.frame, "user_id"), _every_pair(selected, roles, by))
+
+
+def _grant(links: DataFrame, selected: KeySet, roles: KeySet | DataFrame) -> DataFrame:
     marked = flag_matching(links, selected, "user_id", _SELECTED)
     others = marked.filter(~F.col(_SELECTED)).select("user_id", "role_id")
     own = marked.filter(F.col(_SELECTED)).select("user_id", "role_id")
     # The selected users' links are kept apart, so that the result refers to
     # ``links`` once: a chain of grants grows by one step each, not twofold.
-    granted = materialise(own.unionByName(_every_pair(selected, roles)).distinct())
+    pairs = roles if isinstance(roles, DataFrame) else _every_pair(selected, roles)
+    granted = materialise(own.unionByName(pairs).distinct())
     return others.unionByName(granted)
 
 

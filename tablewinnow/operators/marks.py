@@ -59,6 +59,40 @@ def lookup(uid: Column, bits: Mapping[str, set[int]], w: int) -> Column:
     return branches
 
 
+def looked_up(
+    df: DataFrame, column: str, bits: Mapping[str, set[int]], prefix: str, n: int
+) -> DataFrame:
+    """``df`` with the mask that the text in ``column`` carries, zero for others; a few texts are
+    literals, many are a measured table."""
+    if len(bits) > LITERAL_UIDS:
+        rows = [(u, *(word(own, w) for w in range(words(n)))) for u, own in sorted(bits.items())]
+        schema = ", ".join([f"{_UID} string", *(f"{c} long" for c in names(prefix, n))])
+        marks = KeySet(df.sparkSession.createDataFrame(rows, schema))
+        joined = attach(df.withColumn(_UID, F.col(column)), marks, _UID).drop(_UID)
+        return joined.fillna(0, names(prefix, n))
+    masks = [lookup(F.col(column), bits, w).alias(c) for w, c in enumerate(names(prefix, n))]
+    return df.select("*", *[F.coalesce(m, F.lit(0).cast("long")).alias(c) for m, c in zip(masks, names(prefix, n))])
+
+
+def any_of_both(left: str, right: str, n: int) -> Column:
+    """Whether two masks have a bit in common; null is an empty mask."""
+    shared = [
+        F.coalesce(F.col(a).bitwiseAND(F.col(b)) != 0, F.lit(False))
+        for a, b in zip(names(left, n), names(right, n))
+    ]
+    return reduce(lambda a, b: a | b, shared)
+
+
+def any_among(prefix: str, indexes: Iterable[int], n: int) -> Column:
+    """Whether a mask has one of the bits; null is an empty mask."""
+    indexes = list(indexes)
+    found = [
+        F.coalesce(F.col(c).bitwiseAND(F.lit(word(indexes, w)).cast("long")) != 0, F.lit(False))
+        for w, c in enumerate(names(prefix, n))
+    ]
+    return reduce(lambda a, b: a | b, found)
+
+
 def _bits(lists: Iterable[tuple[int, Iterable[str]]]) -> dict[str, set[int]]:
     bits: dict[str, set[int]] = {}
     for index, uids in lists:

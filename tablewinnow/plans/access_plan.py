@@ -1,4 +1,10 @@
-"""Access entries: a list of selections and actions, applied in order."""
+"""Access entries: a list of selections and actions, applied in order.
+
+Entries that follow each other share their passes over the tables as far as none of them reads what
+an earlier one of them writes: activations, grants and removals from groups are given a bit
+each, users are marked with the bits of the entries that select them, and each table is then
+changed once for all of them.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +13,10 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewinnow.operators import access
-from tablewinnow.operators.matching import KeySet, drop_matching, key_set
+from pyspark.sql import functions as F
+
+from tablewinnow.operators import access, marks
+from tablewinnow.operators.matching import KeySet, attach, drop_matching, key_set
 from tablewinnow.operators.merge import merge_all
 from tablewinnow.plans.rules import load_config
 from tablewinnow.profile import ACCESS_TABLES, IMPORT_TABLES
@@ -234,6 +242,172 @@ def needed_tables(entries: Iterable[Mapping | str]) -> set[str]:
     return needed
 
 
+# What the entries that can share a pass read beside users and, by groups, members; and what they
+# write. That a user is not disabled is read by none of them.
+_READS = {ACTIVATE: set(), REMOVE_FROM_GROUPS: set(), ADD_ROLES: set(), ADD_ROLES_FROM_TEMPLATE: {"links"}}
+_WRITES = {
+    ACTIVATE: set(),
+    REMOVE_FROM_GROUPS: {"members"},
+    ADD_ROLES: {"links"},
+    ADD_ROLES_FROM_TEMPLATE: {"links"},
+}
+_ENTRY = "_tw_entry"
+
+Placed = tuple[int, Mapping]
+
+
+def _listed(entry: Mapping, key: str) -> list[str]:
+    return list(entry.get(key, ()))
+
+
+def runs_of(entries: Iterable[Mapping | str]) -> list[list[Placed]]:
+    """The entries with their places, those that can share their passes together. Entries that
+    do nothing, or that are to be refused, are by themselves, as are imports and deletions."""
+    runs: list[list[Placed]] = []
+    written: set[str] | None = None
+    for place, entry in enumerate(entries):
+        action = entry.get("action") if isinstance(entry, Mapping) else None
+        selects = isinstance(entry, Mapping) and {USERNAMES_KEY, GROUPS_KEY} & set(entry)
+        if not selects or action not in _WRITES or set(entry) - ENTRY_KEYS:
+            runs.append([(place, entry)])
+            written = None
+            continue
+        reads = _READS[action] | ({"members"} if GROUPS_KEY in entry else set())
+        if written is None or reads & written:
+            runs.append([])
+            written = set()
+        runs[-1].append((place, entry))
+        written |= _WRITES[action]
+    return runs
+
+
+def _by_text(run: Sequence[Placed], key: str) -> dict[str, set[int]]:
+    bits: dict[str, set[int]] = {}
+    for index, (_, entry) in enumerate(run):
+        for text in _listed(entry, key):
+            bits.setdefault(text, set()).add(index)
+    return bits
+
+
+def _selected_by(state: AccessState, run: Sequence[Placed]) -> KeySet:
+    """user_id and the bits of the entries that select the user, one row per user."""
+    n = len(run)
+    users = marks.looked_up(
+        state.users.select("id", "username"), "username", _by_text(run, USERNAMES_KEY), "named", n
+    )
+    groups = _by_text(run, GROUPS_KEY)
+    if groups:
+        grouped = marks.looked_up(state.members, "group_name", groups, "grouped", n)
+        grouped = grouped.filter(marks.any_among("grouped", range(n), n)).groupBy("user_id")
+        bits = [F.bit_or(c).alias(c) for c in marks.names("grouped", n)]
+        users = attach(users, KeySet(grouped.agg(*bits).withColumnRenamed("user_id", "id")), "id")
+    else:
+        users = users.select("*", *[F.lit(0).cast("long").alias(c) for c in marks.names("grouped", n)])
+    sides = zip(marks.names("named", n), marks.names("grouped", n), marks.names("chosen", n))
+    both = [
+        F.col(a).bitwiseOR(F.coalesce(F.col(b), F.lit(0).cast("long"))).alias(c) for a, b, c in sides
+    ]
+    found = users.select(F.col("id").alias("user_id"), *both).dropna(subset=["user_id"])
+    found = found.filter(marks.any_among("chosen", range(n), n))
+    return KeySet(found.groupBy("user_id").agg(*[F.bit_or(c).alias(c) for c in marks.names("chosen", n)]))
+
+
+def _counted(marked: KeySet, prefix: str, n: int) -> list[int]:
+    """How many rows have each bit."""
+    columns = marks.names(prefix, n)
+    sums = [
+        F.count_if(marks.bit(F.col(columns[i // marks.WORD_BITS]), i)).alias(f"n{i}") for i in range(n)
+    ]
+    return list(marked.frame.agg(*sums).first())
+
+
+def _roles_granted(state: AccessState, run: Sequence[Placed], selected: Sequence[int]) -> KeySet | None:
+    """role_id and the bits of the entries that grant the role; None if no entry grants any."""
+    n = len(run)
+    named: dict[str, set[int]] = {}
+    templates: dict[str, set[int]] = {}
+    for index, (_, entry) in enumerate(run):
+        if selected[index] and entry["action"] == ADD_ROLES:
+            for name in _listed(entry, ADD_ROLES):
+                named.setdefault(name, set()).add(index)
+        if selected[index] and entry["action"] == ADD_ROLES_FROM_TEMPLATE:
+            templates.setdefault(entry[ADD_ROLES_FROM_TEMPLATE], set()).add(index)
+    columns, found = marks.names("granted", n), []
+    if named:
+        roles = marks.looked_up(state.roles, "name", named, "granted", n)
+        found.append(roles.select(F.col("id").alias("role_id"), *columns))
+    if templates:
+        users = marks.looked_up(state.users, "username", templates, "granted", n)
+        users = users.filter(marks.any_among("granted", range(n), n))
+        known = KeySet(users.select("username", F.col("id").alias("user_id"), *columns))
+        present = {r[0] for r in known.frame.select("username").distinct().collect()}
+        for missing in sorted(set(templates) - present):
+            raise ValueError(f"template user not found: {missing}")
+        bits = [F.bit_or(c).alias(c) for c in columns]
+        held = attach(state.links, KeySet(known.frame.groupBy("user_id").agg(*bits)), "user_id")
+        found.append(held.select("role_id", *columns))
+    if not found:
+        return None
+    every = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    every = every.dropna(subset=["role_id"]).filter(marks.any_among("granted", range(n), n))
+    return KeySet(every.groupBy("role_id").agg(*[F.bit_or(c).alias(c) for c in columns]))
+
+
+def _by_entry(marked: KeySet, key: str, prefix: str, indexes: Sequence[int], n: int) -> KeySet:
+    """A row for each key and each of the bits it has."""
+    columns = marks.names(prefix, n)
+    had = [F.when(marks.bit(F.col(columns[i // marks.WORD_BITS]), i), F.lit(i)) for i in indexes]
+    each = marked.frame.select(key, F.explode(F.array(*had)).alias(_ENTRY))
+    return KeySet(each.filter(F.col(_ENTRY).isNotNull()))
+
+
+def _apply_run(state: AccessState, run: Sequence[Placed]) -> AccessState:
+    """The state after entries of which none reads what an earlier one writes."""
+    n = len(run)
+    chosen = _selected_by(state, run)
+    selected = _counted(chosen, "chosen", n)
+    counts = [{"selected": s} for s in selected]
+    acting = {
+        action: [i for i, (_, e) in enumerate(run) if e["action"] == action and selected[i]]
+        for action in _WRITES
+    }
+    changed: dict[str, DataFrame] = {}
+    if acting[ACTIVATE]:
+        users = attach(state.users, chosen.renamed("user_id", "id"), "id")
+        enabled = F.when(marks.any_among("chosen", acting[ACTIVATE], n), F.lit(False))
+        changed["users"] = users.withColumn("disabled", enabled.otherwise(F.col("disabled"))).select(
+            *state.users.columns
+        )
+    if acting[REMOVE_FROM_GROUPS]:
+        left: dict[str, set[int]] = {}
+        for i in acting[REMOVE_FROM_GROUPS]:
+            groups = set(_listed(run[i][1], REMOVE_FROM_GROUPS))
+            counts[i]["groups"] = len(groups)
+            for group in groups:
+                left.setdefault(group, set()).add(i)
+        members = marks.looked_up(state.members, "group_name", left, "left", n)
+        members = attach(members, chosen, "user_id")
+        changed["members"] = members.filter(~marks.any_of_both("chosen", "left", n)).select(
+            *state.members.columns
+        )
+    granting = sorted(acting[ADD_ROLES] + acting[ADD_ROLES_FROM_TEMPLATE])
+    if granting:
+        roles = _roles_granted(state, run, selected)
+        granted = _counted(roles, "granted", n) if roles else [0] * n
+        for i in granting:
+            counts[i]["roles"] = granted[i]
+        users = _by_entry(chosen, "user_id", "chosen", granting, n)
+        # Users are granted nothing if there is no such role; what they hold is held once all the same.
+        given = roles or KeySet(state.links.limit(0).select("role_id"))
+        each = _by_entry(given, "role_id", "granted", granting, n) if roles else KeySet(
+            given.frame.withColumn(_ENTRY, F.lit(0))
+        )
+        changed["links"] = access.grant_by(state.links, users, each, _ENTRY)
+    told = [(place, e["action"], c) for (place, e), c in zip(run, counts, strict=True)]
+    after = state.changed(**changed) if changed else state
+    return replace(after, counts=(*after.counts, *told))
+
+
 def apply_access_rules(
     state: AccessState,
     entries: Iterable[Mapping | str],
@@ -243,8 +417,12 @@ def apply_access_rules(
     """Fold the entries over the state. ``sources`` maps the file names that import
     entries mention to the tables read from them, see ``read_imports``."""
     kept = state
-    for place, entry in enumerate(entries):
-        state = apply_entry(state, entry, operator_user, sources or {}, place)
+    for run in runs_of(entries):
+        if len(run) > 1:
+            state = _apply_run(state, run)
+        else:
+            ((place, entry),) = run
+            state = apply_entry(state, entry, operator_user, sources or {}, place)
         if state.pending >= ENTRIES_PER_CHECKPOINT:
             state = kept = state.materialised(kept)
     return state

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 
@@ -188,6 +190,99 @@ def test_every_entry_is_counted(join_path, state):
     )
 
 
+def random_entries(seed, n):
+    draw = random.Random(seed)
+    result = []
+    for _ in range(n):
+        entry = {}
+        if draw.random() < 0.7:
+            entry["selectUsernames"] = draw.sample(["ann", "bob", "cat", "dan", "admin", "zoe"], draw.randrange(3))
+        if draw.random() < 0.6:
+            entry["selectFromGroups"] = draw.sample(["g1", "g2", "g3"], draw.randrange(3))
+        action = draw.choices(
+            ["activate", "addRoles", "addRolesFromTemplate", "removeFromGroups", "deleteOthers"], [4, 4, 2, 4, 0.3]
+        )[0]
+        entry["action"] = action
+        if action == "addRoles":
+            entry[action] = draw.sample(["Reader", "Writer", "Admin", "none"], draw.randrange(4))
+        if action == "addRolesFromTemplate":
+            entry[action] = draw.choice(["admin", "admin", "cat"] if seed % 2 else ["admin"])
+        if action == "removeFromGroups":
+            entry[action] = draw.sample(["g1", "g2", "g3"], draw.randrange(3))
+        result.append(entry)
+    return result
+
+
+def outcome(state, entries):
+    try:
+        after = apply_access_rules(state, entries, "admin")
+    except ValueError as error:
+        return str(error)
+    return rows(after.users), rows(after.members), rows(after.links), after.counts
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_of_entries_equal_one_by_one(state, monkeypatch, seed):
+    entries = random_entries(seed, 14)
+    if seed == 2:
+        monkeypatch.setattr(access_plan.marks, "LITERAL_UIDS", 0)
+    if seed == 3:
+        monkeypatch.setattr(access_plan.marks, "WORD_BITS", 3)
+    runs = access_plan.runs_of(entries)
+    assert [p for run in runs for p in run] == list(enumerate(entries)) and len(runs) < len(entries)
+    together = outcome(state, entries)
+    monkeypatch.setattr(access_plan, "runs_of", lambda e: [[p] for p in enumerate(e)])
+    assert together == outcome(state, entries)
+
+
+def test_what_ends_a_run():
+    activate = {"selectFromGroups": ["g1"], "action": "activate"}
+    leave = {"selectUsernames": ["ann"], "action": "removeFromGroups", "removeFromGroups": ["g1"]}
+    grant = {"selectUsernames": ["ann"], "action": "addRoles", "addRoles": ["Reader"]}
+    copy = {"selectUsernames": ["ann"], "action": "addRolesFromTemplate", "addRolesFromTemplate": "bob"}
+    delete = {"selectUsernames": ["ann"], "action": "deleteOthers"}
+
+    def sizes(*entries):
+        return [len(run) for run in access_plan.runs_of(entries)]
+
+    assert sizes(activate, grant, copy) == [2, 1]  # the template's roles may be new
+    assert sizes(copy, grant, grant, activate, leave, grant) == [6]
+    assert sizes(leave, activate) == [1, 1]  # the group has fewer members
+    assert sizes(leave, leave, grant) == [3]
+    assert sizes(grant, delete, grant) == [1, 1, 1]
+    assert sizes(grant, {}, "https://example.org", grant) == [1, 1, 1, 1]
+
+
+def test_forty_entries_read_each_table_a_few_times(spark, state):
+    reads = {}
+
+    def counted(df, name):
+        reads[name] = spark.sparkContext.accumulator(0)
+        counter = reads[name]
+
+        def pass_on(batches):
+            counter.add(1)
+            yield from batches
+
+        return df.coalesce(1).mapInArrow(pass_on, df.schema)
+
+    watched = AccessState(
+        counted(state.users, "users"), counted(state.members, "members"),
+        counted(state.roles, "roles"), counted(state.links, "links"), {},
+    )
+    entries = [
+        {"selectFromGroups": [f"g{i % 3}"], "selectUsernames": ["ann", "bob"][: i % 3], "action": action,
+         **({action: ["Reader", "Writer"][: 1 + i % 2]} if action == "addRoles" else {})}
+        for i, action in enumerate(["activate", "addRoles"] * 20)
+    ]
+    after = apply_access_rules(watched, entries, "admin")
+    for df in (after.users, after.members, after.links):
+        df.write.format("noop").mode("overwrite").save()
+    # To select, and to change; of the links those of selected users and of others.
+    assert {name: n.value for name, n in reads.items()} == {"users": 2, "members": 2, "roles": 1, "links": 2}
+    assert len(after.counts) == 40
+
+
 def test_unknown_action_is_an_error(state):
     for entry in (
         {"selectUsernames": ["ann"], "action": "promote"},
