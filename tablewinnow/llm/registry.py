@@ -49,6 +49,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix_sources": mixing.ORACLE,
         "op9_url_verdicts": urls.oracle(),
-        "op12_periodic_runs": periodic.op12_periodic_runs,
         "op13_warc": warc.ORACLE,
     }
