@@ -170,8 +170,9 @@ def stripped(document: Column, keys: Column) -> Column:
 
 
 def _key_of(entry: Column) -> Column:
-    """The key of an entry: the string it begins with, as text."""
+    """The key of an entry: the string it begins with, as text. Without a backslash it is what
+    stands between the first two quotes."""
+    plain = F.substring_index(F.substring_index(entry, '"', 2), '"', -1)
     key = F.regexp_extract(entry, _FIRST_STRING, 1)
-    plain = F.substring(key, F.lit(2), F.length(key) - 2)
     parsed = F.get(F.from_json(F.concat(F.lit("["), key, F.lit("]")), "array<string>"), F.lit(0))
-    return F.when(F.contains(key, F.lit("\\")), parsed).otherwise(plain)
+    return F.when(F.contains(plain, F.lit("\\")), parsed).otherwise(plain)
