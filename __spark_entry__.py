@@ -438,6 +438,8 @@ def _order_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Keys taken out of documents that have an entry for each event of a stage and a long string.
 WIDE_KEYS = ["note", "e1", "e2", "e8", "e9", "e4001"]
+# Up to the third digit of an entry's key.
+PART_CHARS = 5
 
 
 def _wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -445,13 +447,22 @@ def _wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.concat(
         F.lit('"e'), "programstageinstanceid", F.lit('": {"at":[{"unit":'), "organisationunitid", F.lit("}]}")
     )
-    entries = F.array_join(F.array_sort(F.collect_list(entry)), ",")
+    # Entries are sorted and joined by how they begin, in many tasks; a document is made of few parts.
+    parts = (
+        events.select("programstageid", entry.alias("entry"))
+        .groupBy("programstageid", F.left("entry", F.lit(PART_CHARS)).alias("part"))
+        .agg(F.array_join(F.array_sort(F.collect_list("entry")), ",").alias("entries"))
+    )
+    # Events without a unit have no entry.
+    part = F.when(F.col("part").isNotNull(), F.struct("part", "entries"))
+    in_order = F.transform(F.array_sort(F.collect_list(part)), lambda p: p["entries"])
+    entries = F.array_join(in_order, ",")
     document = F.concat(
         F.lit('\n{"note":"'), F.repeat(F.lit("n\\n"), F.lit(400_000)), F.lit('",'), entries, F.lit("}\n")
     )
     kept = without_keys(F.col("document"), F.array(*map(F.lit, WIDE_KEYS)))
     return (
-        events.groupBy("programstageid")
+        parts.groupBy("programstageid")
         .agg(document.alias("document"))
         .withColumn("document", kept)
         .select("programstageid", F.length("document").cast("long").alias("n_chars"), F.md5("document").alias("digest"))

@@ -17,8 +17,23 @@ _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _TOKENS = rf'(?s)[{{}}\[\],]|(?:[^{{}}\[\],"]++|{_STRING})++|"'
 _FIRST_STRING = rf"(?s)\A[{_BLANKS}]*+({_STRING})"
 
-# An entry whose value has at most one level of brackets, which is that of most documents.
-_SHALLOW = rf'(?s)(?:[^{{}}\[\],"]++|{_STRING}|[{{\[](?:[^{{}}\[\]"]++|{_STRING})*+[}}\]])++'
+# A value in brackets of at most so many levels, which is all of most documents.
+_LEVELS_MATCHED = 16
+_NESTED = "(?!)"
+for _ in range(_LEVELS_MATCHED):
+    _NESTED = rf'[{{\[](?:[^{{}}\[\]"]++|{_STRING}|{_NESTED})*+[}}\]]'
+_VALUE = rf'(?:[^{{}}\[\],"]++|{_STRING}|{_NESTED})++'
+_SHALLOW = rf"(?s){_VALUE}"
+
+# In documents of more bytes the entries are not taken apart, but the unwanted ones matched: an
+# array of millions of entries takes several times the text. That needs keys without escapes.
+_WIDE = 1 << 16
+_PLAIN = rf'[{_BLANKS}]*+"[^"\\]*+"{_VALUE}'
+_ALL_PLAIN = rf"(?s)\A(?:{_PLAIN},)*+{_PLAIN}\z"
+
+# Spark's trim of given characters notes the place of every character, eight bytes for each byte of
+# the text. So it gets an end of so many characters.
+_END = 1024
 
 # Sums are run over blocks of so many, and over the blocks' sums in the same way: work grows with
 # the number of tokens, not with its square. Four levels reach 64^4 tokens.
@@ -47,6 +62,33 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _blanks(text: Column, end: Callable[..., Column], trim: Callable[..., Column]) -> Column:
+    """How many blanks there are at an end of a text."""
+
+    def count(part: Column) -> Column:
+        bare = _let(trim(part, F.lit(_BLANKS)), F.length)
+        return _let(bare, lambda n: F.when(n > 0, F.length(part) - n))
+
+    return F.coalesce(_let(end(text, F.lit(_END)), count), count(text), F.length(text))
+
+
+def _blanks_before(text: Column) -> Column:
+    return _blanks(text, F.left, F.ltrim)
+
+
+def _blanks_after(text: Column) -> Column:
+    return _blanks(text, F.right, F.rtrim)
+
+
+def _trimmed(text: Column) -> Column:
+    """The text without blanks at its ends."""
+
+    def between(before: Column) -> Column:
+        return F.substring(text, before + 1, F.length(text) - before - _blanks_after(text))
+
+    return _let(_blanks_before(text), between)
+
+
 def _sums_of_block(values: Column) -> Column:
     start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("sums"))
 
@@ -92,23 +134,30 @@ def running_sums(values: Column, levels: int = _LEVELS) -> Column:
     )
 
 
+def _inner(document: Column) -> Column:
+    """What stands between the braces at the ends of a document; null if there are none."""
+
+    def inside(text: Column) -> Column:
+        closed = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")) & (F.octet_length(text) > 1)
+        return F.when(closed, F.substring(text, F.lit(2), F.length(text) - 2))
+
+    return _let(_trimmed(document), inside)
+
+
 def entries_of(document: Column) -> Column:
     """The top-level entries of a JSON object in order, each as it is written; null for text
     whose brackets do not make it one object. An entry ends at a comma outside nested objects
     and arrays.
 
-    Entries with one level of brackets are matched at once. Where that does not give the whole
+    Entries of a few levels of brackets are matched at once. Where that does not give the whole
     text again, there are more levels, and commas are told apart by their depth."""
-    text = F.trim(document, F.lit(_BLANKS))
-    closed = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")) & (F.length(text) > 1)
 
     def matched(inner: Column) -> Column:
         shallow = F.regexp_extract_all(inner, F.lit(_SHALLOW), F.lit(0))
-        return _let(
-            shallow, lambda e: F.when(F.array_join(e, ",") == inner, e).otherwise(_by_depth(text))
-        )
+        deep = _by_depth(F.concat(F.lit("{"), inner, F.lit("}")))
+        return _let(shallow, lambda e: F.when(F.array_join(e, ",") == inner, e).otherwise(deep))
 
-    return F.when(closed, _let(F.substring(text, F.lit(2), F.length(text) - 2), matched))
+    return _let(_inner(document), matched)
 
 
 def _by_depth(text: Column) -> Column:
@@ -158,15 +207,46 @@ def without_keys(document: Column, keys: Column) -> Column:
 
 def stripped(document: Column, keys: Column) -> Column:
     """As ``without_keys``, for documents that have one of the keys; null if they are no object."""
+    wide = F.octet_length(document) > _WIDE
+
+    def inside(inner: Column) -> Column:
+        matched = F.when(wide & F.rlike(inner, F.lit(_ALL_PLAIN)), _without_matched(inner, keys))
+        return F.coalesce(matched, _without_entries(document, keys))
+
+    before = F.left(document, _blanks_before(document))
+    after = F.right(document, _blanks_after(document))
+    kept = _let(_let(_inner(document), inside), _trimmed)
+    return F.concat(before, F.lit("{"), kept, F.lit("}"), after)
+
+
+def _without_entries(document: Column, keys: Column) -> Column:
+    """The entries but those of ``keys``, joined; null if the document is no object."""
     kept = F.filter(
         entries_of(document),
         lambda e: ~F.coalesce(F.array_contains(keys, _key_of(e)), F.lit(False)),
     )
-    inside = F.trim(F.array_join(kept, ","), F.lit(_BLANKS))
-    blanks = F.lit(_BLANKS)
-    before = F.left(document, F.length(document) - F.length(F.ltrim(document, blanks)))
-    after = F.right(document, F.length(document) - F.length(F.rtrim(document, blanks)))
-    return F.concat(before, F.lit("{"), inside, F.lit("}"), after)
+    return F.array_join(kept, ",")
+
+
+def _without_matched(inner: Column, keys: Column) -> Column:
+    """As ``_without_entries``, of entries whose keys have no escapes. No quote or backslash is in
+    such a key, so no other key is looked for."""
+    plain = F.filter(keys, lambda k: ~F.contains(k, F.lit('"')) & ~F.contains(k, F.lit("\\")))
+    any_key = F.concat(F.array(F.lit("(?!)")), F.transform(plain, _quoted))
+    unwanted = F.concat(F.lit(rf'(?![{_BLANKS}]*+"(?:'), F.array_join(any_key, "|"), F.lit(')")'))
+    entry = F.lit(rf"{_PLAIN}(?:,|\z)")
+    # Entries to keep are matched many at a time, others one at a time.
+    pattern = F.concat(F.lit(r"(?s)\G(?:((?:"), unwanted, entry, F.lit(")++)|"), entry, F.lit(")"))
+    kept = F.regexp_replace(inner, pattern, F.lit("$1"))
+    return _let(
+        kept,
+        lambda k: F.when(F.endswith(k, F.lit(",")), F.left(k, F.length(k) - 1)).otherwise(k),
+    )
+
+
+def _quoted(key: Column) -> Column:
+    """A pattern of the text itself, which has no backslash."""
+    return F.concat(F.lit(r"\Q"), key, F.lit(r"\E"))
 
 
 def _key_of(entry: Column) -> Column:
