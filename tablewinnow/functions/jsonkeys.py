@@ -25,11 +25,12 @@ for _ in range(_LEVELS_MATCHED):
 _VALUE = rf'(?:[^{{}}\[\],"]++|{_STRING}|{_NESTED})++'
 _SHALLOW = rf"(?s){_VALUE}"
 
-# In documents of more bytes the entries are not taken apart, but the unwanted ones matched: an
-# array of millions of entries takes several times the text. That needs keys without escapes.
+# Documents of more bytes are cut into pieces of so many entries, in which the unwanted ones are
+# matched: an array of millions of entries takes several times the text. That needs keys without
+# escapes.
 _WIDE = 1 << 16
 _PLAIN = rf'[{_BLANKS}]*+"[^"\\]*+"{_VALUE}'
-_ALL_PLAIN = rf"(?s)\A(?:{_PLAIN},)*+{_PLAIN}\z"
+_PIECE = rf"(?s)\G(?:{_PLAIN}(?:,|\z)){{1,4096}}+"
 
 # Spark's trim of given characters notes the place of every character, eight bytes for each byte of
 # the text. So it gets an end of so many characters.
@@ -210,8 +211,13 @@ def stripped(document: Column, keys: Column) -> Column:
     wide = F.octet_length(document) > _WIDE
 
     def inside(inner: Column) -> Column:
-        matched = F.when(wide & F.rlike(inner, F.lit(_ALL_PLAIN)), _without_matched(inner, keys))
-        return F.coalesce(matched, _without_entries(document, keys))
+        pieces = F.regexp_extract_all(inner, F.lit(_PIECE), F.lit(0))
+
+        def matched(found: Column) -> Column:
+            size = F.aggregate(found, F.lit(0), lambda n, piece: n + F.octet_length(piece))
+            return F.when(size == F.octet_length(inner), _without_matched(found, keys))
+
+        return F.coalesce(F.when(wide, _let(pieces, matched)), _without_entries(document, keys))
 
     before = F.left(document, _blanks_before(document))
     after = F.right(document, _blanks_after(document))
@@ -228,18 +234,18 @@ def _without_entries(document: Column, keys: Column) -> Column:
     return F.array_join(kept, ",")
 
 
-def _without_matched(inner: Column, keys: Column) -> Column:
-    """As ``_without_entries``, of entries whose keys have no escapes. No quote or backslash is in
-    such a key, so no other key is looked for."""
+def _without_matched(pieces: Column, keys: Column) -> Column:
+    """As ``_without_entries``, of pieces whose entries have keys without escapes. No quote or
+    backslash is in such a key, so no other key is looked for."""
     plain = F.filter(keys, lambda k: ~F.contains(k, F.lit('"')) & ~F.contains(k, F.lit("\\")))
     any_key = F.concat(F.array(F.lit("(?!)")), F.transform(plain, _quoted))
     unwanted = F.concat(F.lit(rf'(?![{_BLANKS}]*+"(?:'), F.array_join(any_key, "|"), F.lit(')")'))
     entry = F.lit(rf"{_PLAIN}(?:,|\z)")
     # Entries to keep are matched many at a time, others one at a time.
     pattern = F.concat(F.lit(r"(?s)\G(?:((?:"), unwanted, entry, F.lit(")++)|"), entry, F.lit(")"))
-    kept = F.regexp_replace(inner, pattern, F.lit("$1"))
+    kept = F.transform(pieces, lambda piece: F.regexp_replace(piece, pattern, F.lit("$1")))
     return _let(
-        kept,
+        F.array_join(kept, ""),
         lambda k: F.when(F.endswith(k, F.lit(",")), F.left(k, F.length(k) - 1)).otherwise(k),
     )
 
